@@ -98,6 +98,8 @@ def simple_regression(curve: DataFrame, alpha: float = config.ALPHA) -> DataFram
     )
     fits = (F.col("n") >= 2) & (F.col("sxx") > 0)
     slope = F.try_divide("sxy", "sxx")
+    # at most 1: two points fit exactly, and rounding must not put them above it
+    explained = F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx") * F.col("syy"))
     measured = moments.select(
         *ITEM,
         "n",
@@ -105,9 +107,7 @@ def simple_regression(curve: DataFrame, alpha: float = config.ALPHA) -> DataFram
         F.when(fits, slope).alias("coefficient"),
         F.when(fits, F.col("my") - slope * F.col("mx")).alias("intercept"),
         F.when(fits, _slope_p_value(F.col("n"), F.col("sxx"), F.col("syy"), F.col("sxy"))).alias("p_value"),
-        F.when(
-            fits, F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx") * F.col("syy"))
-        ).alias("r_squared"),
+        F.when(fits & explained.isNotNull(), F.least(explained, F.lit(1.0))).alias("r_squared"),
     )
     return measured.select(
         *ITEM,

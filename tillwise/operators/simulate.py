@@ -67,15 +67,17 @@ def simulate_constant_elasticity(models: DataFrame, grid: DataFrame) -> DataFram
 def best_price(simulated: DataFrame) -> DataFrame:
     """Most profitable grid price of each product, the lowest one on a tie.
 
+    Profits that differ by rounding noise only are a tie.
     A mergeable maximum of (profit, -grid_idx): no sort and one row per product
     leaves each task.
     """
     top = F.max(
         F.struct(
-            "profit_predicted",
+            F.round("profit_predicted", _TIE_DIGITS).alias("rounded"),
             (-F.col("grid_idx")).alias("order"),
             "simulation_prices",
             "qty_predicted",
+            "profit_predicted",
         )
     ).alias("top")
     return (

@@ -7,13 +7,14 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TEXT = ["store", "calculation_group"]
 NUMBERS = ["cannibalization_ind", "unique_prices", "total_qty", "avg_qty", "days_with_sales"]
 LABEL = "r_squared_group_simple"
 SPLIT = 1000
+_LABEL_STAGE = 0
 
 
 def split_rows(comparison: DataFrame, test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -27,21 +28,17 @@ def split_rows(comparison: DataFrame, test_share: float = 0.2, seed: int = 42) -
 @dataclass(frozen=True)
 class QualityTree:
     model: PipelineModel
+    features: tuple[str, ...]
 
     def importances(self) -> DataFrame:
         """Importance of each encoded feature; one row per level of a text column."""
-        tree = self.model.stages[-1]
-        names = [(n, None) for n in NUMBERS]
-        for column, indexer in zip(TEXT, [s for s in self.model.stages if "StringIndexer" in s.uid]):
-            names += [(column, level) for level in indexer.labels[:-1]]
-        weights = tree.featureImportances.toArray()
-        spark = tree._java_obj and DataFrameFactory.active()
-        rows = [(i, c, level, float(w)) for i, ((c, level), w) in enumerate(zip(names, weights))]
-        return spark.createDataFrame(rows, "feature_idx int, feature string, level string, importance double")
+        weights = self.model.stages[-1].featureImportances.toArray()
+        rows = [(i, name, float(w)) for i, (name, w) in enumerate(zip(self.features, weights))]
+        return SparkSession.active().createDataFrame(rows, "feature_idx int, feature string, importance double")
 
     def report(self, test: DataFrame) -> DataFrame:
         """Precision, recall, F1 and support per class."""
-        indexer = next(s for s in self.model.stages if s.getOutputCol() == "__label")
+        indexer = self.model.stages[_LABEL_STAGE]
         predicted = F.element_at(
             F.array(*[F.lit(x) for x in indexer.labels]), F.col("prediction").cast("int") + 1
         )
@@ -70,14 +67,18 @@ class QualityTree:
 def fit_quality_tree(train: DataFrame, max_depth: int = 30, seed: int = 42) -> QualityTree:
     """Tree for the R-squared band; depth 30 is the deepest Spark grows, 5 the
     pruned variant."""
+    label = StringIndexer(inputCol=LABEL, outputCol="__label", handleInvalid="keep")
     indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in TEXT]
     encoder = OneHotEncoder(
         inputCols=[f"{c}_idx" for c in TEXT], outputCols=[f"{c}_vec" for c in TEXT], handleInvalid="keep"
     )
-    label = StringIndexer(inputCol=LABEL, outputCol="__label", handleInvalid="keep")
-    assembler = VectorAssembler(inputCols=[*NUMBERS, *[f"{c}_vec" for c in TEXT]], outputCol="features")
+    assembler = VectorAssembler(
+        inputCols=[*NUMBERS, *[f"{c}_vec" for c in TEXT]], outputCol="features", handleInvalid="keep"
+    )
     tree = DecisionTreeClassifier(
         labelCol="__label", featuresCol="features", maxDepth=max_depth, seed=seed
     )
-    stages = [*indexers, encoder, label, assembler, tree]
-    return QualityTree(Pipeline(stages=stages).fit(train))
+    model = Pipeline(stages=[label, *indexers, encoder, assembler, tree]).fit(train)
+    described = model.transform(train.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
+    attributes = sorted((a for kind in described.values() for a in kind), key=lambda a: a["idx"])
+    return QualityTree(model, tuple(a["name"] for a in attributes))
