@@ -21,8 +21,12 @@ def _quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
+def _cut(expression: str) -> str:
+    return f"floor(({expression}) * 1e6 + {q.CUT}) / 1e6"
+
+
 def _r6(expression: str, name: str | None = None) -> str:
-    return f"round({expression}, 6) + 0.0 AS {name or expression.split('.')[-1]}"
+    return f"{_cut(expression)} AS {name or expression.split('.')[-1]}"
 
 
 def _strip(title: str) -> str:
@@ -548,7 +552,7 @@ BODIES: dict[str, str] = {
         FROM cross_points""",
     "vif": f"""
         SELECT {ITEM}, CASE WHEN a = 1 THEN 'Price' ELSE rivals[a - 1] END AS variable,
-               round(-s[{_DIAG}] * g[{_DIAG}], 6) + 0.0 AS vif
+               {_r6(f"-s[{_DIAG}] * g[{_DIAG}]", "vif")}
         FROM (SELECT *, unnest(active) AS a, {_SWEPT} AS s FROM (SELECT *, range(1, n) AS active FROM moments))""",
     "ols_model": _rounded("crossed", [*q._MODEL, "vif"]),
     "ols_model_literal": _rounded("cross_literal", [*q._MODEL, "vif"]),
@@ -586,8 +590,8 @@ BODIES: dict[str, str] = {
                {_r6("profit_predicted_all_reg")}, {_r6("profit_predicted_all - profit_predicted_all_reg", "profit_predicted_all_uplift")}
         FROM joint j JOIN baseline USING ({ITEM}) JOIN store_ref s ON s.store_name = store""",
     "result_pivot": f"""SELECT store, calculation_group, {", ".join(
-        f'''round(max(profit_predicted) FILTER (product = '{p}'), 6) + 0.0 AS "profit_predicted_{p}"''' for p in q.PRODUCTS
-    )}, round(sum(profit_predicted), 6) + 0.0 AS profit_predicted_all FROM best GROUP BY store, calculation_group""",
+        f'''{_cut(f"max(profit_predicted) FILTER (product = '{p}')")} AS "profit_predicted_{p}"''' for p in q.PRODUCTS
+    )}, {_r6("sum(profit_predicted)", "profit_predicted_all")} FROM best GROUP BY store, calculation_group""",
     "partitioned_result": f"""SELECT {ITEM}, simulation_prices, {_r6("qty_predicted")}, {_r6("profit_predicted")}, store_codes,
         regexp_replace(product, '[^A-Za-z0-9\\s]', '', 'g') AS product_key
         FROM best JOIN store_ref ON store_name = store""",

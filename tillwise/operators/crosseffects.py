@@ -11,7 +11,7 @@ from tillwise import config
 from tillwise.functions.numeric import linearity, r2_band
 from tillwise.functions.student_t import two_sided_p_array
 from tillwise.operators.demand import CONST, PRICE
-from tillwise.operators.keys import ITEM, STORE_PRODUCT
+from tillwise.operators.keys import ITEM, STORE_PRODUCT, place
 from tillwise.operators.ordinal import number_rows
 
 PRICE_DIFF_ALL = "PriceDiff_All"
@@ -24,6 +24,13 @@ MODEL_SCHEMA = (
 VIF_SCHEMA = "store string, calculation_group string, product string, variable string, vif double"
 
 
+def _day_prices(daily: DataFrame) -> DataFrame:
+    """Mean of the different prices a product had on a day."""
+    return daily.select(*ITEM, "date", "price").distinct().groupBy(*ITEM, "date").agg(
+        F.avg("price").alias("day_price")
+    )
+
+
 def price_difference_features(daily: DataFrame, pairs: DataFrame) -> DataFrame:
     """Own price minus each competitor's price of the day, one row per competitor.
 
@@ -32,13 +39,7 @@ def price_difference_features(daily: DataFrame, pairs: DataFrame) -> DataFrame:
     Differences are rounded: equal price constellations must be equal keys.
     """
     rivals = pairs.select("store", F.col("product_1").alias("product"), "product_2").distinct()
-    rival_price = (
-        daily.select(*ITEM, "date", "price")
-        .distinct()
-        .groupBy(*ITEM, "date")
-        .agg(F.avg("price").alias("rival_price"))
-        .withColumnRenamed("product", "product_2")
-    )
+    rival_price = _day_prices(daily).withColumnsRenamed({"product": "product_2", "day_price": "rival_price"})
     return (
         daily.select(*ITEM, "date", "price", "qty")
         .join(rivals, STORE_PRODUCT)
@@ -54,43 +55,85 @@ def price_difference_features(daily: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def demand_points_cross(features: DataFrame) -> DataFrame:
+def _timelines(filled: DataFrame) -> DataFrame:
+    """One row per product: its day prices from the first day on, without gaps."""
+    timeline = (
+        _day_prices(filled)
+        .groupBy(*ITEM)
+        .agg(
+            F.min("date").alias("start"),
+            F.max("date").alias("end"),
+            F.sort_array(F.collect_list(F.struct("date", "day_price"))).alias("days"),
+        )
+    )
+    whole = F.size("days") == F.datediff("end", "start") + 1
+    prices = F.when(whole, F.col("days.day_price")).otherwise(
+        F.raise_error(F.lit("sales have missing days: fill them first")).cast("array<double>")
+    )
+    return timeline.select(*ITEM, "start", prices.alias("prices"))
+
+
+def demand_points_cross(filled: DataFrame, pairs: DataFrame) -> DataFrame:
     """Demand points keyed by price and the vector of price differences.
 
     The vector is ordered by competitor name and every competitor of the product
     has its place in it. Points run from the highest price, then the highest
     differences, down; ``inverted_qty`` is the running total of quantity per day.
+
+    A product is one row while competitors meet: its own days and the price
+    timelines of its competitors, both as long as the calendar. So the joins move
+    one number per competitor and day instead of a keyed row, and from there on
+    all steps per product stay where they are.
     """
-    cell = F.sort_array(F.collect_list(F.struct("product_2", "price_difference")))
-    days = (
-        features.groupBy(*ITEM, "date", "price", "qty")
-        .agg(cell.alias("cells"))
-        .select(
-            *ITEM,
-            "date",
-            "price",
-            "qty",
-            F.col("cells.product_2").alias("rivals"),
-            F.col("cells.price_difference").alias("differences"),
-        )
+    chosen = pairs.select("store", F.col("product_1").alias("product"), "product_2").distinct()
+    timelines = _timelines(filled).withColumnRenamed("product", "product_2")
+    rivals = (
+        place(chosen.join(timelines, ["store", "product_2"]), ITEM)
+        .groupBy(*ITEM)
+        .agg(F.sort_array(F.collect_list(F.struct("product_2", "start", "prices"))).alias("others"))
     )
-    points = days.groupBy(*ITEM, "price", "differences").agg(
-        F.first("rivals").alias("rivals"),  # the same for every row of a product
-        F.count_distinct("date").alias("unique_days"),
-        F.sum("qty").alias("total_qty"),
+    days = filled.groupBy(*ITEM).agg(F.collect_list(F.struct("date", "price", "qty")).alias("days"))
+
+    # whole millionths while they are keys: exact, and quicker to hash and sort
+    unit = 10**_DIFF_DIGITS
+
+    def against(day, rival):
+        other = F.get(rival["prices"], F.datediff(day["date"], rival["start"]))
+        return F.round((day["price"] - other) * unit).cast("bigint")
+
+    vectors = F.transform(
+        "days",
+        lambda day: F.struct(
+            day["date"].alias("date"),
+            day["price"].alias("price"),
+            day["qty"].alias("qty"),
+            F.transform("others", lambda rival: against(day, rival)).alias("differences"),
+        ),
+    )
+    points = (
+        place(days, ITEM)
+        .join(rivals, ITEM)
+        .select(*ITEM, F.col("others.product_2").alias("rivals"), F.explode(vectors).alias("day"))
+        .select(*ITEM, "rivals", "day.*")
+        .groupBy(*ITEM, "rivals", "price", "differences")
+        .agg(
+            F.count_distinct("date").alias("unique_days"),
+            F.sum("qty").alias("total_qty"),
+        )
     )
     down = (
-        Window.partitionBy(*STORE_PRODUCT)
+        Window.partitionBy(*ITEM)
         .orderBy(F.col("price").desc(), F.col("differences").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    total = F.aggregate("differences", F.lit(0.0), lambda acc, d: acc + F.coalesce(d, F.lit(0.0)))
+    nothing = F.lit(0).cast("bigint")
+    total = F.aggregate("differences", nothing, lambda acc, d: acc + F.coalesce(d, nothing))
     return points.withColumn("avg_qty", F.col("total_qty") / F.col("unique_days")).select(
         *ITEM,
         "price",
         "rivals",
-        "differences",
-        F.round(total, _DIFF_DIGITS).alias("price_diff_all"),
+        F.transform("differences", lambda d: d / unit).alias("differences"),
+        (total / unit).alias("price_diff_all"),
         "unique_days",
         "total_qty",
         "avg_qty",

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tillwise import config
 from tillwise.functions.numeric import linearity, r2_band
 from tillwise.functions.student_t import two_sided_p
-from tillwise.operators.keys import HIERARCHY, ITEM, STORE_PRODUCT
-from tillwise.operators.prep import carried_prices
+from tillwise.operators.keys import ITEM, STORE_PRODUCT
+from tillwise.operators.prep import with_idle_days
 
 PRICE = "Price"
 CONST = "const"
@@ -46,23 +46,13 @@ def demand_points_carried(daily: DataFrame) -> DataFrame:
     lengths of the gaps are enough. The work follows the days with sales instead
     of the whole calendar.
     """
-    keys = [*HIERARCHY, "calculation_group"]
-    ranges, _, _ = carried_prices(daily, keys)
-    idle = ranges.select(
-        *ITEM,
-        "price",
-        (F.datediff("last_day", "first_day") + 1).cast("bigint").alias("days"),
-        F.lit(0.0).alias("qty"),
-    )
-    busy = (
-        daily.groupBy(*ITEM, "price", "date")
-        .agg(F.sum("qty").alias("qty"))
-        .select(*ITEM, "price", F.lit(1).cast("bigint").alias("days"), "qty")
-    )
+    idle = F.sum(F.col("idle_ahead") + F.col("idle_after"))
     return _finish_points(
-        busy.unionByName(idle)
+        with_idle_days(daily)
         .groupBy(*ITEM, "price")
-        .agg(F.sum("days").alias("unique_days"), F.sum("qty").alias("total_qty"))
+        .agg(
+            (F.count_distinct("date") + idle).alias("unique_days"), F.sum("qty").alias("total_qty")
+        )
     )
 
 

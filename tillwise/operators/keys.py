@@ -27,3 +27,12 @@ def join_null_safe(
     renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
     on = [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
     return left.join(renamed, on, how).drop(*[f"__right_{k}" for k in keys])
+
+
+def place(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bring equal keys together, in a fixed number of partitions.
+
+    For tables whose rows multiply right afterwards: without a number Spark
+    merges partitions by the size they have before that.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

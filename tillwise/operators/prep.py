@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwise import config
 from tillwise.functions import dates, text
-from tillwise.operators.keys import HIERARCHY, ITEM, STORE_PRODUCT, present
+from tillwise.operators.keys import HIERARCHY, ITEM, STORE_PRODUCT, place, present
 
 DAILY_KEYS = [*HIERARCHY, "date", "price"]
 DAILY_LEVELS = [["store"], ["department", "space", "category"], ["product"], ["date", "price"]]
@@ -167,61 +167,52 @@ def only_active(weekly: DataFrame, thresholds: DataFrame) -> DataFrame:
     return weekly.join(_active_products(weekly, thresholds), ITEM, "left_semi")
 
 
-def carried_prices(daily: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column, Column]:
-    """Days without a sale, as ranges with the price that carries over them.
+def with_idle_days(daily: DataFrame, calendar_of: DataFrame | None = None) -> DataFrame:
+    """Daily rows with the days without a sale that their price carries over.
 
-    One row per product and price stretch: ``first_day``, ``last_day``, ``price``.
-    A gap takes the last price of the day before it, days before the first sale
-    take the first known price. The window runs over the distinct selling days
-    of one product, a number the calendar bounds.
+    ``idle_after`` days follow the last row of a day until the product sells
+    again or the data ends; ``idle_ahead`` days lead up to a product's first row.
+    The data's range is that of ``calendar_of`` if given.
 
-    Also gives the first and last day of the data as columns.
+    The table is placed by store and product once, and everything per product
+    that follows finds it there. That is safe on daily sales: a product has at
+    most as many rows as days and prices, however often it is sold.
     """
-    span = daily.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    keys = [c for c in [*HIERARCHY, "calculation_group"] if c in daily.columns]
+    whole = daily if calendar_of is None else calendar_of
+    span = whole.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     first, last = span.select("lo").scalar(), span.select("hi").scalar()
-    days = daily.groupBy(*keys, "date").agg(F.min("price").alias("__low"), F.max("price").alias("__high"))
-    by_day = Window.partitionBy(*keys).orderBy("date")
-    marked = days.withColumns(
+    in_time = Window.partitionBy(*keys).orderBy("date", "price")
+    following = F.coalesce(F.lead("date").over(in_time), F.date_add(last, 1))
+    return place(daily, STORE_PRODUCT).withColumns(
         {
-            "__next": F.lead("date").over(by_day),
-            "__is_first": F.row_number().over(by_day) == 1,
-            "__lo": first,
-            "__hi": last,
+            "idle_after": F.greatest(F.datediff(following, "date") - 1, F.lit(0)),
+            "idle_ahead": F.when(
+                F.row_number().over(in_time) == 1, F.datediff("date", first)
+            ).otherwise(0),
         }
     )
-    after = F.struct(
-        F.date_add("date", 1).alias("first_day"),
-        F.coalesce(F.date_sub("__next", 1), F.col("__hi")).alias("last_day"),
-        F.col("__high").alias("price"),
-    )
-    ahead = F.struct(
-        F.col("__lo").alias("first_day"),
-        F.date_sub("date", 1).alias("last_day"),
-        F.col("__low").alias("price"),
-    )
-    ranges = marked.select(
-        *keys,
-        F.explode(F.when(F.col("__is_first"), F.array(ahead, after)).otherwise(F.array(after))).alias("r"),
-    ).select(*keys, "r.*")
-    return ranges.filter(F.col("first_day") <= F.col("last_day")), first, last
 
 
-def fill_daily(daily: DataFrame) -> DataFrame:
+def fill_daily(daily: DataFrame, calendar_of: DataFrame | None = None) -> DataFrame:
     """A row for every product and day of the data's date range.
 
-    Added days have quantity 0, the carried price and ``original_ind`` 0.
+    Added days have quantity 0, the carried price and ``original_ind`` 0. Each
+    row becomes the run of days it stands for, so no calendar is joined.
     """
-    keys = [c for c in [*HIERARCHY, "calculation_group"] if c in daily.columns]
-    ranges, _, _ = carried_prices(daily, keys)
-    added = ranges.select(
-        *keys,
-        F.explode(F.sequence("first_day", "last_day")).alias("date"),
-        "price",
-        F.lit(0.0).alias("qty"),
-        F.lit(0).alias("original_ind"),
+    run = F.sequence(F.date_sub("date", F.col("idle_ahead")), F.date_add("date", F.col("idle_after")))
+    kept = [c for c in daily.columns if c not in ("date", "qty")]
+    sold = F.col("day") == F.col("date")
+    return (
+        with_idle_days(daily, calendar_of)
+        .select(*kept, "date", "qty", F.explode(run).alias("day"))
+        .select(
+            *kept,
+            F.when(sold, F.col("qty")).otherwise(0.0).alias("qty"),
+            F.when(sold, 1).otherwise(0).alias("original_ind"),
+            F.col("day").alias("date"),
+        )
     )
-    seen = daily.select(*keys, "date", "price", "qty", F.lit(1).alias("original_ind"))
-    return seen.unionByName(added)
 
 
 def cap_outliers(sales: DataFrame, limit: float = config.OUTLIER_QTY) -> DataFrame:

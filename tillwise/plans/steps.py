@@ -74,8 +74,8 @@ def cross_points(sales: DataFrame, chosen: DataFrame) -> DataFrame:
     involved = chosen.select("store", F.col("product_1").alias("product")).unionByName(
         chosen.select("store", F.col("product_2").alias("product"))
     )
-    filled = prep.fill_daily(sales).join(involved, ["store", "product"], "left_semi")
-    return crosseffects.demand_points_cross(crosseffects.price_difference_features(filled, chosen))
+    filled = prep.fill_daily(sales.join(involved, ["store", "product"], "left_semi"), calendar_of=sales)
+    return crosseffects.demand_points_cross(filled, chosen)
 
 
 def sales_features(sales: DataFrame) -> DataFrame:
@@ -156,8 +156,9 @@ def optimise(
     stores: Sequence[str] | None = config.SAMPLE_STORES,
     groups: Sequence[str] | None = config.TEST_GROUPS,
     consistent: bool = False,
+    outlier_qty: float = config.OUTLIER_QTY,
 ) -> DataFrame:
     """Step 4 as a whole, for products whose cross model explains more."""
-    grid = stage(priced_grid(sales, costs), "grid")
+    grid = stage(priced_grid(sales, costs, outlier_qty), "grid")
     better = stage(crosseffects.uplift_models(models.cross, models.comparison), "uplift")
     return joint_prices(better, models.simple, grid, store_ref, stores, groups, consistent)
