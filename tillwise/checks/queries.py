@@ -1,8 +1,9 @@
 """Every operator as a query over the bundled test tables.
 
 Values that depend on the order of floating-point sums are cut to six places, so
-that they can be compared with another engine's. The cut lies off the middle
-between two steps: short decimals often sit exactly there.
+that they can be compared with another engine's, results of the competitor
+models to four: they subtract large effects from each other. The cut lies off the
+middle between two steps, as short decimals often sit exactly there.
 """
 
 from __future__ import annotations
@@ -44,8 +45,16 @@ PRODUCTS = [
 CUT = 0.4375
 
 
+def _cut(df: DataFrame, columns: tuple[str, ...], unit: float) -> DataFrame:
+    return df.withColumns({c: F.floor(F.col(f"`{c}`") * unit + CUT) / unit for c in columns})
+
+
 def r6(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.floor(F.col(f"`{c}`") * 1e6 + CUT) / 1e6 for c in columns})
+    return _cut(df, columns, 1e6)
+
+
+def r4(df: DataFrame, *columns: str) -> DataFrame:
+    return _cut(df, columns, 1e4)
 
 
 class _Inputs:
@@ -69,11 +78,11 @@ class _Inputs:
 
     @property
     def weekly(self) -> DataFrame:
-        return prep.keep_price_changes(prep.weekly_sales(self.sales), "avg_price")
+        return steps.weekly_for_pairs(self.sales_table)
 
     @property
     def activity(self) -> DataFrame:
-        groups = self.sales.select("store", "calculation_group").distinct()
+        groups = self.sales_table.select("store", "calculation_group").distinct()
         once = groups.select(
             F.lit(1).alias("threshold_id"), "*", F.lit(45.0).alias("threshold"), F.lit(10).alias("weeks_above_threshold")
         )
@@ -90,8 +99,7 @@ class _Inputs:
     @cached_property
     def chosen(self) -> DataFrame:
         """The competing pairs, as a table: several consumers read them."""
-        weekly = steps.weekly_for_pairs(self.sales_table)
-        return scratch.stage(steps.competing_pairs(weekly, PAIR_THRESHOLDS), "pairs")
+        return scratch.stage(steps.competing_pairs(self.weekly, PAIR_THRESHOLDS), "pairs")
 
     def cross_points(self) -> DataFrame:
         return steps.cross_points(self.sales_table, self.chosen)
@@ -119,7 +127,7 @@ class _Inputs:
 
     @property
     def grid(self) -> DataFrame:
-        return steps.priced_grid(self.sales, self.lowest_cost, OUTLIER_QTY)
+        return steps.priced_grid(self.sales_table, self.lowest_cost, OUTLIER_QTY)
 
     @property
     def models(self) -> steps.Models:
@@ -131,8 +139,7 @@ class _Inputs:
         better = scratch.stage(
             prep.scope_to_test(crosseffects.uplift_models(models.cross, models.comparison)), "uplift"
         )
-        grid = steps.priced_grid(self.sales_table, self.lowest_cost, OUTLIER_QTY)
-        grid = scratch.stage(prep.scope_to_test(grid), "grid")
+        grid = scratch.stage(prep.scope_to_test(self.grid), "grid")
         return better, grid, simulate.simulate_simple(models.simple, grid)
 
 
@@ -209,19 +216,19 @@ def weekly_sales_quarter(i: _Inputs) -> DataFrame:
 
 
 def activity_threshold(i: _Inputs) -> DataFrame:
-    return prep.keep_active(prep.weekly_sales(i.sales), i.activity)
+    return prep.keep_active(prep.weekly_sales(i.sales_table), i.activity)
 
 
 def price_change_filter(i: _Inputs) -> DataFrame:
-    return prep.keep_price_changes(i.sales)
+    return prep.keep_price_changes(i.sales_table)
 
 
 def cap_outliers(i: _Inputs) -> DataFrame:
-    return prep.cap_outliers(i.sales, OUTLIER_QTY)
+    return prep.cap_outliers(i.sales_table, OUTLIER_QTY)
 
 
 def fill_daily(i: _Inputs) -> DataFrame:
-    filled = prep.fill_daily(i.sales)
+    filled = prep.fill_daily(i.sales_table)
     return filled.groupBy(*ITEM, "price", "original_ind").agg(
         F.count(F.lit(1)).alias("days"),
         F.min("date").alias("first_date"),
@@ -267,7 +274,7 @@ def coverage_stats(i: _Inputs) -> DataFrame:
 
 
 def quantile_bounds(i: _Inputs) -> DataFrame:
-    bounds = audit.quantile_bounds(prep.keep_price_changes(i.sales), ["qty", "price"])
+    bounds = audit.quantile_bounds(prep.keep_price_changes(i.sales_table), ["qty", "price"])
     return r6(bounds, "q1", "q3", "q99", "iqr", "lower_bound", "upper_bound")
 
 
@@ -322,7 +329,7 @@ def lowest_cost(i: _Inputs) -> DataFrame:
 
 
 def feasible_cost(i: _Inputs) -> DataFrame:
-    products = i.sales.select("store", "product").distinct()
+    products = i.sales_table.select("store", "product").distinct()
     master = i.product_cost.join(
         cost.cost_from_transactions(i.transactions), ["store", "product"], "full"
     )
@@ -357,32 +364,32 @@ _MODEL = ["coefficient", "intercept", "p_value", "r_squared"]
 
 
 def unique_prices_window(i: _Inputs) -> DataFrame:
-    return prep.price_stats_per_row(i.sales)
+    return prep.price_stats_per_row(i.sales_table)
 
 
 def demand_points(i: _Inputs) -> DataFrame:
-    return demand.demand_points_carried(i.sales)
+    return demand.demand_points_carried(i.sales_table)
 
 
 def demand_points_observed(i: _Inputs) -> DataFrame:
-    return demand.demand_points(i.sales)
+    return demand.demand_points(i.sales_table)
 
 
 def cumulative_demand(i: _Inputs) -> DataFrame:
-    return r6(demand.cumulative_demand(demand.demand_points_carried(i.sales)), "inverted_qty")
+    return r6(demand.cumulative_demand(demand.demand_points_carried(i.sales_table)), "inverted_qty")
 
 
 def simple_regression(i: _Inputs) -> DataFrame:
-    return r6(steps.simple_models(i.sales), *_MODEL)
+    return r6(steps.simple_models(i.sales_table), *_MODEL)
 
 
 def r2_band(i: _Inputs) -> DataFrame:
-    models = steps.simple_models(i.sales)
+    models = steps.simple_models(i.sales_table)
     return models.groupBy("calculation_group", "r_squared_group", "linearity").agg(F.count(F.lit(1)).alias("models"))
 
 
 def product_features(i: _Inputs) -> DataFrame:
-    return steps.sales_features(i.sales)
+    return steps.sales_features(i.sales_table)
 
 
 def constant_elasticity(i: _Inputs) -> DataFrame:
@@ -415,26 +422,26 @@ def demand_points_cross(i: _Inputs) -> DataFrame:
 
 
 def vif(i: _Inputs) -> DataFrame:
-    return r6(crosseffects.variance_inflation(i.cross_points()), "vif")
+    return r4(crosseffects.variance_inflation(i.cross_points()), "vif")
 
 
 def ols_model(i: _Inputs) -> DataFrame:
-    return r6(crosseffects.cross_model(i.cross_points()), *_MODEL, "vif")
+    return r4(crosseffects.cross_model(i.cross_points()), *_MODEL, "vif")
 
 
 def ols_model_literal(i: _Inputs) -> DataFrame:
-    return r6(crosseffects.cross_model(i.cross_points(), features="literal"), *_MODEL, "vif")
+    return r4(crosseffects.cross_model(i.cross_points(), features="literal"), *_MODEL, "vif")
 
 
 def model_comparison(i: _Inputs) -> DataFrame:
     measured = [f"{m}_{kind}" for m in _MODEL for kind in ("simple", "cross")]
-    return r6(i.models.comparison, *measured, "vif_cross", "lift_by_cannibalization")
+    return r4(i.models.comparison, *measured, "vif_cross", "lift_by_cannibalization")
 
 
 def uplift_models(i: _Inputs) -> DataFrame:
     models = i.models
     better = crosseffects.uplift_models(models.cross, models.comparison)
-    return r6(better, *_MODEL, "vif", "r_squared_simple", "r_squared_cross", "lift_by_cannibalization")
+    return r4(better, *_MODEL, "vif", "r_squared_simple", "r_squared_cross", "lift_by_cannibalization")
 
 
 def _tree(i: _Inputs) -> tuple[quality.QualityTree, DataFrame]:
@@ -458,7 +465,7 @@ _OUTCOME = ["qty_predicted", "profit_predicted"]
 
 
 def price_grid(i: _Inputs) -> DataFrame:
-    clean = prep.cap_outliers(prep.keep_price_changes(i.sales), OUTLIER_QTY)
+    clean = prep.cap_outliers(prep.keep_price_changes(i.sales_table), OUTLIER_QTY)
     return simulate.price_grid(clean)
 
 
@@ -467,32 +474,32 @@ def grid_with_cost(i: _Inputs) -> DataFrame:
 
 
 def simulate_simple(i: _Inputs) -> DataFrame:
-    return r6(simulate.simulate_simple(steps.simple_models(i.sales), i.grid), *_OUTCOME)
+    return r6(simulate.simulate_simple(steps.simple_models(i.sales_table), i.grid), *_OUTCOME)
 
 
 def best_price_simple(i: _Inputs) -> DataFrame:
-    best = simulate.best_price(simulate.simulate_simple(steps.simple_models(i.sales), i.grid))
+    best = simulate.best_price(simulate.simulate_simple(steps.simple_models(i.sales_table), i.grid))
     return r6(best, *_OUTCOME)
 
 
 def simulate_constant_elasticity(i: _Inputs) -> DataFrame:
-    outcome = simulate.simulate_constant_elasticity(demand.constant_elasticity(i.sales), i.grid)
+    outcome = simulate.simulate_constant_elasticity(demand.constant_elasticity(i.sales_table), i.grid)
     return r6(outcome, *_OUTCOME)
 
 
 def strategy_best_price(i: _Inputs) -> DataFrame:
-    return r6(strategy.best_prices(i.sales, i.lowest_cost), *_OUTCOME)
+    return r6(strategy.best_prices(i.sales_table, i.lowest_cost), *_OUTCOME)
 
 
 def own_effect(i: _Inputs) -> DataFrame:
     better, grid, _ = i.simulation()
-    return r6(simulate.own_effect(better, grid), "coefficient", "intercept", "simulation_profit", "qty_adjustment")
+    return r4(simulate.own_effect(better, grid), "coefficient", "intercept", "simulation_profit", "qty_adjustment")
 
 
 def competitor_effect(i: _Inputs) -> DataFrame:
     better, grid, outcome = i.simulation()
     effect = simulate.competitor_effect(better, grid, outcome)
-    return r6(effect, "coefficient", "profit_predicted", "qty_adjustment")
+    return r4(effect, "coefficient", "profit_predicted", "qty_adjustment")
 
 
 def _joint_rows(joint: DataFrame) -> DataFrame:
@@ -506,7 +513,7 @@ def _joint_rows(joint: DataFrame) -> DataFrame:
             F.lit(""),
         ),
     ).drop("competitors")
-    return r6(flat, "simulation_profit", "predicted_qty", "profit_predicted", "profit_predicted_all")
+    return r4(flat, "simulation_profit", "predicted_qty", "profit_predicted", "profit_predicted_all")
 
 
 def joint_best_price(i: _Inputs) -> DataFrame:
@@ -520,7 +527,7 @@ def joint_best_price_consistent(i: _Inputs) -> DataFrame:
 def baseline_profit(i: _Inputs) -> DataFrame:
     better, _, outcome = i.simulation()
     baseline = simulate.baseline_profit(better, simulate.best_price(outcome))
-    return r6(baseline, "profit_predicted_all_reg")
+    return r4(baseline, "profit_predicted_all_reg")
 
 
 def _uplift(i: _Inputs) -> DataFrame:
@@ -531,17 +538,17 @@ def _uplift(i: _Inputs) -> DataFrame:
 
 def profit_uplift(i: _Inputs) -> DataFrame:
     profits = [c for c in simulate.COMMON_COLUMNS if c.startswith("profit")]
-    return r6(simulate.common_result(_uplift(i)), *profits)
+    return r4(simulate.common_result(_uplift(i)), *profits)
 
 
 def result_pivot(i: _Inputs) -> DataFrame:
-    best = simulate.best_price(simulate.simulate_simple(steps.simple_models(i.sales), i.grid))
+    best = simulate.best_price(simulate.simulate_simple(steps.simple_models(i.sales_table), i.grid))
     wide = simulate.result_pivot(best, PRODUCTS)
     return r6(wide, *[c for c in wide.columns if c.startswith("profit")])
 
 
 def partitioned_result(i: _Inputs) -> DataFrame:
-    best = simulate.best_price(simulate.simulate_simple(steps.simple_models(i.sales), i.grid))
+    best = simulate.best_price(simulate.simulate_simple(steps.simple_models(i.sales_table), i.grid))
     codes = i.tables["store_ref"].withColumnRenamed("store_name", "store")
     path = scratch.new_path(i.spark, "best-prices")
     tables.write_partitioned_result(best.join(codes, "store"), path)

@@ -21,14 +21,18 @@ def _quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-def _cut(expression: str) -> str:
-    return f"floor(({expression}) * 1e6 + {q.CUT}) / 1e6"
+def _cut(expression: str, unit: str = "1e6") -> str:
+    return f"floor(({expression}) * {unit} + {q.CUT}) / {unit}"
 
 
 def _r6(expression: str, name: str | None = None) -> str:
     return f"{_cut(expression)} AS {name or expression.split('.')[-1]}"
 
 
+def _r4(expression: str, name: str | None = None) -> str:
+    return f"{_cut(expression, '1e4')} AS {name or expression.split('.')[-1]}"
+
+
 def _strip(title: str) -> str:
     return f"substring({title}, strpos({title}, '-') + 2)"
 
@@ -441,14 +445,14 @@ def _compose(body: str) -> str:
     return f"WITH RECURSIVE {parts}\n{body}"
 
 
-def _rounded(part: str, columns: list[str]) -> str:
-    listed = ", ".join(_r6(c) for c in columns)
+def _rounded(part: str, columns: list[str], cut=_r6) -> str:
+    listed = ", ".join(cut(c) for c in columns)
     return f"SELECT * REPLACE ({listed}) FROM {part}"
 
 
 _CORRELATIONS = ["correlation_coefficient_p", "correlation_coefficient_q", "total_correlation"]
-_JOINT = f"""SELECT {ITEM}, simulation_prices, cost_lowest, {_r6("simulation_profit")},
-    {_r6("predicted", "predicted_qty")}, {_r6("profit_predicted")}, {_r6("profit_predicted_all")}, competitor_prices FROM """
+_JOINT = f"""SELECT {ITEM}, simulation_prices, cost_lowest, {_r4("simulation_profit")},
+    {_r4("predicted", "predicted_qty")}, {_r4("profit_predicted")}, {_r4("profit_predicted_all")}, competitor_prices FROM """
 _COMPARED = [f"{m}_{kind}" for m in q._MODEL for kind in ("simple", "cross")]
 
 BODIES: dict[str, str] = {
@@ -552,13 +556,13 @@ BODIES: dict[str, str] = {
         FROM cross_points""",
     "vif": f"""
         SELECT {ITEM}, CASE WHEN a = 1 THEN 'Price' ELSE rivals[a - 1] END AS variable,
-               {_r6(f"-s[{_DIAG}] * g[{_DIAG}]", "vif")}
+               {_r4(f"-s[{_DIAG}] * g[{_DIAG}]", "vif")}
         FROM (SELECT *, unnest(active) AS a, {_SWEPT} AS s FROM (SELECT *, range(1, n) AS active FROM moments))""",
-    "ols_model": _rounded("crossed", [*q._MODEL, "vif"]),
-    "ols_model_literal": _rounded("cross_literal", [*q._MODEL, "vif"]),
-    "model_comparison": _rounded("compared", [*_COMPARED, "vif_cross", "lift_by_cannibalization"]),
+    "ols_model": _rounded("crossed", [*q._MODEL, "vif"], _r4),
+    "ols_model_literal": _rounded("cross_literal", [*q._MODEL, "vif"], _r4),
+    "model_comparison": _rounded("compared", [*_COMPARED, "vif_cross", "lift_by_cannibalization"], _r4),
     "uplift_models": _rounded(
-        "better", [*q._MODEL, "vif", "r_squared_simple", "r_squared_cross", "lift_by_cannibalization"]
+        "better", [*q._MODEL, "vif", "r_squared_simple", "r_squared_cross", "lift_by_cannibalization"], _r4
     ),
     "price_grid": "SELECT * FROM grid",
     "grid_with_cost": _rounded("priced", ["simulation_profit"]),
@@ -576,18 +580,18 @@ BODIES: dict[str, str] = {
                     LEFT JOIN costs USING (store, product)))
         WHERE simulation_prices > cost AND profit_predicted > 0
         QUALIFY row_number() OVER (PARTITION BY {ITEM} ORDER BY round(profit_predicted, 9) DESC, grid_idx) = 1""",
-    "own_effect": f"""SELECT {ITEM}, {_r6("coefficient")}, {_r6("intercept")}, grid_idx, simulation_prices, cost_lowest,
-        {_r6("simulation_profit")}, {_r6("qty_adjustment")} FROM own_rows""",
+    "own_effect": f"""SELECT {ITEM}, {_r4("coefficient")}, {_r4("intercept")}, grid_idx, simulation_prices, cost_lowest,
+        {_r4("simulation_profit")}, {_r4("qty_adjustment")} FROM own_rows""",
     "competitor_effect": f"""
-        SELECT r.store, r.calculation_group, r.product, r.variable, {_r6("r.coefficient")}, c.grid_idx, c.simulation_prices,
-               {_r6("c.profit_predicted")}, {_r6("r.coefficient * c.simulation_prices", "qty_adjustment")}
+        SELECT r.store, r.calculation_group, r.product, r.variable, {_r4("r.coefficient")}, c.grid_idx, c.simulation_prices,
+               {_r4("c.profit_predicted")}, {_r4("r.coefficient * c.simulation_prices", "qty_adjustment")}
         FROM rivals r JOIN outcome c ON c.store = r.store AND c.calculation_group = r.calculation_group AND c.product = r.variable""",
     "joint_best_price": _JOINT + "joint",
     "joint_best_price_consistent": _JOINT + "joint_consistent",
-    "baseline_profit": _rounded("baseline", ["profit_predicted_all_reg"]),
+    "baseline_profit": _rounded("baseline", ["profit_predicted_all_reg"], _r4),
     "profit_uplift": f"""
-        SELECT {ITEM}, {_r6("j.profit_predicted")}, {_r6("profit_predicted_all", "profit_predicted_all_cnbl")},
-               {_r6("profit_predicted_all_reg")}, {_r6("profit_predicted_all - profit_predicted_all_reg", "profit_predicted_all_uplift")}
+        SELECT {ITEM}, {_r4("j.profit_predicted")}, {_r4("profit_predicted_all", "profit_predicted_all_cnbl")},
+               {_r4("profit_predicted_all_reg")}, {_r4("profit_predicted_all - profit_predicted_all_reg", "profit_predicted_all_uplift")}
         FROM joint j JOIN baseline USING ({ITEM}) JOIN store_ref s ON s.store_name = store""",
     "result_pivot": f"""SELECT store, calculation_group, {", ".join(
         f'''{_cut(f"max(profit_predicted) FILTER (product = '{p}')")} AS "profit_predicted_{p}"''' for p in q.PRODUCTS

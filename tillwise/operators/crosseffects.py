@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -223,7 +225,7 @@ def eliminate(
 
 
 def _model_task(literal: bool, max_vif: float, alpha: float):
-    def task(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         names, x, y = _regressors(rows, literal)
         out = pd.DataFrame(
             columns=["variable", "coefficient", "intercept", "p_value", "r_squared", "vif"]
@@ -283,7 +285,7 @@ def variance_inflation(points: DataFrame, features: str = "pairs") -> DataFrame:
     """Inflation factor of every regressor before any is dropped; NULL = infinite."""
     literal = features == "literal"
 
-    def task(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         names, x, y = _regressors(rows, literal)
         if len(y) < 2:
             names, x = [], np.empty((0, 0))

@@ -12,6 +12,7 @@ that pass are written at all.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -172,7 +173,7 @@ def _spearman(a: _Block, b: _Block) -> np.ndarray:
 
 
 def _pair_task(with_rank: bool, with_threshold: bool):
-    def task(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         store, group, block_1, block_2 = key
         weeks = np.unique(np.concatenate([np.asarray(w) for w in rows["weeks"]]))
         a = _Block(rows[rows["own"] == block_1], weeks)
