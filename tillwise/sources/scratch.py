@@ -8,20 +8,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _named(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``.
+    """The folder every executor sees: ``spark.checkpoint.dir``."""
+    named = _named(spark)
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return named.rstrip("/")
 
-    Only a local session without that setting falls back to a new temporary
-    folder; a cluster has to name a shared one.
+
+def set_local_dir(spark: SparkSession) -> None:
+    """Give a single-process session without the setting a folder of its own.
+
+    For tests, timings and trials: there the driver is the only executor. A
+    cluster has to name its folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="tillwise-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if not _named(spark) and spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillwise-"))
 
 
 def new_path(spark: SparkSession, name: str) -> str:
