@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import decontaminate, langid, simhash
+from tillwise.llm import decontaminate, langid, mixing, simhash
+from tillwise.llm.registry import token_file
 from tillwise.llm.texts import fold, read_table
 from tillwise.sources import scratch
 
@@ -26,7 +27,23 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("language", language), ("near duplicates", near_duplicates), ("benchmark", benchmark)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the source weights ask for, the last time in part."""
+    return mixing.take(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token file, and its index as read back: doc_id, start, n_tokens, ids_crc32."""
+    return token_file(docs)
+
+
+STAGES = [
+    ("language", language),
+    ("near duplicates", near_duplicates),
+    ("benchmark", benchmark),
+    ("mix", mix),
+    ("tokens", tokens),
+]
 
 #: The rows come from learned profiles, trees and a tokenizer, which SQL cannot express.
 ORACLE_SQL = None

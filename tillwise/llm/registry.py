@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import decontaminate, langid, simhash
+from tillwise.llm import decontaminate, langid, mixing, simhash, sql, tokenfile
 from tillwise.llm.texts import fold, read_table
+from tillwise.sources import scratch
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan(read_table(spark, sf_dir, "documents"))
+    return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +32,20 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-ALL = [op4_language_id, op6_decontaminate, op7_simhash]
+def token_file(docs: DataFrame) -> DataFrame:
+    """Write the documents' ids to a new token file in the shared folder and index it from the file."""
+    import public_tokenizers
+
+    path = scratch.new_path(docs.sparkSession, "tokens")
+    tokenfile.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokenfile.read_index(docs.sparkSession, path)
+
+
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file(read_table(spark, sf_dir, "documents"))
+
+
+ALL = [op1_mixing, op9_token_file, op4_language_id, op6_decontaminate, op7_simhash]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -34,4 +53,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLE)
