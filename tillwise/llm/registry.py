@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import decontaminate, langid, mixing, simhash, sql, tokenfile
+from tillwise.llm import decontaminate, hostrep, langid, linededup, mixing, pii, simhash, sql, tokenfile
 from tillwise.llm.texts import fold, read_table
 from tillwise.sources import scratch
 
@@ -17,6 +17,19 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+#: Pseudonyms are as secret as this key; a real run takes its own.
+PSEUDONYM_KEY = "test tables"
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(read_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return found.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), F.array_join("found", ",").alias("kinds"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.remove_repeated(read_table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = (fold(F.col("doc_id"), 4) == 2).alias("held_out")
@@ -45,7 +58,29 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file(read_table(spark, sf_dir, "documents"))
 
 
-ALL = [op1_mixing, op9_token_file, op4_language_id, op6_decontaminate, op7_simhash]
+RULES = [
+    hostrep.Rule("allow", "com", "/"),
+    hostrep.Rule("block", "example.com", "/en/"),
+    hostrep.Rule("allow", "www.example.com", "/en/"),
+    hostrep.Rule("block", "net", "/es/"),
+    hostrep.Rule("block", "net", "/fr/"),
+]
+
+
+def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's url ends in the number of the document it was made from, whose labels are its outcome."""
+    pages = read_table(spark, sf_dir, "pages")
+    number = F.regexp_extract(hostrep.path_of(F.col("url")), "^/[^/]*/([0-9]{1,18})(?:[^0-9]|$)", 1)
+    numbered = pages.select("page_id", number.try_cast("long").alias("doc_id"))
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
+    outcomes = numbered.join(labels, "doc_id").select("page_id", "good")
+    return hostrep.judge(pages, outcomes, RULES).drop("bound")
+
+
+ALL = [
+    op1_mixing, op2_pii, op3_line_dedup, op4_language_id, op6_decontaminate, op7_simhash, op9_token_file,
+    op10_host_reputation,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -63,4 +63,85 @@ SELECT p.doc_id, p.size, p.source_size, p.target, (p.size * coalesce(b.budget //
 FROM placed p LEFT JOIN budgets b USING (rank, shard) LEFT JOIN extra e USING (rank, shard, place)
 """
 
-ORACLE = {"op1_mixing": MIXING}
+LINE_DEDUP = r"""
+WITH lines AS (
+    SELECT doc_id, md5(text) AS text_hash, unnest(string_split(text, chr(10))) AS line,
+        unnest(range(0, len(string_split(text, chr(10))))) AS pos
+    FROM documents WHERE text IS NOT NULL
+), windows AS (
+    SELECT l.doc_id, l.text_hash, l.pos, [l.line, m.line, n.line] AS w
+    FROM lines l JOIN lines m ON m.doc_id = l.doc_id AND m.text_hash = l.text_hash AND m.pos = l.pos + 1
+        JOIN lines n ON n.doc_id = l.doc_id AND n.text_hash = l.text_hash AND n.pos = l.pos + 2
+    WHERE regexp_matches(l.line || m.line || n.line, '[^ 	-
+]')
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, text_hash, pos) AS nth FROM windows
+), gone AS (
+    SELECT DISTINCT doc_id, text_hash, pos + k AS pos FROM ordered, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1
+), cleaned AS (
+    SELECT doc_id, text_hash, count(*) AS n_lines, count(g.pos) AS n_removed,
+        coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+    FROM lines l LEFT JOIN gone g USING (doc_id, text_hash, pos) GROUP BY doc_id, text_hash
+)
+SELECT d.doc_id, c.text, coalesce(c.n_lines, 0)::BIGINT AS n_lines, coalesce(c.n_removed, 0)::BIGINT AS n_removed
+FROM documents d LEFT JOIN cleaned c ON c.doc_id = d.doc_id AND c.text_hash = md5(d.text)
+"""
+
+HOST_REPUTATION = r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), urls AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+), numbered AS (
+    SELECT *, try_cast(regexp_extract(path, '^/[^/]*/([0-9]{1,18})([^0-9]|$)', 1) AS BIGINT) AS doc_id FROM urls
+), outcomes AS (
+    SELECT page_id, min((quality = 1 AND toxic = 0)::INT) AS good FROM numbered JOIN labels USING (doc_id)
+    WHERE (quality = 1 AND toxic = 0) IS NOT NULL GROUP BY page_id
+), hosts AS (
+    SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
+        count(good)::DOUBLE AS n, coalesce(sum(good), 0)::DOUBLE AS k
+    FROM urls LEFT JOIN outcomes USING (page_id) GROUP BY host
+), domains AS (
+    SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix
+), suffixes AS (
+    SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY suffix
+), levels AS (
+    SELECT 'host' AS level, domain AS parent, n, k FROM hosts UNION ALL SELECT 'domain', suffix, n, k FROM domains
+    UNION ALL SELECT 'suffix', '', n, k FROM suffixes
+), parents AS (
+    SELECT level, parent, sum(n) AS n, sum(k) AS k, count(*) AS j, sum(k * k / n) AS q, sum(n * n) AS m
+    FROM levels WHERE n > 0 GROUP BY level, parent
+), sums AS (
+    SELECT level, sum(n) AS n, sum(k) AS k, sum(j - 1) AS df, sum(q - k * k / n) AS s, sum(m / n) AS m, sum(k) / sum(n) * (1 - sum(k) / sum(n)) AS noise
+    FROM parents GROUP BY level
+), rhos AS (
+    SELECT level, (s - noise * df) / nullif(noise * (n - m - df), 0) AS rho FROM sums
+), strengths AS (
+    SELECT level, greatest(1, least(10000, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 10000 END)) AS strength FROM rhos
+), suffix_rates AS (
+    SELECT suffix, (k + strength * (SELECT sum(k) / sum(n) FROM suffixes)) / (n + strength) AS rate
+    FROM suffixes, strengths WHERE level = 'suffix'
+), domain_rates AS (
+    SELECT domain, suffix, (k + strength * rate) / (n + strength) AS rate
+    FROM domains JOIN suffix_rates USING (suffix), strengths WHERE level = 'domain'
+), posterior AS (
+    SELECT host, k + strength * rate AS a, n - k + strength * (1 - rate) AS b
+    FROM hosts JOIN domain_rates USING (domain, suffix), strengths WHERE level = 'host'
+), bounds AS (
+    SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM posterior
+), rules(verdict, rule_host, rule_path) AS (
+    VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+        ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fitting AS (
+    SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+        arg_max(verdict, length(rule_host || rule_path)) AS verdict
+    FROM urls JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id
+)
+SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, CASE WHEN bound >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
+FROM urls u JOIN bounds USING (host) LEFT JOIN fitting f USING (page_id)
+"""
+
+ORACLE = {"op1_mixing": MIXING, "op3_line_dedup": LINE_DEDUP, "op10_host_reputation": HOST_REPUTATION}
