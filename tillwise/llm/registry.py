@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import decontaminate, hostrep, langid, linededup, mixing, pii, simhash, sql, tokenfile
+from tillwise.llm import decontaminate, hostrep, isolation, langid, linededup, mixing, pii, simhash, sql, tokenfile
 from tillwise.llm.texts import fold, read_table
 from tillwise.sources import scratch
 
@@ -37,6 +37,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, profiles, ["doc_id", held_out])
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return isolation.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -78,7 +82,7 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL = [
-    op1_mixing, op2_pii, op3_line_dedup, op4_language_id, op6_decontaminate, op7_simhash, op9_token_file,
+    op1_mixing, op2_pii, op3_line_dedup, op4_language_id, op5_quality_rules, op6_decontaminate, op7_simhash, op9_token_file,
     op10_host_reputation,
 ]
 
