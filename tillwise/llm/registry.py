@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import decontaminate, hostrep, isolation, langid, linededup, mixing, pii, simhash, sql, tokenfile
+from tillwise.llm import brown, decontaminate, hostrep, isolation, langid, linededup, mixing, pii, simhash, sql, tokenfile
 from tillwise.llm.texts import fold, read_table
 from tillwise.sources import scratch
 
@@ -49,6 +49,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 10) == 0
+    return brown.score(read_table(spark, sf_dir, "documents"), ~held_out, held_out)
+
+
 def token_file(docs: DataFrame) -> DataFrame:
     """Write the documents' ids to a new token file in the shared folder and index it from the file."""
     import public_tokenizers
@@ -82,7 +87,8 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL = [
-    op1_mixing, op2_pii, op3_line_dedup, op4_language_id, op5_quality_rules, op6_decontaminate, op7_simhash, op9_token_file,
+    op1_mixing, op2_pii, op3_line_dedup, op4_language_id, op5_quality_rules, op6_decontaminate, op7_simhash, op8_brown_lm,
+    op9_token_file,
     op10_host_reputation,
 ]
 
