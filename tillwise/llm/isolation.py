@@ -128,10 +128,14 @@ def grow(points: np.ndarray, trees: int, sample: int, seed: int) -> Forest:
 
 @dataclass(frozen=True)
 class Settings:
-    """The forest is grown on ``good_rows`` and ``bad_rows`` labelled rows at most, chosen by a hash of doc_id."""
+    """The forest is grown on ``good_rows`` good labelled rows at most and a hundredth of that of bad ones.
+
+    Rows are chosen by a hash of doc_id. Bad rows must be rare among them: a
+    forest finds what few rows have, and without any it would never cut between them.
+    """
 
     good_rows: int = 4096
-    bad_rows: int = 40
+    good_per_bad: int = 100
     trees: int = 100
     sample: int = 256
     seed: int = 7
@@ -142,8 +146,8 @@ def threshold(histogram: list[tuple[int, int, int]], most_good_lost: float) -> f
     """The score from which documents go, from (step, quality, rows).
 
     Of the steps that cost at most that share of the good rows, the one that
-    separates good from bad rows best (the highest of equally good ones). Without
-    good or without bad rows nothing goes.
+    separates good from bad rows best; of equally good neighbours the middle one,
+    of several such runs the highest. Without good or without bad rows nothing goes.
     """
     good, bad = np.zeros(STEPS + 2), np.zeros(STEPS + 2)
     for step, quality, n in histogram:
@@ -152,7 +156,9 @@ def threshold(histogram: list[tuple[int, int, int]], most_good_lost: float) -> f
         return 2.0
     lost, caught = good[::-1].cumsum()[::-1] / good.sum(), bad[::-1].cumsum()[::-1] / bad.sum()
     gain = np.where(lost <= most_good_lost, caught - lost, -1)
-    return (len(gain) - 1 - int(np.argmax(gain[::-1]))) / STEPS
+    best = np.flatnonzero(gain == gain.max())
+    run = best[best - np.arange(len(best)) == best[-1] - len(best) + 1]
+    return (int(run[0]) + int(run[-1])) // 2 / STEPS
 
 
 def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -174,14 +180,17 @@ def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     labelled = counted.filter("not base_failed").join(known, "doc_id")
     order = [F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id", *COUNTS]
-    taught = [
-        labelled.filter(F.col("quality") == quality).orderBy(*order).limit(most).select(*COUNTS).toPandas().to_numpy(np.int64)
-        for quality, most in ((1, settings.good_rows), (0, settings.bad_rows))
-    ]
-    if not len(taught[0]) or not len(taught[1]):
+
+    def some(quality: int, most: int) -> np.ndarray:
+        rows = labelled.filter((F.col("quality") > 0) == bool(quality)).orderBy(*order).limit(most)
+        return rows.select(*COUNTS).toPandas().to_numpy(np.int64)
+
+    good = some(1, settings.good_rows)
+    bad = some(0, -(-len(good) // settings.good_per_bad))
+    if not len(good) or not len(bad):
         decided = counted.withColumn("kept", ~F.col("base_failed")).withColumn("score", F.lit(0.0))
         return decided.select("doc_id", *BASE, "base_failed", "kept", "score")
-    forest = grow(features(np.concatenate(taught)), settings.trees, settings.sample, settings.seed)
+    forest = grow(features(np.concatenate([good, bad])), settings.trees, settings.sample, settings.seed)
     scored = scratch.stage(_scored(counted, forest), "isolation")
     step = F.floor(F.col("score") * STEPS).cast("int")
     seen = scored.filter("not base_failed").join(known, "doc_id").groupBy(step.alias("step"), (F.col("quality") > 0).cast("int").alias("good"))
