@@ -246,14 +246,27 @@ def test_stock_strategy_has_no_pairs(spark):
 
 
 def test_quality_tree(spark):
-    rows = [("S" if i % 2 else "T", "G", f"P{i}", i % 2, i, float(i), float(i) / 9, i, "High" if i % 2 else "Low") for i in range(80)]
+    rows = [("SRT"[i % 3], "GH"[i % 2], f"P{i}", i % 2, i, float(i), float(i) / 9, i, "High" if i % 2 else "Low") for i in range(120)]
     schema = "store string, calculation_group string, product string, cannibalization_ind int, unique_prices int, total_qty double, avg_qty double, days_with_sales int, r_squared_group_simple string"
     comparison = spark.createDataFrame(rows, schema)
     train, test = quality.split_rows(comparison)
-    assert train.count() + test.count() == 80
-    tree = quality.fit_quality_tree(train, max_depth=5)
+    assert train.count() + test.count() == 120 and 0 < test.count() < 60
+    tree = quality.fit_quality_tree(comparison, train)
+    assert list(tree.features) == quality.feature_names(comparison) == [*quality.NUMBERS, "store_T", "store_S", "calculation_group_H"]
     assert np.isclose(tree.importances().agg(F.sum("importance")).first()[0], 1.0)
-    assert all(r.recall == 1.0 for r in tree.report(test).collect())
+    report = {r.label: r for r in tree.report(test).collect()}
+    assert set(report) == {"High", "Low", "accuracy", "macro avg", "weighted avg"} and all(r.recall == 1.0 for r in report.values())
+    assert report["accuracy"].support == test.count()
+
+
+def test_report_names_labels_that_are_only_predicted(spark):
+    rows = [("S", "G", f"P{i}", 0, 1, float(i >= 40), 1.0, 1, "High" if i >= 40 else "Low") for i in range(80)]
+    schema = "store string, calculation_group string, product string, cannibalization_ind int, unique_prices int, total_qty double, avg_qty double, days_with_sales int, r_squared_group_simple string"
+    comparison = spark.createDataFrame(rows, schema)
+    tree = quality.fit_quality_tree(comparison, comparison, max_depth=quality.DRAWN_DEPTH)
+    wrong = comparison.filter("total_qty = 1").limit(3).withColumn("r_squared_group_simple", F.lit("Low"))
+    report = {r.label: r for r in tree.report(wrong).collect()}
+    assert (report["High"].support, report["Low"].support, report["accuracy"].recall) == (0, 3, 0.0)
 
 
 def test_plan_prunes_and_pushes(spark):
@@ -263,3 +276,111 @@ def test_plan_prunes_and_pushes(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual" in text
     assert "l_extendedprice" not in text
+
+
+def two_listings(spark):
+    """Random sales, part of them under a second category of the same group."""
+    sales = random_daily(spark, products=5, days=80, seed=5)
+    other = F.when(F.pmod(F.xxhash64("date", "product"), F.lit(3)) == 0, "CHOCOLATES, COOKING").otherwise(F.col("category"))
+    doubled = sales.filter("product in ('P0', 'P1')").withColumn("category", F.lit("CHOCOLATES, DARK")).withColumn("qty", F.col("qty") + 1)
+    return sales.withColumn("category", other).unionByName(doubled)
+
+
+def test_listings_of_a_product_are_one_product(spark):
+    sales = two_listings(spark)
+    short, full = demand.demand_points_carried(sales), demand.demand_points(prep.fill_daily(sales))
+    assert short.exceptAll(full).isEmpty() and full.exceptAll(short).isEmpty()
+    days = short.groupBy("product").agg(F.sum("unique_days").alias("n")).collect()
+    span = sales.agg(F.datediff(F.max("date"), F.min("date")) + 1).first()[0]
+    prices = {r["product"]: r.n for r in sales.groupBy("product", "date").agg(F.count_distinct("price").alias("n")).groupBy("product").agg(F.sum(F.col("n") - 1).alias("n")).collect()}
+    assert all(r.n == span + prices[r["product"]] for r in days)
+
+
+@pytest.mark.parametrize("block", [2, 100])
+def test_pairs_of_products_with_two_listings(spark, block):
+    weekly = prep.weekly_sales(two_listings(spark))
+    rows = weekly.toPandas()
+    got = pairs.pair_rank_correlation(weekly, block=block).toPandas()
+    assert len(got) == 20
+    for r in got.itertuples():
+        both = rows[rows["product"] == r.product_1].merge(rows[rows["product"] == r.product_2], on="week_index")
+        ranks = both[["qty_x", "qty_y"]].rank()
+        assert np.isclose(r.correlation_coefficient_p, np.corrcoef(both.avg_price_x, both.avg_price_y)[0, 1])
+        assert np.isclose(r.correlation_coefficient_q, np.corrcoef(both.qty_x, both.qty_y)[0, 1])
+        assert np.isclose(r.correlation_coefficient_q_rank, np.corrcoef(ranks.qty_x, ranks.qty_y)[0, 1])
+
+
+def test_all_store_pairs_are_the_same_in_every_store(spark):
+    sales = two_listings(spark).unionByName(random_daily(spark, products=3, days=60, seed=9).withColumn("store", F.lit("T")))
+    weekly = prep.weekly_sales(sales)
+    got = pairs.pair_correlation(weekly, scope="all").toPandas()
+    assert sorted(got["store"].value_counts().items()) == [("S", 20), ("T", 6)]
+    measures = ["correlation_coefficient_p", "correlation_coefficient_q"]
+    assert (got.groupby(["product_1", "product_2"])[measures].nunique() == 1).all().all()
+
+
+def test_two_groups_of_a_product_are_refused(spark):
+    sales = random_daily(spark, products=2, days=5)
+    assert prep.require_one_group(sales) is sales
+    mixed = sales.withColumn("calculation_group", F.when(F.col("price") > 4, "A").otherwise("B"))
+    with pytest.raises(ValueError, match="is in A and in B"):
+        prep.require_one_group(mixed)
+
+
+def test_pivot_refuses_products_without_a_column(spark):
+    best = spark.createDataFrame([("S", "G", "A", 5.0), ("S", "G", "B", 7.0)], "store string, calculation_group string, product string, profit_predicted double")
+    with pytest.raises(Exception, match="no column for product B"):
+        simulate.result_pivot(best, ["A"]).collect()
+
+
+def test_grid_is_that_of_capped_sales(spark):
+    sales = two_listings(spark).withColumn("qty", F.when(F.col("qty") % 7 != 0, F.col("qty")))
+    constant = sales.filter("product = 'P2'").withColumns({"product": F.lit("C"), "price": F.lit(2.5)})
+    sales = sales.unionByName(constant)
+    long = simulate.price_grid(prep.cap_outliers(prep.keep_price_changes(sales), 9))
+    short = simulate.moving_price_grid(sales)
+    assert short.count() > 0 and short.exceptAll(long).isEmpty() and long.exceptAll(short).isEmpty()
+
+
+def test_chosen_pairs_reach_the_demand_model(spark):
+    sales = random_daily(spark, products=4, days=80)
+    given = {}
+
+    def model(moving, chosen):
+        given["pairs"] = chosen.count()
+        return demand.constant_elasticity(moving)
+
+    def two_pairs(weekly):
+        return weekly.sparkSession.createDataFrame([("S", "P0", "P1"), ("S", "P1", "P0")], "store string, product_1 string, product_2 string")
+
+    costs = spark.createDataFrame([("S", "P0", 1.0)], "store string, product string, cost_lowest double")
+    strategy.best_prices(sales, costs, strategy.PricingStrategy(select_pairs=two_pairs, build_demand_model=model)).count()
+    assert given == {"pairs": 2}
+
+
+def test_run_reads_transactions_twice_and_leaves_only_its_files(spark, tmp_path):
+    from tillwise.sources import scratch
+    from tillwise.sources.marketdata import Market
+
+    market = Market(spark, "/root/testdata/sf0.001")
+    raw = str(tmp_path / "raw")
+    market["transaction_items"].write.parquet(raw)
+    sold, reads = spark.read.parquet(raw), []
+
+    def staged(df, name, stage=scratch.stage):
+        reads.append((name, any("/raw/" in f for f in df.inputFiles())))
+        return stage(df, name)
+
+    original, steps.stage = steps.stage, staged
+    try:
+        steps.run(
+            sold, {"deals": cost.deals_in_window(market["thread_deal"], "1998-01-01", "1998-03-31"), "relationships": market["relationships"],
+                   "shops": market["shops"], "products": market["thread_product"], "shop_group": market["shop_group"]},
+            "main", market["store_ref"], str(tmp_path / "out"),
+        )
+    finally:
+        steps.stage = original
+    assert [name for name, raw_read in reads if raw_read] == ["daily", "costs"]
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"models", "prices", "uplift"}
+    assert {p.name for p in (tmp_path / "out" / "models").iterdir()} == {"model_comparison", "simple_regression", "ols"}
+    assert not [p for p in __import__("os").listdir(scratch.shared_dir(spark).removeprefix("file:")) if p.startswith("run-")]

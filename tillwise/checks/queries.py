@@ -8,6 +8,7 @@ middle between two steps, as short decimals often sit exactly there.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import cached_property
 
@@ -91,15 +92,20 @@ class _Inputs:
         )
         return once.unionByName(again)
 
+    @property
+    def activity_of_quarter(self) -> DataFrame:
+        """Thresholds that fit a quarter of each year."""
+        return self.activity.withColumn("weeks_above_threshold", F.col("weeks_above_threshold") - 2)
+
     @cached_property
     def sales_table(self) -> DataFrame:
         """Sales written once, for queries that read them many times."""
-        return scratch.stage(self.sales, "sales")
+        return prep.require_one_group(scratch.stage(self.sales, "sales"))
 
     @cached_property
     def chosen(self) -> DataFrame:
         """The competing pairs, as a table: several consumers read them."""
-        return scratch.stage(steps.competing_pairs(self.weekly, PAIR_THRESHOLDS), "pairs")
+        return steps.competing_pairs(self.weekly, PAIR_THRESHOLDS)
 
     def cross_points(self) -> DataFrame:
         return steps.cross_points(self.sales_table, self.chosen)
@@ -127,22 +133,29 @@ class _Inputs:
 
     @property
     def grid(self) -> DataFrame:
-        return steps.priced_grid(self.sales_table, self.lowest_cost, OUTLIER_QTY)
+        return steps.priced_grid(self.sales_table, self.lowest_cost)
 
     @property
     def models(self) -> steps.Models:
         return steps.fit_models(self.sales_table, self.chosen)
 
-    def simulation(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+    @cached_property
+    def comparison(self) -> DataFrame:
+        return scratch.stage(self.models.comparison, "comparison")
+
+    def simulation(self, stores=None, groups=None) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Better cross models, the grid, and the simple outcome on it."""
         models = self.models
-        better = scratch.stage(
-            prep.scope_to_test(crosseffects.uplift_models(models.cross, models.comparison)), "uplift"
-        )
-        grid = scratch.stage(prep.scope_to_test(self.grid), "grid")
+        better = crosseffects.uplift_models(models.cross, models.comparison)
+        better = scratch.stage(prep.scope_to_test(better, stores, groups), "uplift")
+        grid = scratch.stage(prep.scope_to_test(self.grid, stores, groups), "grid")
         return better, grid, simulate.simulate_simple(models.simple, grid)
 
 
+#: The stores and groups of a trial run; what takes them says so.
+SAMPLE = (config.SAMPLE_STORES, config.TEST_GROUPS)
+
+
 # --- sales ------------------------------------------------------------------
 
 
@@ -245,10 +258,13 @@ def csv_roundtrip(i: _Inputs) -> DataFrame:
 
 
 def workbook_roundtrip(i: _Inputs) -> DataFrame:
-    weekly = prep.weekly_sales(i.sales)
+    """Both sheets: every week with the number of groups its listing is in."""
+    weekly, groups = prep.weekly_sales(i.sales), audit.group_check(i.sales)
     path = scratch.new_path(i.spark, "workbook")
-    tables.write_workbook({"weekly": weekly, "groups": audit.group_check(i.sales)}, path)
-    return tables.read_sheet(i.spark, path, "weekly", weekly.schema)
+    tables.write_workbook({"weekly": weekly, "groups": groups}, path)
+    listing = ["department", "space", "category"]
+    counted = tables.read_sheet(i.spark, path, "groups", groups.schema).groupBy(*listing).agg(F.count(F.lit(1)).alias("groups"))
+    return tables.read_sheet(i.spark, path, "weekly", weekly.schema).join(counted, listing)
 
 
 # --- checks -----------------------------------------------------------------
@@ -285,6 +301,12 @@ def cost_from_transactions(i: _Inputs) -> DataFrame:
     return cost.cost_from_transactions(i.transactions)
 
 
+def cost_extract(i: _Inputs) -> DataFrame:
+    """Costs of the listed categories and local days only."""
+    sold = prep.select_transactions(i.transactions, CATEGORIES, *RANGE)
+    return cost.cost_from_transactions(sold)
+
+
 def cost_from_transactions_join_back(i: _Inputs) -> DataFrame:
     return cost.cost_from_transactions(i.transactions, join_back=True)
 
@@ -358,6 +380,12 @@ def select_pairs(i: _Inputs) -> DataFrame:
     return pairs.select_pairs(i.weekly).select("store", "product_1", "product_2")
 
 
+def pairs_of_active(i: _Inputs) -> DataFrame:
+    """Pairs of products with enough strong weeks, from the weeks before the bound."""
+    weekly = steps.weekly_for_pairs(i.sales_table, i.activity_of_quarter, max_week=13)
+    return r6(pairs.pair_rank_correlation(weekly), *_CORRELATIONS, "correlation_coefficient_q_rank")
+
+
 # --- demand -----------------------------------------------------------------
 
 _MODEL = ["coefficient", "intercept", "p_value", "r_squared"]
@@ -444,10 +472,38 @@ def uplift_models(i: _Inputs) -> DataFrame:
     return r4(better, *_MODEL, "vif", "r_squared_simple", "r_squared_cross", "lift_by_cannibalization")
 
 
+def model_report_roundtrip(i: _Inputs) -> DataFrame:
+    """The three sheets of the model report, written and read back: rows and models per sheet and store."""
+    path = scratch.new_path(i.spark, "report")
+    sheets = i.models.sheets()
+    tables.write_workbook(sheets, path)
+    read = [
+        tables.read_sheet(i.spark, path, name, sheet.schema).groupBy("store").agg(
+            F.lit(name).alias("sheet"), F.count(F.lit(1)).alias("rows"), F.count_distinct("calculation_group", "product").alias("products")
+        )
+        for name, sheet in sheets.items()
+    ]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
 def _tree(i: _Inputs) -> tuple[quality.QualityTree, DataFrame]:
-    comparison = scratch.stage(i.models.comparison, "comparison")
-    train, test = quality.split_rows(comparison)
-    return quality.fit_quality_tree(train, max_depth=5), test
+    train, test = quality.split_rows(i.comparison)
+    return quality.fit_quality_tree(i.comparison, train), test
+
+
+def quality_tree_split(i: _Inputs) -> DataFrame:
+    return i.comparison.select(*ITEM, quality.is_test_row().alias("is_test"))
+
+
+def quality_tree_features(i: _Inputs) -> DataFrame:
+    """The names of the tree's features, and what their importances add up to."""
+    weights = _tree(i)[0].importances()
+    total = weights.agg(F.round(F.sum("importance"), 6)).scalar()
+    return weights.select("feature_idx", "feature", total.alias("importance_sum"))
+
+
+def quality_tree_support(i: _Inputs) -> DataFrame:
+    return quality.support(i.comparison)
 
 
 def quality_tree_importance(i: _Inputs) -> DataFrame:
@@ -465,8 +521,7 @@ _OUTCOME = ["qty_predicted", "profit_predicted"]
 
 
 def price_grid(i: _Inputs) -> DataFrame:
-    clean = prep.cap_outliers(prep.keep_price_changes(i.sales_table), OUTLIER_QTY)
-    return simulate.price_grid(clean)
+    return simulate.moving_price_grid(i.sales_table)
 
 
 def grid_with_cost(i: _Inputs) -> DataFrame:
@@ -517,6 +572,11 @@ def _joint_rows(joint: DataFrame) -> DataFrame:
 
 
 def joint_best_price(i: _Inputs) -> DataFrame:
+    """In the sample's stores and groups."""
+    return _joint_rows(simulate.joint_best_price(*i.simulation(*SAMPLE)))
+
+
+def joint_best_price_all(i: _Inputs) -> DataFrame:
     return _joint_rows(simulate.joint_best_price(*i.simulation()))
 
 
@@ -524,21 +584,47 @@ def joint_best_price_consistent(i: _Inputs) -> DataFrame:
     return _joint_rows(simulate.joint_best_price(*i.simulation(), consistent=True))
 
 
+def baseline_members(i: _Inputs) -> DataFrame:
+    """The long form of the product and competitor pivot."""
+    better, _, outcome = i.simulation()
+    return r4(simulate.baseline_members(better, simulate.best_price(outcome)), *_OUTCOME)
+
+
 def baseline_profit(i: _Inputs) -> DataFrame:
     better, _, outcome = i.simulation()
     baseline = simulate.baseline_profit(better, simulate.best_price(outcome))
     return r4(baseline, "profit_predicted_all_reg")
 
 
-def _uplift(i: _Inputs) -> DataFrame:
-    return steps.optimise(
-        i.sales_table, i.lowest_cost, i.models, i.tables["store_ref"], outlier_qty=OUTLIER_QTY
-    )
+def _uplift(i: _Inputs, *scope) -> steps.JointPrices:
+    return steps.optimise(i.sales_table, i.lowest_cost, i.models, i.tables["store_ref"], *scope)
 
 
-def profit_uplift(i: _Inputs) -> DataFrame:
+def _common(result: steps.JointPrices) -> DataFrame:
     profits = [c for c in simulate.COMMON_COLUMNS if c.startswith("profit")]
-    return r4(simulate.common_result(_uplift(i)), *profits)
+    return r4(simulate.common_result(result.uplift), *profits)
+
+
+def profit_uplift(i: _Inputs) -> DataFrame:
+    """In the sample's stores and groups."""
+    return _common(_uplift(i, *SAMPLE))
+
+
+def profit_uplift_all(i: _Inputs) -> DataFrame:
+    return _common(_uplift(i))
+
+
+def joint_result_files(i: _Inputs) -> DataFrame:
+    """The joint prices with their members, written a folder per product and read back."""
+    path = scratch.new_path(i.spark, "joint-prices")
+    steps.joint_files(_uplift(i), i.tables["store_ref"], path)
+    schema = (
+        "store string, product string, simulation_prices double, predicted_qty double, profit_predicted double, "
+        "profit_predicted_all double, member string, member_price double, member_qty double, member_profit double, "
+        "profit_predicted_all_reg double, profit_predicted_all_uplift double, store_codes string, calculation_group string, product_key string"
+    )
+    measured = [c for c in re.findall(r"(\w+) double", schema) if c not in ("simulation_prices", "member_price")]
+    return r4(tables.read_partitioned_result(i.spark, path, schema), *measured)
 
 
 def result_pivot(i: _Inputs) -> DataFrame:
@@ -568,16 +654,18 @@ ALL = [
     sanitize_key, scope_filter, calculation_group, group_check, tolerant_cast, weekly_sales,
     weekly_sales_quarter, activity_threshold, price_change_filter, cap_outliers, fill_daily,
     csv_roundtrip, workbook_roundtrip, top_rows, duplicate_rows, null_audit, coverage_stats,
-    quantile_bounds, cost_from_transactions, cost_from_transactions_join_back, shop_group_filter,
+    quantile_bounds, cost_extract, cost_from_transactions, cost_from_transactions_join_back, shop_group_filter,
     deal_window, deal_window_overlap, deal_cost, lowest_deal_cost, product_cost,
     cost_sources_union, lowest_cost, feasible_cost, pair_correlation, pair_correlation_all_stores,
-    pair_rank_correlation, select_pairs, unique_prices_window, demand_points,
+    pair_rank_correlation, select_pairs, pairs_of_active, unique_prices_window, demand_points,
     demand_points_observed, cumulative_demand, simple_regression, r2_band, product_features,
     constant_elasticity, price_difference_features, demand_points_cross, vif, ols_model,
-    ols_model_literal, model_comparison, uplift_models, quality_tree_importance,
+    ols_model_literal, model_comparison, uplift_models, model_report_roundtrip,
+    quality_tree_split, quality_tree_features, quality_tree_support, quality_tree_importance,
     quality_tree_report, price_grid, grid_with_cost, simulate_simple, best_price_simple,
     simulate_constant_elasticity, strategy_best_price, own_effect, competitor_effect,
-    joint_best_price, joint_best_price_consistent, baseline_profit, profit_uplift, result_pivot,
+    joint_best_price, joint_best_price_all, joint_best_price_consistent, baseline_members,
+    baseline_profit, profit_uplift, profit_uplift_all, joint_result_files, result_pivot,
     partitioned_result,
 ]
 

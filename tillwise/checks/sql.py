@@ -11,6 +11,7 @@ import re
 
 from tillwise import config
 from tillwise.checks import queries as q
+from tillwise.plans import quality
 from tillwise.sources.marketdata import DUCKDB, view_sql
 
 ITEM = "store, calculation_group, product"
@@ -134,9 +135,9 @@ def _model(fit: str) -> str:
                        {leverage} AS lev FROM {solved}))"""
 
 
-def _joint(pull: str) -> str:
+def _joint(scope: str, pull: str) -> str:
     return f"""
-        SELECT {ITEM}, o.simulation_prices, cost_lowest, simulation_profit, base,
+        SELECT {ITEM}, o.grid_idx, o.simulation_prices, cost_lowest, simulation_profit, base,
                predicted, predicted * simulation_profit AS profit_predicted,
                predicted * simulation_profit + earned AS profit_predicted_all, competitor_prices
         FROM (
@@ -147,14 +148,14 @@ def _joint(pull: str) -> str:
                    coalesce(CASE WHEN sells >= alone THEN a.prices ELSE b.prices END, '') AS competitor_prices,
                    rank() OVER (PARTITION BY {ITEM} ORDER BY round(greatest(sells, alone), 9) DESC) AS place
             FROM (SELECT o.*, o.simulation_profit * base + coalesce(a.value, 0) AS sells, coalesce(b.value, 0) AS alone
-                  FROM own_rows o LEFT JOIN reply_selling{pull} a USING ({ITEM}, grid_idx)
-                  LEFT JOIN reply_alone{pull} b USING ({ITEM}, grid_idx)) o
-            LEFT JOIN reply_selling{pull} a USING ({ITEM}, grid_idx)
-            LEFT JOIN reply_alone{pull} b USING ({ITEM}, grid_idx))
+                  FROM own_rows{scope} o LEFT JOIN reply_selling{scope}{pull} a USING ({ITEM}, grid_idx)
+                  LEFT JOIN reply_alone{scope}{pull} b USING ({ITEM}, grid_idx)) o
+            LEFT JOIN reply_selling{scope}{pull} a USING ({ITEM}, grid_idx)
+            LEFT JOIN reply_alone{scope}{pull} b USING ({ITEM}, grid_idx))
           WHERE place = 1) o"""
 
 
-def _reply(value: str, pull: str) -> str:
+def _reply(scope: str, value: str, pull: str) -> str:
     return f"""
         SELECT {ITEM}, grid_idx, sum(value) AS value, sum(profit) AS earned, sum(pulled) AS pulled,
                string_agg(concat(variable, '=', cast(round(price * 10) AS bigint)), '|' ORDER BY variable) AS prices
@@ -163,11 +164,33 @@ def _reply(value: str, pull: str) -> str:
                  c.profit_predicted AS profit, r.coefficient * {pull} AS pulled, {value} AS value,
                  row_number() OVER (PARTITION BY o.store, o.calculation_group, o.product, o.grid_idx, r.variable
                                     ORDER BY {value} DESC, c.grid_idx) AS place
-          FROM own_rows o JOIN rivals r USING ({ITEM})
+          FROM own_rows{scope} o JOIN rivals{scope} r USING ({ITEM})
           JOIN outcome c ON c.store = o.store AND c.calculation_group = o.calculation_group AND c.product = r.variable)
         WHERE place = 1 GROUP BY ALL"""
 
 
+def _joint_parts(scope: str, better: str, priced: str) -> dict[str, str]:
+    parts = {
+        f"own_rows{scope}": f"""
+        SELECT p.*, coefficient, intercept, coefficient * simulation_prices AS qty_adjustment,
+               intercept + coefficient * simulation_prices AS base
+        FROM {priced} p JOIN {better} b USING ({ITEM}) WHERE b.variable = 'Price'""",
+        f"rivals{scope}": f"SELECT {ITEM}, variable, coefficient FROM {better} WHERE variable NOT IN ('const', 'Price')",
+        f"members{scope}_of": f"""
+        SELECT m.store, m.calculation_group, m.product, m.member, b.simulation_prices, b.qty_predicted, b.profit_predicted
+        FROM (SELECT DISTINCT {ITEM}, product AS member FROM {better} UNION SELECT {ITEM}, variable FROM rivals{scope}) m
+        JOIN best b ON b.store = m.store AND b.calculation_group = m.calculation_group AND b.product = m.member""",
+        f"baseline{scope}": f"""
+        SELECT {ITEM}, sum(profit_predicted) AS profit_predicted_all_reg, count(*) AS members FROM members{scope}_of GROUP BY ALL""",
+    }
+    for name, pull in (("", _LITERAL_PULL), ("_consistent", _CONSISTENT_PULL)):
+        value = f"o.simulation_profit * r.coefficient * {pull} + c.profit_predicted"
+        parts[f"reply_selling{scope}{name}"] = _reply(scope, value, pull)
+        parts[f"reply_alone{scope}{name}"] = _reply(scope, "c.profit_predicted", pull)
+        parts[f"joint{scope}{name}"] = _joint(scope, name)
+    return parts
+
+
 _LITERAL_PULL, _CONSISTENT_PULL = "c.simulation_prices", "(o.simulation_prices - c.simulation_prices)"
 
 
@@ -195,6 +218,17 @@ def _window_bounds() -> tuple[str, str]:
     )
 
 
+def _latest_costs(condition: str) -> str:
+    return f"""
+        SELECT DISTINCT store, product, cost_txn FROM (
+          SELECT shop_title AS store, product_title AS product, category, min(cost) AS cost_txn
+          FROM (SELECT *, {_strip("category_title")} AS category, cast(price_sell - price_margin AS double) AS cost,
+                       rank() OVER (PARTITION BY shop_title, product_id, product_title, category_title
+                                    ORDER BY transacted_at DESC) AS place
+                FROM transaction_items WHERE {condition})
+          WHERE place = 1 GROUP BY ALL)"""
+
+
 _LO, _HI = _window_bounds()
 _LAST_KEYS = "shop_title, product_id, product_title, category"
 
@@ -262,14 +296,7 @@ PARTS: dict[str, str] = {
                sum(qty) AS total_qty, sum(qty) / count(DISTINCT date) AS avg_qty
         FROM filled GROUP BY ALL""",
     "elasticity": f"SELECT {ITEM}, avg(qty) AS qty_mean, avg(price) AS price_mean, -1.0::double AS elasticity FROM sales GROUP BY ALL",
-    "costs_txn": f"""
-        SELECT DISTINCT store, product, cost_txn FROM (
-          SELECT shop_title AS store, product_title AS product, category, min(cost) AS cost_txn
-          FROM (SELECT *, {_strip("category_title")} AS category, cast(price_sell - price_margin AS double) AS cost,
-                       rank() OVER (PARTITION BY shop_title, product_id, product_title, category_title
-                                    ORDER BY transacted_at DESC) AS place
-                FROM transaction_items)
-          WHERE place = 1 GROUP BY ALL)""",
+    "costs_txn": _latest_costs("true"),
     "costs_txn_back": f"""
         SELECT DISTINCT store, product, cost_txn FROM (
           SELECT l.shop_title AS store, l.product_title AS product, l.category,
@@ -398,29 +425,27 @@ PARTS: dict[str, str] = {
         FROM crossed c JOIN features f USING ({ITEM})
         JOIN (SELECT {ITEM}, r_squared_simple, r_squared_cross, lift_by_cannibalization, uplift_ind
               FROM compared WHERE lift_by_cannibalization > 0) USING ({ITEM})""",
-    "better_scoped": _scoped("better"),
-    "priced_scoped": _scoped("priced"),
-    "own_rows": f"""
-        SELECT p.*, coefficient, intercept, coefficient * simulation_prices AS qty_adjustment,
-               intercept + coefficient * simulation_prices AS base
-        FROM priced_scoped p JOIN better_scoped b USING ({ITEM}) WHERE b.variable = 'Price'""",
-    "rivals": f"SELECT {ITEM}, variable, coefficient FROM better_scoped WHERE variable NOT IN ('const', 'Price')",
-    "reply_selling": _reply(f"o.simulation_profit * r.coefficient * {_LITERAL_PULL} + c.profit_predicted", _LITERAL_PULL),
-    "reply_alone": _reply("c.profit_predicted", _LITERAL_PULL),
-    "reply_selling_consistent": _reply(
-        f"o.simulation_profit * r.coefficient * {_CONSISTENT_PULL} + c.profit_predicted", _CONSISTENT_PULL
-    ),
-    "reply_alone_consistent": _reply("c.profit_predicted", _CONSISTENT_PULL),
-    "joint": _joint(""),
-    "joint_consistent": _joint("_consistent"),
-    "baseline": f"""
-        SELECT m.store, m.calculation_group, m.product, sum(profit_predicted) AS profit_predicted_all_reg, count(*) AS members
-        FROM (SELECT DISTINCT {ITEM}, product AS member FROM better_scoped
-              UNION SELECT {ITEM}, variable FROM rivals) m
-        JOIN best b ON b.store = m.store AND b.calculation_group = m.calculation_group AND b.product = m.member
-        GROUP BY ALL""",
+    **_joint_parts("", "better", "priced"),
+    "better_sample": _scoped("better"),
+    "priced_sample": _scoped("priced"),
+    **_joint_parts("_sample", "better_sample", "priced_sample"),
 }
 
+# The pairs of active products: the same parts over other weeks.
+PARTS["weekly_active"] = """
+    SELECT * FROM (SELECT w.* FROM weekly_all w SEMI JOIN (
+        SELECT store, calculation_group, product FROM weekly_all JOIN activity USING (store, calculation_group)
+        WHERE week_number < 13 GROUP BY threshold_id, store, calculation_group, product, needed
+        HAVING count(*) FILTER (qty >= threshold) >= needed - 2) a USING (store, calculation_group, product)
+        WHERE week_number < 13)
+    SEMI JOIN (SELECT store, product FROM weekly_all SEMI JOIN (
+        SELECT store, calculation_group, product FROM weekly_all JOIN activity USING (store, calculation_group)
+        WHERE week_number < 13 GROUP BY threshold_id, store, calculation_group, product, needed
+        HAVING count(*) FILTER (qty >= threshold) >= needed - 2) a USING (store, calculation_group, product)
+        WHERE week_number < 13 GROUP BY ALL HAVING count(DISTINCT avg_price) > 1) USING (store, product)"""
+for _name in ("listed", "listed_pairs", "pair_weeks", "correlated", "ranked"):
+    PARTS[f"{_name}_active"] = re.sub(r"\b(weekly|listed_pairs|listed|pair_weeks|correlated)\b", r"\1_active", PARTS[_name])
+
 _RECURSIVE = {"fit", "fit_literal"}
 
 
@@ -455,6 +480,17 @@ _JOINT = f"""SELECT {ITEM}, simulation_prices, cost_lowest, {_r4("simulation_pro
     {_r4("predicted", "predicted_qty")}, {_r4("profit_predicted")}, {_r4("profit_predicted_all")}, competitor_prices FROM """
 _COMPARED = [f"{m}_{kind}" for m in q._MODEL for kind in ("simple", "cross")]
 
+
+
+def _uplift(scope: str) -> str:
+    return f"""
+        SELECT {ITEM}, {_r4("j.profit_predicted")}, {_r4("profit_predicted_all", "profit_predicted_all_cnbl")},
+               {_r4("profit_predicted_all_reg")}, {_r4("profit_predicted_all - profit_predicted_all_reg", "profit_predicted_all_uplift")}
+        FROM joint{scope} j JOIN baseline{scope} USING ({ITEM}) JOIN store_ref s ON s.store_name = store"""
+
+
+_IS_TEST = "('0x' || substr(md5(concat_ws('|', store, calculation_group, product, '42')), 1, 8))::BIGINT % 1000 < 200"
+
 BODIES: dict[str, str] = {
     "daily_sales": "SELECT * FROM daily",
     "extract_daily": "SELECT * FROM ("
@@ -495,7 +531,9 @@ BODIES: dict[str, str] = {
     "fill_daily": f"""SELECT {ITEM}, price, original_ind, count(*) AS days, min(date) AS first_date,
         max(date) AS last_date, sum(qty) AS qty FROM filled GROUP BY ALL""",
     "csv_roundtrip": "SELECT * FROM daily",
-    "workbook_roundtrip": "SELECT * FROM weekly_all",
+    "workbook_roundtrip": """SELECT w.*, groups FROM weekly_all w JOIN (
+        SELECT department, space, category, count(DISTINCT calculation_group) AS groups FROM sales GROUP BY ALL)
+        USING (department, space, category)""",
     "top_rows": f"SELECT * FROM daily ORDER BY {DAILY} LIMIT 60",
     "duplicate_rows": """SELECT * EXCLUDE (copies) FROM (
         SELECT *, count(*) OVER (PARTITION BY shop_title, product_id, product_title, category_title, cost_txn) AS copies
@@ -515,6 +553,9 @@ BODIES: dict[str, str] = {
         for c in ("qty", "price")
     ),
     "cost_from_transactions": "SELECT * FROM costs_txn",
+    "cost_extract": "SELECT * FROM ("
+    + _latest_costs(f"category_title IN ({_quoted(q.CATEGORIES)}) AND {_between(*q.RANGE)}")
+    + ")",
     "cost_from_transactions_join_back": "SELECT * FROM costs_txn_back",
     "shop_group_filter": "SELECT id, shop_id, title FROM thread_product WHERE shop_id IN (SELECT shop_id FROM members)",
     "deal_window": "SELECT id, cast(price AS double) AS price, title FROM deals",
@@ -533,6 +574,7 @@ BODIES: dict[str, str] = {
     "pair_correlation": _rounded("correlated", _CORRELATIONS),
     "pair_correlation_all_stores": _rounded("correlated_all", _CORRELATIONS),
     "pair_rank_correlation": _rounded("ranked", [*_CORRELATIONS, "correlation_coefficient_q_rank"]),
+    "pairs_of_active": _rounded("ranked_active", [*_CORRELATIONS, "correlation_coefficient_q_rank"]),
     "select_pairs": _below(config.PAIR_THRESHOLDS),
     "unique_prices_window": """
         SELECT s.*, unique_days, total_qty, unique_prices FROM sales s
@@ -564,6 +606,23 @@ BODIES: dict[str, str] = {
     "uplift_models": _rounded(
         "better", [*q._MODEL, "vif", "r_squared_simple", "r_squared_cross", "lift_by_cannibalization"], _r4
     ),
+    "model_report_roundtrip": " UNION ALL ".join(
+        f"SELECT store, '{sheet}' AS sheet, count(*) AS rows, count(DISTINCT (calculation_group, product)) AS products FROM {part} GROUP BY store"
+        for sheet, part in (
+            ("model_comparison", "compared"),
+            ("simple_regression", f"(SELECT * FROM simple JOIN features USING ({ITEM}))"),
+            ("ols", f"(SELECT * FROM crossed JOIN features USING ({ITEM}))"),
+        )
+    ),
+    "quality_tree_split": f"SELECT {ITEM}, {_IS_TEST} AS is_test FROM compared",
+    "quality_tree_features": f"""
+        SELECT cast(row_number() OVER (ORDER BY part, place) - 1 AS int) AS feature_idx, feature, 1.0::DOUBLE AS importance_sum FROM (
+          SELECT 0 AS part, unnest(range(0, {len(quality.NUMBERS)})) AS place, unnest([{_quoted(quality.NUMBERS)}]) AS feature
+          UNION ALL SELECT 1, row_number() OVER (ORDER BY store DESC), concat('store_', store)
+            FROM (SELECT DISTINCT store FROM compared) QUALIFY row_number() OVER (ORDER BY store) > 1
+          UNION ALL SELECT 2, row_number() OVER (ORDER BY calculation_group DESC), concat('calculation_group_', calculation_group)
+            FROM (SELECT DISTINCT calculation_group FROM compared) QUALIFY row_number() OVER (ORDER BY calculation_group) > 1)""",
+    "quality_tree_support": f"SELECT r_squared_group_simple AS label, count(*) FILTER ({_IS_TEST}) AS support FROM compared GROUP BY label",
     "price_grid": "SELECT * FROM grid",
     "grid_with_cost": _rounded("priced", ["simulation_profit"]),
     "simulate_simple": _rounded("outcome", q._OUTCOME),
@@ -586,13 +645,25 @@ BODIES: dict[str, str] = {
         SELECT r.store, r.calculation_group, r.product, r.variable, {_r4("r.coefficient")}, c.grid_idx, c.simulation_prices,
                {_r4("c.profit_predicted")}, {_r4("r.coefficient * c.simulation_prices", "qty_adjustment")}
         FROM rivals r JOIN outcome c ON c.store = r.store AND c.calculation_group = r.calculation_group AND c.product = r.variable""",
-    "joint_best_price": _JOINT + "joint",
+    "joint_best_price": _JOINT + "joint_sample",
+    "joint_best_price_all": _JOINT + "joint",
     "joint_best_price_consistent": _JOINT + "joint_consistent",
+    "baseline_members": _rounded("members_of", q._OUTCOME, _r4),
     "baseline_profit": _rounded("baseline", ["profit_predicted_all_reg"], _r4),
-    "profit_uplift": f"""
-        SELECT {ITEM}, {_r4("j.profit_predicted")}, {_r4("profit_predicted_all", "profit_predicted_all_cnbl")},
-               {_r4("profit_predicted_all_reg")}, {_r4("profit_predicted_all - profit_predicted_all_reg", "profit_predicted_all_uplift")}
-        FROM joint j JOIN baseline USING ({ITEM}) JOIN store_ref s ON s.store_name = store""",
+    "profit_uplift": _uplift("_sample"),
+    "profit_uplift_all": _uplift(""),
+    "joint_result_files": f"""
+        SELECT j.store, j.calculation_group, j.product, j.simulation_prices, {_r4("j.predicted", "predicted_qty")},
+               {_r4("j.profit_predicted")}, {_r4("profit_predicted_all")}, j.member, j.member_price,
+               {_r4("c.qty_predicted", "member_qty")}, {_r4("c.profit_predicted", "member_profit")},
+               {_r4("profit_predicted_all_reg")}, {_r4("profit_predicted_all - profit_predicted_all_reg", "profit_predicted_all_uplift")},
+               store_codes, regexp_replace(j.product, '[^A-Za-z0-9\\s]', '', 'g') AS product_key
+        FROM (SELECT *, nullif(string_split(pair, '=')[1], '') AS member, cast(string_split(pair, '=')[2] AS bigint) / 10.0 AS member_price
+              FROM (SELECT *, unnest(string_split(competitor_prices, '|')) AS pair FROM joint)) j
+        LEFT JOIN outcome c ON c.store = j.store AND c.calculation_group = j.calculation_group AND c.product = j.member
+            AND round(c.simulation_prices * 10) = round(j.member_price * 10)
+        JOIN baseline b ON b.store = j.store AND b.calculation_group = j.calculation_group AND b.product = j.product
+        JOIN store_ref s ON s.store_name = j.store""",
     "result_pivot": f"""SELECT store, calculation_group, {", ".join(
         f'''{_cut(f"max(profit_predicted) FILTER (product = '{p}')")} AS "profit_predicted_{p}"''' for p in q.PRODUCTS
     )}, {_r6("sum(profit_predicted)", "profit_predicted_all")} FROM best GROUP BY store, calculation_group""",

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions import dates
-from tillwise.functions.numeric import tolerant_number
 from tillwise.functions.text import strip_code_prefix
 from tillwise.operators.keys import STORE_PRODUCT, present
 
@@ -28,8 +27,8 @@ def latest_transaction_cost(transactions: DataFrame, join_back: bool = False) ->
     still spread over tasks.
     """
     listed = transactions.withColumn("category", strip_code_prefix(F.col("category_title")))
-    cost = (F.col("price_sell") - F.col("price_margin")).cast("string")
-    listed = listed.withColumn("cost_txn", tolerant_number(cost))
+    cost = F.col("price_sell") - F.col("price_margin")
+    listed = listed.withColumn("cost_txn", cost.cast("double"))
     if not join_back:
         latest = F.max(F.struct("transacted_at", (-F.col("cost_txn")).alias("c")))
         return (

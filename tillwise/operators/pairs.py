@@ -37,45 +37,26 @@ PAIR_SCHEMA = (
 
 
 def _series(weekly: DataFrame) -> DataFrame:
-    """One row per product: aligned arrays of weeks, prices and quantities.
+    """One row per product of a store and group: its weekly rows, in order of weeks.
 
-    Weekly sales hold one row per product and week, so the arrays are as long as
-    the calendar at most.
+    A product listed in several places has several rows in a week. Each pairs
+    with each row of another product in that week, so all are kept.
     """
     week = F.struct("week_index", "avg_price", "qty")
-    return _with_arrays(
-        weekly.filter(present(ITEM)).groupBy(*ITEM).agg(F.sort_array(F.collect_list(week)).alias("s")),
-        p="avg_price", q="qty",
-    )
+    return _with_arrays(weekly.filter(present(ITEM)).groupBy(*ITEM).agg(F.sort_array(F.collect_list(week)).alias("s")))
 
 
 def _series_all_stores(weekly: DataFrame) -> DataFrame:
-    """The same per store, but every product carries the sums of all stores.
-
-    In a week where a product has rows from several stores, each row of one
-    product pairs with each row of the other. Count, sum and sum of squares per
-    week are enough to get those moments, so that product is never formed.
-    """
-    per_week = weekly.groupBy("product", "week_index").agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.sum("avg_price").alias("p"),
-        F.sum(F.col("avg_price") * F.col("avg_price")).alias("pp"),
-        F.sum("qty").alias("q"),
-        F.sum(F.col("qty") * F.col("qty")).alias("qq"),
-    )
-    series = per_week.groupBy("product").agg(
-        F.sort_array(F.collect_list(F.struct("week_index", "n", "p", "pp", "q", "qq"))).alias("s")
-    )
-    listed = weekly.filter(present(ITEM)).select(*ITEM).distinct()
-    return _with_arrays(listed.join(series, "product"), n="n", p="p", pp="pp", q="q", qq="qq")
+    """One row per group and product with its weekly rows of all stores, and the
+    stores that list it: correlations are the same in each of them."""
+    rows = weekly.groupBy("product").agg(F.sort_array(F.collect_list(F.struct("week_index", "avg_price", "qty"))).alias("s"))
+    listed = weekly.filter(present(ITEM)).groupBy("calculation_group", "product").agg(F.collect_set("store").alias("stores"))
+    return _with_arrays(listed.join(rows, "product").withColumn("store", F.lit("")), "stores")
 
 
-def _with_arrays(df: DataFrame, **fields: str) -> DataFrame:
-    return df.select(
-        *ITEM,
-        F.col("s.week_index").alias("weeks"),
-        *[F.col(f"s.{source}").alias(name) for name, source in fields.items()],
-    )
+def _with_arrays(df: DataFrame, *more: str) -> DataFrame:
+    arrays = {"weeks": "week_index", "p": "avg_price", "q": "qty"}
+    return df.select(*ITEM, *more, *[F.col(f"s.{source}").alias(name) for name, source in arrays.items()])
 
 
 def _block_pairs(series: DataFrame, block: int) -> DataFrame:
@@ -94,30 +75,30 @@ def _block_pairs(series: DataFrame, block: int) -> DataFrame:
 
 
 class _Block:
-    """Dense week-by-product matrices of one block, shifted by product means."""
+    """The products of one block: weekly moments as matrices, weekly rows as arrays.
+
+    In a week in which products have several rows, each row of one pairs with
+    each row of the other; count, sum and sum of squares of a week are enough to
+    get the moments of those row pairs without forming them. Values are shifted
+    by the product's mean, which keeps sums small before they are subtracted.
+    """
 
     def __init__(self, rows: pd.DataFrame, weeks: np.ndarray):
         self.product = rows["product"].to_numpy()
         shape = (len(rows), len(weeks))
-        self.n, self.p, self.q = np.zeros(shape), np.zeros(shape), np.zeros(shape)
-        self.pp, self.qq = np.zeros(shape), np.zeros(shape)
-        multi = "n" in rows.columns
+        self.n, self.p, self.q, self.pp, self.qq = (np.zeros(shape) for _ in range(5))
+        self.at, self.sold, self.mean = [], [], {"p": np.zeros(len(rows)), "q": np.zeros(len(rows))}
         for i, row in enumerate(rows.itertuples(index=False)):
             at = np.searchsorted(weeks, row.weeks)
-            n = np.asarray(row.n, dtype=float) if multi else np.ones(len(at))
-            self.n[i, at] = n
-            for value, square in (("p", "pp"), ("q", "qq")):
-                x = np.asarray(getattr(row, value), dtype=float)
-                xx = np.asarray(getattr(row, square), dtype=float) if multi else x * x
-                # shift by the mean: keeps the sums small before they are subtracted
-                mean = x.sum() / n.sum()
-                getattr(self, value)[i, at] = x - n * mean
-                getattr(self, square)[i, at] = xx - 2 * mean * x + n * mean * mean
-        self.mean = {
-            v: np.array([np.sum(r) for r in rows[v]])
-            / (np.array([np.sum(r) for r in rows["n"]]) if multi else np.array([len(r) for r in rows["weeks"]]))
-            for v in ("p", "q")
-        }
+            np.add.at(self.n[i], at, 1.0)
+            for v in ("p", "q"):
+                x = np.asarray(getattr(row, v), dtype=float)
+                self.mean[v][i] = x.mean()
+                x = x - x.mean()
+                np.add.at(getattr(self, v)[i], at, x)
+                np.add.at(getattr(self, v * 2)[i], at, x * x)
+            self.at.append(at)
+            self.sold.append(np.asarray(row.q, dtype=float))
 
     def raw(self, v: str) -> np.ndarray:
         return getattr(self, v)
@@ -138,37 +119,46 @@ def _pearson(a: _Block, b: _Block, v: str) -> np.ndarray:
     return np.round(np.clip(corr, -1, 1), _DIGITS)
 
 
-def _common_ranks(values: np.ndarray, has: np.ndarray, other_has: np.ndarray) -> np.ndarray:
-    """Average ranks of each series among the weeks it shares with each other one.
+def _weekly_ranks(block: _Block, i: int, other_n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Average ranks of product ``i`` among its row pairs with each other product.
 
-    A rank is the number of smaller values plus half the equal ones plus a half,
-    so one comparison matrix per series gives its ranks against all others.
+    ``other_n`` has the rows per week of the other products. A row counts as
+    often as it has partners; its rank is the count of smaller values plus half
+    that of equal ones plus a half. Returns, per other product and week, the sum
+    of the ranks minus their mean, and per other product the sum of their squares
+    over all row pairs.
     """
-    out = np.empty((len(values), values.shape[1], len(other_has)), dtype=np.float32)
-    shared = other_has.T.astype(np.float32)
-    for i, x in enumerate(values):
-        below = (x[None, :] < x[:, None]).astype(np.float32)
-        below += 0.5 * (x[None, :] == x[:, None])
-        below *= has[i][None, :]
-        out[i] = below @ shared + 0.5
-    return out
-
-
-def _spearman(a: _Block, b: _Block) -> np.ndarray:
-    has_a, has_b = (a.n > 0).astype(np.float32), (b.n > 0).astype(np.float32)
-    ranks_a = _common_ranks(a.q, has_a, has_b)
-    ranks_b = ranks_a if a is b else _common_ranks(b.q, has_b, has_a)
-    out = np.full((len(a.product), len(b.product)), np.nan)
-    for i in range(len(a.product)):
-        both = (has_a[i][:, None] * has_b.T).astype(float)
-        count = both.sum(axis=0)
-        centre = (count + 1) / 2
-        x = (ranks_a[i] - centre) * both
-        y = (ranks_b[:, :, i].T - centre) * both
+    at, sold = block.at[i], block.sold[i]
+    order = np.argsort(sold, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(sold[order]) != 0))
+    partners = other_n[:, at[order]]
+    tied = np.add.reduceat(partners, starts, axis=1)
+    rank = np.cumsum(tied, axis=1) - tied / 2 + 0.5
+    centre = (partners.sum(axis=1, keepdims=True) + 1) / 2
+    ranks = np.repeat(rank - centre, np.diff(np.append(starts, len(order))), axis=1)
+    weekly = np.zeros(other_n.shape)
+    np.add.at(weekly.T, at[order], ranks.T)
+    return weekly, (ranks * ranks * partners).sum(axis=1)
+
+
+def _spearman(a: _Block, b: _Block, wanted: np.ndarray) -> np.ndarray:
+    """Rank correlations of the wanted pairs, NaN for the others."""
+    out = np.full(wanted.shape, np.nan)
+    rows = {}
+    for j in np.flatnonzero(wanted.any(axis=0)):
+        partners = np.flatnonzero(wanted[:, j])
+        weekly, squares = _weekly_ranks(b, j, a.n[partners])
+        rows.update(zip(((i, j) for i in partners), zip(weekly, squares)))
+    for i in np.flatnonzero(wanted.any(axis=1)):
+        partners = np.flatnonzero(wanted[i])
+        weekly, squares = _weekly_ranks(a, i, b.n[partners])
+        count = a.n[i] @ b.n[partners].T
+        other = [rows.pop((i, j)) for j in partners]
+        products = np.array([w @ o for w, (o, _) in zip(weekly, other)])
         with np.errstate(divide="ignore", invalid="ignore"):
-            corr = (x * y).sum(axis=0) / np.sqrt((x * x).sum(axis=0) * (y * y).sum(axis=0))
+            corr = products / np.sqrt(squares * np.array([s for _, s in other]))
         corr[count < 2] = np.nan
-        out[i] = corr
+        out[i, partners] = corr
     return np.round(np.clip(out, -1, 1), _DIGITS)
 
 
@@ -176,35 +166,40 @@ def _pair_task(with_rank: bool, with_threshold: bool):
     def task(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         store, group, block_1, block_2 = key
         weeks = np.unique(np.concatenate([np.asarray(w) for w in rows["weeks"]]))
-        a = _Block(rows[rows["own"] == block_1], weeks)
-        b = a if block_1 == block_2 else _Block(rows[rows["own"] == block_2], weeks)
+        first, second = rows[rows["own"] == block_1], rows[rows["own"] == block_2]
+        a = _Block(first, weeks)
+        b = a if block_1 == block_2 else _Block(second, weeks)
         price, qty = _pearson(a, b, "p"), _pearson(a, b, "q")
-        rank = _spearman(a, b) if with_rank else np.full(price.shape, np.nan)
         keep = np.ones(price.shape, dtype=bool)
-        if a is b:
-            np.fill_diagonal(keep, False)
+        if a is b:  # a pair and its reverse have the same numbers
+            keep = np.triu(keep, 1)
+        if with_threshold:
+            with np.errstate(invalid="ignore"):
+                keep &= price < rows["threshold_p"].iloc[0]
+        rank = _spearman(a, b, keep) if with_rank else np.full(price.shape, np.nan)
         if with_threshold:
-            limit_p, limit_q = rows["threshold_p"].iloc[0], rows["threshold_q"].iloc[0]
             with np.errstate(invalid="ignore"):
-                keep &= (price < limit_p) & (rank < limit_q)
+                keep &= rank < rows["threshold_q"].iloc[0]
         i, j = np.nonzero(keep)
-        first, second = a.product[i], b.product[j]
-        price, qty, rank = price[i, j], qty[i, j], rank[i, j]
-        if a is not b:  # the other direction of each pair has the same numbers
-            first, second = np.concatenate([first, second]), np.concatenate([second, first])
-            price, qty, rank = np.tile(price, 2), np.tile(qty, 2), np.tile(rank, 2)
-        return pd.DataFrame(
+        price, qty, rank = (np.tile(x[i, j], 2) for x in (price, qty, rank))
+        one, other = a.product[i], b.product[j]
+        out = pd.DataFrame(
             {
                 "store": store,
                 "calculation_group": group,
-                "product_1": first,
-                "product_2": second,
+                "product_1": np.concatenate([one, other]),
+                "product_2": np.concatenate([other, one]),
                 "correlation_coefficient_p": price,
                 "correlation_coefficient_q": qty,
                 "total_correlation": price + qty,
                 "correlation_coefficient_q_rank": rank,
             }
         )
+        if "stores" in rows.columns:
+            of = {p: set(s) for p, s in zip(rows["product"], rows["stores"])}
+            out["store"] = [sorted(of[x] & of[y]) for x, y in zip(out["product_1"], out["product_2"])]
+            out = out.explode("store").dropna(subset=["store"])
+        return out
 
     return task
 
@@ -223,7 +218,8 @@ def pair_correlation(weekly: DataFrame, scope: str = "store", block: int = BLOCK
     """Price and quantity correlation of every ordered pair, and their sum.
 
     ``scope='store'`` uses the weeks of the pair's own store; ``scope='all'``
-    takes both series from all stores, the pairs still listed per store.
+    takes both series from all stores: worked out once per group, and given for
+    every store that lists both products.
     """
     series = _series(weekly) if scope == "store" else _series_all_stores(weekly)
     return _correlate(series, block, with_rank=False).drop("correlation_coefficient_q_rank")

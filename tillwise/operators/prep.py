@@ -167,22 +167,40 @@ def only_active(weekly: DataFrame, thresholds: DataFrame) -> DataFrame:
     return weekly.join(_active_products(weekly, thresholds), ITEM, "left_semi")
 
 
+def require_one_group(sales: DataFrame) -> DataFrame:
+    """The table itself, if every product of a store has one calculation group.
+
+    Models group by store, group and product; with two groups the same sales of a
+    product would be split between two models. Runs one aggregation.
+    """
+    groups = sales.groupBy(*STORE_PRODUCT).agg(
+        F.min("calculation_group").alias("one"), F.max("calculation_group").alias("other")
+    )
+    mixed = groups.filter("one <> other").head()
+    if mixed is not None:
+        raise ValueError(f"product {mixed['product']} of {mixed['store']} is in {mixed.one} and in {mixed.other}")
+    return sales
+
+
 def with_idle_days(daily: DataFrame, calendar_of: DataFrame | None = None) -> DataFrame:
     """Daily rows with the days without a sale that their price carries over.
 
     ``idle_after`` days follow the last row of a day until the product sells
     again or the data ends; ``idle_ahead`` days lead up to a product's first row.
-    The data's range is that of ``calendar_of`` if given.
+    A product listed in several places (department, space, category) of its group
+    is one product: a day on which any listing sells is no idle day. The data's
+    range is that of ``calendar_of`` if given.
 
     The table is placed by store and product once, and everything per product
     that follows finds it there. That is safe on daily sales: a product has at
-    most as many rows as days and prices, however often it is sold.
+    most as many rows as days, prices and listings, however often it is sold.
     """
-    keys = [c for c in [*HIERARCHY, "calculation_group"] if c in daily.columns]
+    keys = ITEM if "calculation_group" in daily.columns else STORE_PRODUCT
+    listing = [c for c in HIERARCHY if c in daily.columns and c not in keys]
     whole = daily if calendar_of is None else calendar_of
     span = whole.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     first, last = span.select("lo").scalar(), span.select("hi").scalar()
-    in_time = Window.partitionBy(*keys).orderBy("date", "price")
+    in_time = Window.partitionBy(*keys).orderBy("date", "price", *listing)
     following = F.coalesce(F.lead("date").over(in_time), F.date_add(last, 1))
     return place(daily, STORE_PRODUCT).withColumns(
         {
@@ -218,15 +236,22 @@ def fill_daily(daily: DataFrame, calendar_of: DataFrame | None = None) -> DataFr
 def cap_outliers(sales: DataFrame, limit: float = config.OUTLIER_QTY) -> DataFrame:
     """Replace quantities above ``limit`` by the product's largest one within it.
 
-    Rows within the limit pass through untouched; only the few rows above it
-    meet the per-product maximum, so the size of a product does not matter.
     Equal outlier rows (all columns but quantity) count once. Rows without a
     quantity are dropped. A product with no row in range gets NULL.
+
+    One read and one shuffle: daily sales are placed by product, whose rows are as
+    many as days, prices and listings, and the largest quantity in range and the
+    first of equal outliers are both found there.
     """
-    kept = sales.filter(F.col("qty") <= limit)
-    caps = kept.filter(present(ITEM)).groupBy(*ITEM).agg(F.max("qty").alias("qty"))
-    outliers = sales.filter(F.col("qty") > limit).drop("qty").distinct()
-    return kept.unionByName(outliers.join(caps, ITEM, "left"))
+    within = F.col("qty") <= limit
+    product = Window.partitionBy(*ITEM)
+    same = [c for c in sales.columns if c != "qty"]
+    twins = Window.partitionBy(*ITEM, within, *[c for c in same if c not in ITEM]).orderBy("qty")
+    top = F.when(present(ITEM), F.max(F.when(within, F.col("qty"))).over(product))
+    marked = sales.filter(F.col("qty").isNotNull()).withColumns({"__top": top, "__nth": F.row_number().over(twins)})
+    capped = F.when(within, F.col("qty")).otherwise(F.col("__top"))
+    kept = marked.filter(within | (F.col("__nth") == 1)).withColumn("qty", capped)
+    return kept.select(*same, "qty")
 
 
 def price_stats_per_row(daily: DataFrame) -> DataFrame:

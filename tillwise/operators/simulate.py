@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillwise import config
 from tillwise.functions.numeric import clamp_negative, tick_ceil, tick_floor
 from tillwise.operators.demand import CONST, PRICE, constant_elasticity_qty
-from tillwise.operators.keys import ITEM, STORE_PRODUCT, present
+from tillwise.operators.keys import ITEM, STORE_PRODUCT, join_null_safe, present
 
 _GROUP = ["store", "calculation_group"]
 # Objective values this close are the same price decision.
@@ -21,11 +21,28 @@ def price_grid(sales: DataFrame, step: float = config.PRICE_STEP) -> DataFrame:
     ``grid_idx`` numbers the steps. It is what joins use, since sums of tenths
     are not exact in floating point.
     """
+    return _grid(sales.filter(present(ITEM)).groupBy(*ITEM).agg(F.min("price").alias("lo"), F.max("price").alias("hi")), step)
+
+
+def moving_price_grid(sales: DataFrame, step: float = config.PRICE_STEP) -> DataFrame:
+    """The grid of products whose price moved, from rows with a quantity: one aggregation.
+
+    It equals ``price_grid`` of capped sales with price changes, as capping
+    changes quantities only.
+    """
+    sold = F.when(F.col("qty").isNotNull(), F.col("price"))
     ends = sales.filter(present(ITEM)).groupBy(*ITEM).agg(
-        (tick_floor(F.min("price")) / 10).alias("lo"), (tick_ceil(F.max("price")) / 10).alias("hi")
+        F.min(sold).alias("lo"), F.max(sold).alias("hi"), F.min("price").alias("low"), F.max("price").alias("high")
     )
-    steps = F.floor(F.round(F.round(F.col("hi") - F.col("lo"), 2) / F.lit(step), 2)).cast("int")
-    return ends.select(*ITEM, "lo", F.explode(F.sequence(F.lit(0), steps)).alias("grid_idx")).select(
+    product = Window.partitionBy(*STORE_PRODUCT)
+    moved = ends.withColumn("moved", F.min("low").over(product) < F.max("high").over(product))
+    return _grid(moved.filter("moved and lo is not null"), step)
+
+
+def _grid(ends: DataFrame, step: float) -> DataFrame:
+    lo, hi = tick_floor(F.col("lo")) / 10, tick_ceil(F.col("hi")) / 10
+    steps = F.floor(F.round(F.round(hi - lo, 2) / F.lit(step), 2)).cast("int")
+    return ends.select(*ITEM, lo.alias("lo"), F.explode(F.sequence(F.lit(0), steps)).alias("grid_idx")).select(
         *ITEM,
         "grid_idx",
         F.round(F.col("lo") + F.col("grid_idx") * F.lit(step), 4).alias("simulation_prices"),
@@ -120,16 +137,22 @@ def competitor_effect(models: DataFrame, grid: DataFrame, simulated: DataFrame)
     )
 
 
-def _best_reply(profile: Column, value) -> Column:
-    """The competitor price with the highest ``value``, the lowest on a tie."""
+def _profiles(simulated: DataFrame) -> DataFrame:
+    """Per competitor, its grid prices with the profit it makes at each, as an array."""
+    price = F.struct(
+        "grid_idx", F.col("simulation_prices").alias("price"), F.coalesce("profit_predicted", F.lit(0.0)).alias("profit")
+    )
+    profiles = simulated.groupBy(*ITEM).agg(F.sort_array(F.collect_list(price)).alias("profile"))
+    return profiles.withColumnRenamed("product", "variable")
+
+
+def _reply(value) -> Column:
+    """The competitor's price with the highest ``value``, the lowest on a tie."""
     return F.array_max(
         F.transform(
-            profile,
+            "profile",
             lambda c: F.struct(
-                value(c).alias("value"),
-                (-c["grid_idx"]).alias("order"),
-                c["price"].alias("price"),
-                c["profit"].alias("profit"),
+                value(c).alias("value"), (-c["grid_idx"]).alias("order"), c["price"].alias("price"), c["profit"].alias("profit")
             ),
         )
     )
@@ -148,120 +171,89 @@ def joint_best_price(
         max( m (I + b p) + sum_j max_pj [ m b_j p_j + profit_j(p_j) ],
              sum_j max_pj [ profit_j(p_j) ] )
 
-    The work is the sum of the grid sizes instead of their product. A grid is
-    an array of one product's prices, so no price pair becomes a row.
+    So the work is own prices times competitor prices for each pair of products,
+    not the product of all grids. Only values are worked out for every own price;
+    which prices the competitors take is looked up for the winning own prices.
 
     ``consistent=True`` uses own minus competitor price, as the models are
     trained on; the default multiplies the competitor price itself.
     All own prices that reach the maximum stay.
     """
     own = own_effect(models, grid)
-    profile = (
-        simulated.groupBy(*ITEM)
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        "grid_idx",
-                        F.col("simulation_prices").alias("price"),
-                        F.coalesce("profit_predicted", F.lit(0.0)).alias("profit"),
-                    )
-                )
-            ).alias("profile")
-        )
-        .withColumnRenamed("product", "variable")
-    )
-    own_grid = own.groupBy(*ITEM).agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct("grid_idx", F.col("simulation_prices").alias("price"), F.col("simulation_profit").alias("margin"))
-            )
-        ).alias("own_grid")
-    )
+    rivals = _rivals(models).join(_profiles(simulated), [*_GROUP, "variable"])
+    own_price = F.struct("grid_idx", F.col("simulation_prices").alias("price"), F.col("simulation_profit").alias("margin"))
+    own_grid = own.groupBy(*ITEM).agg(F.sort_array(F.collect_list(own_price)).alias("own_grid"))
     b = F.col("coefficient")
 
-    def pull(o: Column, price: Column) -> Column:
-        return b * (o["price"] - price) if consistent else b * price
+    def pull(own_price: Column, price: Column) -> Column:
+        return b * (own_price - price) if consistent else b * price
 
-    replies = (
-        _rivals(models)
-        .join(profile, [*_GROUP, "variable"])
-        .join(own_grid, ITEM)
-        .withColumn("alone", _best_reply(F.col("profile"), lambda c: c["profit"]))
-        .withColumn(
-            "reply",
-            F.explode(
-                F.transform(
-                    "own_grid",
-                    lambda o: F.struct(
-                        o["grid_idx"].alias("grid_idx"),
-                        _best_reply(
-                            F.col("profile"),
-                            lambda c: o["margin"] * pull(o, c["price"]) + c["profit"],
-                        ).alias("best"),
-                        o["price"].alias("price"),
-                    ),
-                )
-            ),
-        )
-        .select(*ITEM, "variable", "coefficient", "alone", "reply.grid_idx", "reply.best", "reply.price")
-    )
+    def best_value(o: Column) -> Column:
+        return F.array_max(F.transform("profile", lambda c: o["margin"] * pull(o["price"], c["price"]) + c["profit"]))
 
-    def choice(part: str) -> Column:
-        price, profit = F.col(f"{part}.price"), F.col(f"{part}.profit")
-        return F.struct(
-            F.col("variable").alias("competitor"),
-            price.alias("simulation_prices"),
-            profit.alias("profit_predicted"),
-            pull({"price": F.col("price")}, price).alias("qty_adjustment"),
-        )
-
-    combined = replies.groupBy(*ITEM, "grid_idx").agg(
-        F.sum("best.value").alias("selling_value"),
-        F.sum("alone.value").alias("alone_value"),
-        F.sort_array(F.collect_list(choice("best"))).alias("selling"),
-        F.sort_array(F.collect_list(choice("alone"))).alias("alone"),
+    valued = rivals.join(own_grid, ITEM).select(
+        *ITEM,
+        F.array_max(F.transform("profile", lambda c: c["profit"])).alias("alone"),
+        F.explode(F.transform("own_grid", lambda o: F.struct(o["grid_idx"].alias("grid_idx"), best_value(o).alias("value")))).alias("at"),
+    )
+    summed = valued.groupBy(*ITEM, F.col("at.grid_idx").alias("grid_idx")).agg(
+        F.sum("at.value").alias("selling"), F.sum("alone").alias("alone")
     )
+    zero = F.lit(0.0)
     m, base = F.col("simulation_profit"), F.col("intercept") + F.col("qty_adjustment")
-    sells = m * base + F.coalesce("selling_value", F.lit(0.0))
-    alone = F.coalesce("alone_value", F.lit(0.0))
+    sells, alone = m * base + F.coalesce("selling", zero), F.coalesce("alone", zero)
     every = Window.partitionBy(*ITEM).orderBy(F.col("objective").desc())
     top = (
-        own.join(combined, [*ITEM, "grid_idx"], "left")
-        .withColumn("objective", F.round(F.greatest(sells, alone), _TIE_DIGITS))
-        .withColumn("competitors", F.when(sells >= alone, F.col("selling")).otherwise(F.col("alone")))
+        own.join(summed, [*ITEM, "grid_idx"], "left")
+        .withColumns({"objective": F.round(F.greatest(sells, alone), _TIE_DIGITS), "sells": sells >= alone, "base": base})
         .filter(F.col("objective").isNotNull())
         .withColumn("__rank", F.rank().over(every))
         .filter(F.col("__rank") == 1)
+        .select(*ITEM, "grid_idx", "simulation_prices", "cost_lowest", "simulation_profit", "sells", "base")
     )
-    zero = F.lit(0.0)
-    pulled = F.aggregate("competitors", zero, lambda acc, c: acc + c["qty_adjustment"])
-    earned = F.aggregate("competitors", zero, lambda acc, c: acc + c["profit_predicted"])
-    decided = top.select(
-        *ITEM,
-        "simulation_prices",
-        "cost_lowest",
-        "simulation_profit",
-        clamp_negative(base + F.coalesce(pulled, zero)).alias("predicted_qty"),
-        F.coalesce(earned, zero).alias("__earned"),
-        "competitors",
+    price = F.col("simulation_prices")
+    reply = _reply(lambda c: F.when(F.col("sells"), m * pull(price, c["price"])).otherwise(zero) + c["profit"])
+    chosen = top.join(rivals, ITEM).select(*ITEM, "grid_idx", "variable", price, b, reply.alias("reply"))
+    competitor = F.struct(
+        F.col("variable").alias("competitor"), F.col("reply.price").alias("simulation_prices"), F.col("reply.profit").alias("profit_predicted")
     )
-    own_profit = F.col("predicted_qty") * F.col("simulation_profit")
-    return decided.select(
-        *ITEM,
-        "simulation_prices",
-        "cost_lowest",
-        "simulation_profit",
-        "predicted_qty",
-        own_profit.alias("profit_predicted"),
-        (own_profit + F.col("__earned")).alias("profit_predicted_all"),
-        F.transform(
+    replies = chosen.groupBy(*ITEM, "grid_idx").agg(
+        F.sum(pull(price, F.col("reply.price"))).alias("pulled"),
+        F.sum("reply.profit").alias("earned"),
+        F.sort_array(F.collect_list(competitor)).alias("competitors"),
+    )
+    qty = clamp_negative(F.col("base") + F.coalesce("pulled", zero))
+    own_profit = F.col("predicted_qty") * m
+    return (
+        top.join(replies, [*ITEM, "grid_idx"], "left")
+        .withColumn("predicted_qty", qty)
+        .select(
+            *ITEM,
+            "simulation_prices",
+            "cost_lowest",
+            "simulation_profit",
+            "predicted_qty",
+            own_profit.alias("profit_predicted"),
+            (own_profit + F.coalesce("earned", zero)).alias("profit_predicted_all"),
             "competitors",
-            lambda c: F.struct(c["competitor"].alias("competitor"), c["simulation_prices"].alias("simulation_prices"), c["profit_predicted"].alias("profit_predicted")),
-        ).alias("competitors"),
+        )
     )
 
 
+def joint_members(joint: DataFrame, simulated: DataFrame) -> DataFrame:
+    """One row per product and competitor of a joint result: the member's price,
+    quantity and profit next to the product's own; one without a member if there
+    is no competitor."""
+    outcome = simulated.select(
+        *_GROUP, F.col("product").alias("member"), F.col("simulation_prices").alias("member_price"),
+        F.col("qty_predicted").alias("member_qty"), F.col("profit_predicted").alias("member_profit"),
+    )
+    listed = joint.select(
+        *ITEM, "simulation_prices", "predicted_qty", "profit_predicted", "profit_predicted_all", F.explode_outer("competitors").alias("c")
+    ).select("*", F.col("c.competitor").alias("member"), F.col("c.simulation_prices").alias("member_price")).drop("c")
+    return listed.join(outcome, [*_GROUP, "member", "member_price"], "left")
+
+
 def baseline_members(models: DataFrame, best: DataFrame) -> DataFrame:
     """Each modelled product and its competitors, at their separate best prices."""
     own = models.select(*ITEM, F.col("product").alias("member")).distinct()
@@ -314,18 +306,20 @@ def result_pivot(
     and the total profit of the row.
 
     Wide output belongs at the very end and names its products, which also saves
-    the pass that would look for them.
+    the pass that would look for them. A product that is not named fails the
+    query: it has no column, and leaving it out would give a wrong total. The
+    long form of the same rows is ``baseline_members``.
     """
-    aggregates = [F.avg(m).alias(m) for m in measures]
-    wide = best.groupBy(*_GROUP).pivot("product", products).agg(*aggregates)
+    unnamed = F.when(
+        ~F.col("product").isin(*products), F.raise_error(F.concat(F.lit("no column for product "), F.col("product")))
+    )
+    total = F.sum("profit_predicted") if "profit_predicted" in measures else F.count(F.lit(1))
+    totals = best.groupBy(*_GROUP).agg(total.alias("profit_predicted_all"), F.max(unnamed.cast("int")).alias("__unnamed"))
+    totals = totals.filter(F.col("__unnamed").isNull()).drop("__unnamed")
+    wide = best.groupBy(*_GROUP).pivot("product", products).agg(*[F.avg(m).alias(m) for m in measures])
     if len(measures) == 1:
         named = {p: f"{measures[0]}_{p}" for p in products}
     else:
         named = {f"{p}_{m}": f"{m}_{p}" for p in products for m in measures}
-    wide = wide.withColumnsRenamed(named)
-    if "profit_predicted" in measures:
-        total = F.lit(0.0)
-        for p in products:
-            total = total + F.coalesce(F.col(f"`profit_predicted_{p}`"), F.lit(0.0))
-        wide = wide.withColumn("profit_predicted_all", total)
-    return wide
+    wide = join_null_safe(wide.withColumnsRenamed(named), totals, _GROUP, "inner")
+    return wide if "profit_predicted" in measures else wide.drop("profit_predicted_all")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillwise import config
 from tillwise.operators import cost, crosseffects, demand, pairs, prep, simulate
+from tillwise.sources import scratch, tables
 from tillwise.sources.scratch import stage
 
 
@@ -23,8 +24,13 @@ def extract_daily(
     start: str | None = None,
     end: str | None = None,
 ) -> DataFrame:
-    """Step 0: daily sales of the listed categories and local days."""
-    return prep.daily_sales(prep.select_transactions(transactions, categories, start, end))
+    """Step 0: daily sales of the listed categories and local days, as a table."""
+    return stage(prep.daily_sales(prep.select_transactions(transactions, categories, start, end)), "daily")
+
+
+def scoped_sales(daily: DataFrame) -> DataFrame:
+    """Daily sales in scope, as a table; every product has one group per store."""
+    return prep.require_one_group(stage(prep.scope(daily), "sales"))
 
 
 def weekly_for_pairs(
@@ -41,8 +47,8 @@ def competing_pairs(
     weekly: DataFrame,
     thresholds: Mapping[str, tuple[float, float]] = config.PAIR_THRESHOLDS,
 ) -> DataFrame:
-    """Step 1, second half: pairs whose prices and volumes move against each other."""
-    return pairs.select_pairs(weekly, thresholds)
+    """Step 1, second half: pairs whose prices and volumes move against each other, as a table."""
+    return stage(pairs.select_pairs(weekly, thresholds), "pairs")
 
 
 @dataclass(frozen=True)
@@ -105,25 +111,33 @@ def assemble_cost(
     products: DataFrame,
     shop_group: DataFrame,
     group_id: str,
+    categories: Sequence[str] | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
-    """Step 3: the lowest of the three costs per store and product."""
+    """Step 3: the lowest of the three costs per store and product.
+
+    Transactions may be narrowed to category titles and local days.
+    """
     return cost.lowest_cost(
         cost.product_cost(products, shops, shop_group, group_id),
         cost.lowest_deal_cost(deals, relationships, shops, products, shop_group, group_id),
-        cost.cost_from_transactions(transactions),
+        cost.cost_from_transactions(prep.select_transactions(transactions, categories, start, end)),
     )
 
 
-def priced_grid(sales: DataFrame, costs: DataFrame, outlier_qty: float = config.OUTLIER_QTY) -> DataFrame:
+def priced_grid(sales: DataFrame, costs: DataFrame) -> DataFrame:
     """Step 4, first half: grid prices above cost of products whose price moved."""
-    clean = prep.cap_outliers(prep.keep_price_changes(sales), outlier_qty)
-    return simulate.grid_with_cost(simulate.price_grid(clean), costs)
+    return simulate.grid_with_cost(simulate.moving_price_grid(sales), costs)
 
 
-def best_simple_prices(sales: DataFrame, costs: DataFrame) -> DataFrame:
-    """Most profitable price of every product by its price-only model."""
-    grid = priced_grid(sales, costs)
-    return simulate.best_price(simulate.simulate_simple(simple_models(sales), grid))
+@dataclass(frozen=True)
+class JointPrices:
+    """Step 4's result: gain per product, and the joint prices with their members."""
+
+    uplift: DataFrame
+    joint: DataFrame
+    members: DataFrame
 
 
 def joint_prices(
@@ -131,21 +145,23 @@ def joint_prices(
     simple: DataFrame,
     grid: DataFrame,
     store_ref: DataFrame,
-    stores: Sequence[str] | None = config.SAMPLE_STORES,
-    groups: Sequence[str] | None = config.TEST_GROUPS,
+    stores: Sequence[str] | None = None,
+    groups: Sequence[str] | None = None,
     consistent: bool = False,
-) -> DataFrame:
+) -> JointPrices:
     """Step 4, second half: joint best prices against separate ones.
 
-    Models and prices are narrowed to the wanted stores and groups before the
-    joins; competitors are of the same store and group, so none is lost.
+    All stores and groups, unless some are named. Models and prices are narrowed
+    to those before the joins; competitors are of the same store and group, so
+    none is lost.
     """
     models = prep.scope_to_test(models, stores, groups)
     grid = prep.scope_to_test(grid, stores, groups)
     simulated = simulate.simulate_simple(simple, grid)
-    joint = simulate.joint_best_price(models, grid, simulated, consistent)
+    joint = stage(simulate.joint_best_price(models, grid, simulated, consistent), "joint")
     baseline = simulate.baseline_profit(models, simulate.best_price(simulated))
-    return simulate.profit_uplift(joint, baseline, store_ref)
+    uplift = simulate.profit_uplift(joint, baseline, store_ref)
+    return JointPrices(uplift, joint, simulate.joint_members(joint, simulated))
 
 
 def optimise(
@@ -153,12 +169,57 @@ def optimise(
     costs: DataFrame,
     models: Models,
     store_ref: DataFrame,
-    stores: Sequence[str] | None = config.SAMPLE_STORES,
-    groups: Sequence[str] | None = config.TEST_GROUPS,
+    stores: Sequence[str] | None = None,
+    groups: Sequence[str] | None = None,
     consistent: bool = False,
-    outlier_qty: float = config.OUTLIER_QTY,
-) -> DataFrame:
+) -> JointPrices:
     """Step 4 as a whole, for products whose cross model explains more."""
-    grid = stage(priced_grid(sales, costs, outlier_qty), "grid")
+    grid = stage(priced_grid(sales, costs), "grid")
     better = stage(crosseffects.uplift_models(models.cross, models.comparison), "uplift")
     return joint_prices(better, models.simple, grid, store_ref, stores, groups, consistent)
+
+
+#: Columns of the joint price files, besides the folders'.
+JOINT_FILE = [
+    "store", "product", "simulation_prices", "predicted_qty", "profit_predicted", "profit_predicted_all", "member",
+    "member_price", "member_qty", "member_profit", "profit_predicted_all_reg", "profit_predicted_all_uplift",
+    "store_codes", "calculation_group",
+]
+
+
+def joint_files(result: JointPrices, store_ref: DataFrame, path: str) -> None:
+    """One folder per store, group and product: the joint price, its gain and each member's price, quantity and profit."""
+    gains = result.uplift.select("store", "calculation_group", "product", "simulation_prices", "profit_predicted_all_reg", "profit_predicted_all_uplift")
+    codes = store_ref.withColumnRenamed("store_name", "store")
+    rows = result.members.join(gains, ["store", "calculation_group", "product", "simulation_prices"]).join(codes, "store")
+    tables.write_partitioned_result(rows.select(*JOINT_FILE), path)
+
+
+def run(
+    transactions: DataFrame,
+    cost_tables: Mapping[str, DataFrame],
+    group_id: str,
+    store_ref: DataFrame,
+    out: str,
+    activity: DataFrame | None = None,
+    categories: Sequence[str] | None = None,
+    start: str | None = None,
+    end: str | None = None,
+) -> None:
+    """All steps, from transactions to files below ``out``.
+
+    Writes ``models`` (a sheet per table), ``prices`` (a folder per store, group
+    and product) and ``uplift``. ``cost_tables`` has deals, relationships, shops,
+    products and shop_group. Tables between the steps are staged and removed at
+    the end.
+    """
+    spark = transactions.sparkSession
+    with scratch.one_run(spark):
+        sales = scoped_sales(extract_daily(transactions, categories, start, end))
+        chosen = competing_pairs(weekly_for_pairs(sales, activity))
+        models = fit_models(sales, chosen)
+        costs = stage(assemble_cost(transactions, **cost_tables, group_id=group_id, categories=categories, start=start, end=end), "costs")
+        result = optimise(sales, costs, models, store_ref)
+        tables.write_workbook(models.sheets(), f"{out}/models")
+        joint_files(result, store_ref, f"{out}/prices")
+        tables.write_table(simulate.common_result(result.uplift), f"{out}/uplift")

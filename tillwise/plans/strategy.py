@@ -27,12 +27,17 @@ def correlated_pairs(weekly: DataFrame) -> DataFrame:
     return pairs.select_pairs(weekly).select("store", "product_1", "product_2")
 
 
+def own_price_only(sales: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The stock demand model: constant elasticity, whatever the pairs."""
+    return demand.constant_elasticity(sales)
+
+
 @dataclass(frozen=True)
 class PricingStrategy:
-    """weekly -> pairs; sales -> models; products, costs -> cost; models, grid -> outcome."""
+    """weekly -> pairs; sales, pairs -> models; products, costs -> cost; models, grid -> outcome."""
 
     select_pairs: Callable[[DataFrame], DataFrame] = no_pairs
-    build_demand_model: Callable[[DataFrame], DataFrame] = demand.constant_elasticity
+    build_demand_model: Callable[[DataFrame, DataFrame], DataFrame] = own_price_only
     feasible_cost: Callable[[DataFrame, DataFrame], DataFrame] = cost.feasible_cost
     simulate_prices: Callable[[DataFrame, DataFrame], DataFrame] = simulate.simulate_constant_elasticity
 
@@ -44,13 +49,17 @@ def candidate_pairs(sales: DataFrame, strategy: PricingStrategy = PricingStrateg
 def best_prices(
     sales: DataFrame, costs: DataFrame, strategy: PricingStrategy = PricingStrategy()
 ) -> DataFrame:
-    """Best grid price of every product under a strategy; losses are left out."""
+    """Best grid price of every product under a strategy; losses are left out.
+
+    The pairs that the strategy chooses go to its demand model, with the sales.
+    """
     moving = keep_price_changes(sales)
     grid = simulate.price_grid(moving)
     products = grid.select(*STORE_PRODUCT).distinct()
     usable = strategy.feasible_cost(products, costs).withColumnRenamed("feasible_cost", "cost_lowest")
     priced = simulate.grid_with_cost(grid, usable)
-    outcome = strategy.simulate_prices(strategy.build_demand_model(moving), priced)
+    models = strategy.build_demand_model(moving, candidate_pairs(sales, strategy))
+    outcome = strategy.simulate_prices(models, priced)
     return simulate.best_price(outcome.filter(F.col("profit_predicted") > 0)).select(
         *ITEM, "simulation_prices", "qty_predicted", "profit_predicted"
     )

@@ -27,8 +27,10 @@ DUCKDB = {
 
 _STORE = """CASE r_name WHEN 'AFRICA' THEN 'Country Store' WHEN 'EUROPE' THEN 'Metro Store'
  WHEN 'ASIA' THEN 'Metro Discount' ELSE r_name END"""
+# Some products are sold under two categories of one calculation group.
 _CATEGORY = """CASE p_type WHEN 'STANDARD' THEN 'SOFT DRINKS' WHEN 'MEDIUM' THEN 'CHOCOLATES'
- WHEN 'PROMO' THEN 'BISCUITS' WHEN 'ECONOMY' THEN 'CONFECTIONERY'
+ WHEN 'PROMO' THEN 'BISCUITS'
+ WHEN 'ECONOMY' THEN CASE WHEN l_orderkey % 5 = 0 THEN 'CONFECTIONERY, CHEWI' ELSE 'CONFECTIONERY' END
  WHEN 'SMALL' THEN 'HEALTH FOODS' ELSE 'SNACKS AND SAVOURIES' END"""
 _SPACE = """CASE p_type WHEN 'STANDARD' THEN 'BEVERAGES' WHEN 'MEDIUM' THEN 'EDIBLE'
  WHEN 'PROMO' THEN 'BASIC FOOD PRODUCTS' WHEN 'ECONOMY' THEN 'EDIBLE'

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_run: ContextVar[str | None] = ContextVar("run", default=None)
+
+
 def _named(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
@@ -32,7 +38,23 @@ def set_local_dir(spark: SparkSession) -> None:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_run.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def one_run(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside go to a folder of their own, which is removed at the end.
+
+    What has to outlive the run must be written elsewhere before it ends.
+    """
+    folder = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    before = _run.set(folder)
+    try:
+        yield
+    finally:
+        _run.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
