@@ -269,6 +269,12 @@ def test_report_names_labels_that_are_only_predicted(spark):
     assert (report["High"].support, report["Low"].support, report["accuracy"].recall) == (0, 3, 0.0)
 
 
+def test_categories_by_name(spark):
+    sold = spark.createDataFrame([("311 - SOFT DRINKS",), ("BISCUITS",), ("999 - OTHER",)], "category_title string")
+    kept = prep.select_transactions(sold, names=["SOFT DRINKS", "BISCUITS"]).collect()
+    assert [r.category_title for r in kept] == ["311 - SOFT DRINKS", "BISCUITS"]
+
+
 def test_plan_prunes_and_pushes(spark):
     path = "/root/testdata/sf0.001/lineitem.parquet"
     source = tables.read_table(spark, path).selectExpr("l_shipdate AS transacted_at", "l_partkey AS category_title", "l_quantity")

@@ -6,12 +6,6 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
-# Queries that repeat the whole model pipeline: three of them stand for the rest.
-LONG = {
-    "price_difference_features", "demand_points_cross", "vif", "ols_model", "ols_model_literal",
-    "uplift_models", "own_effect", "competitor_effect", "joint_best_price_consistent",
-    "baseline_profit", "profit_uplift",
-}
 SQL = entry.oracle_sql()
 
 
@@ -20,7 +14,7 @@ def duck():
     return comparing.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", [n for n in SQL if n not in LONG])
+@pytest.mark.parametrize("name", list(SQL))
 def test_same_result(spark, duck, name):
     mine = entry.queries()[name](spark, SF_DIR).toPandas()
     assert comparing.differences(mine, duck.execute(SQL[name]).df()) == []

@@ -16,7 +16,6 @@ class Settings:
     deal_table: str = "thread_deal"
     shop_group: str = "00000000-0000-0000-0000-000000000000"
     data_dir: str = "data"
-    share_dir: str = "data/share"
     store_ref: str = "data/Ref_StoreNameCode.csv"
 
     @classmethod
@@ -29,10 +28,22 @@ class Settings:
             deal_table=env.get("TABLE_THREAD_DEAL", cls.deal_table),
             shop_group=env.get("SHOP_GROUP_UUID", cls.shop_group),
             data_dir=data_dir,
-            share_dir=env.get("INTERNAL_SHARE_PATH", cls.share_dir),
             store_ref=env.get("REF_STORE_CSV", os.path.join(data_dir, "Ref_StoreNameCode.csv")),
         )
 
+    @property
+    def tables(self) -> dict[str, str]:
+        """Table name of each source."""
+        return {
+            "transactions": self.transaction_table,
+            "deals": self.deal_table,
+            "relationships": self.relationship_table,
+            "shops": "shops",
+            "products": "thread_product",
+            "shop_group": "shop_group",
+            "store_ref": "store_ref",
+        }
+
 
 # Titles, groups and cut-offs that decide which rows count.
 

@@ -15,11 +15,6 @@ def tolerant_number(text: Column) -> Column:
     return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
 
 
-def finite(x: Column) -> Column:
-    """NaN and infinities to NULL, so they never win a sort or a maximum."""
-    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), None).otherwise(x)
-
-
 def clamp_negative(qty: Column) -> Column:
     """Negative to zero; NULL stays NULL (``greatest`` would hide it)."""
     return F.when(qty < 0, F.lit(0.0)).otherwise(qty)

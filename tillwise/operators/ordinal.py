@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.operators.keys import join_null_safe
+from tillwise.sources.scratch import stage
 
 
 def number_rows(df: DataFrame, levels: Sequence[Sequence[str]], name: str = "row_id") -> DataFrame:
@@ -56,8 +57,11 @@ def number_rows(df: DataFrame, levels: Sequence[Sequence[str]], name: str = "row
 
 
 def assign_pages(df: DataFrame, levels: Sequence[Sequence[str]], page_size: int) -> DataFrame:
-    """Number rows over their full key and cut them into pages, 0-based."""
-    return number_rows(df, levels, "row_number").withColumn(
+    """Number rows over their full key and cut them into pages, 0-based.
+
+    The rows are staged: numbering reads them twice.
+    """
+    return number_rows(stage(df, "numbered"), levels, "row_number").withColumn(
         "page_number", F.floor((F.col("row_number") - 1) / F.lit(page_size)).cast("bigint")
     )
 

@@ -20,10 +20,16 @@ def select_transactions(
     categories: Sequence[str] | None = None,
     start: str | None = None,
     end: str | None = None,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Keep listed category titles and a local date range, both on raw columns."""
+    """Keep listed category titles and a local date range, both on raw columns.
+
+    ``names`` are titles without their code, for sources whose codes are not known.
+    """
     if categories is not None:
         transactions = transactions.filter(F.col("category_title").isin(*categories))
+    if names is not None:
+        transactions = transactions.filter(text.strip_code_prefix(F.col("category_title"), True).isin(*names))
     if start is not None and end is not None:
         transactions = transactions.filter(
             dates.in_local_range(F.col("transacted_at"), start, end)

@@ -23,9 +23,10 @@ def extract_daily(
     categories: Sequence[str] | None = None,
     start: str | None = None,
     end: str | None = None,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
     """Step 0: daily sales of the listed categories and local days, as a table."""
-    return stage(prep.daily_sales(prep.select_transactions(transactions, categories, start, end)), "daily")
+    return stage(prep.daily_sales(prep.select_transactions(transactions, categories, start, end, names)), "daily")
 
 
 def scoped_sales(daily: DataFrame) -> DataFrame:
@@ -114,6 +115,7 @@ def assemble_cost(
     categories: Sequence[str] | None = None,
     start: str | None = None,
     end: str | None = None,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
     """Step 3: the lowest of the three costs per store and product.
 
@@ -122,7 +124,7 @@ def assemble_cost(
     return cost.lowest_cost(
         cost.product_cost(products, shops, shop_group, group_id),
         cost.lowest_deal_cost(deals, relationships, shops, products, shop_group, group_id),
-        cost.cost_from_transactions(prep.select_transactions(transactions, categories, start, end)),
+        cost.cost_from_transactions(prep.select_transactions(transactions, categories, start, end, names)),
     )
 
 
@@ -202,7 +204,8 @@ def run(
     store_ref: DataFrame,
     out: str,
     activity: DataFrame | None = None,
-    categories: Sequence[str] | None = None,
+    sold: Sequence[str] | None = config.SALES_CATEGORIES,
+    costed: Sequence[str] | None = config.COST_CATEGORIES,
     start: str | None = None,
     end: str | None = None,
 ) -> None:
@@ -215,10 +218,10 @@ def run(
     """
     spark = transactions.sparkSession
     with scratch.one_run(spark):
-        sales = scoped_sales(extract_daily(transactions, categories, start, end))
+        sales = scoped_sales(extract_daily(transactions, None, start, end, sold))
         chosen = competing_pairs(weekly_for_pairs(sales, activity))
         models = fit_models(sales, chosen)
-        costs = stage(assemble_cost(transactions, **cost_tables, group_id=group_id, categories=categories, start=start, end=end), "costs")
+        costs = stage(assemble_cost(transactions, **cost_tables, group_id=group_id, start=start, end=end, names=costed), "costs")
         result = optimise(sales, costs, models, store_ref)
         tables.write_workbook(models.sheets(), f"{out}/models")
         joint_files(result, store_ref, f"{out}/prices")

@@ -26,6 +26,19 @@ class JdbcPartitions:
     count: int
 
 
+def jdbc_options(table: str, partitions: JdbcPartitions | None = None) -> dict[str, str]:
+    """Reader options of one database table, cut into ranges if asked for."""
+    options = {"dbtable": table}
+    if partitions is not None:
+        options |= {
+            "partitionColumn": partitions.column,
+            "lowerBound": partitions.lower,
+            "upperBound": partitions.upper,
+            "numPartitions": str(partitions.count),
+        }
+    return options
+
+
 def read_table(
     spark: SparkSession,
     location: str,
@@ -35,17 +48,9 @@ def read_table(
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read one table. ``location`` is a path, or a table name for ``jdbc``."""
-    reader = spark.read.options(**(options or {}))
     if fmt == "jdbc":
-        reader = reader.format("jdbc").option("dbtable", location)
-        if partitions is not None:
-            reader = (
-                reader.option("partitionColumn", partitions.column)
-                .option("lowerBound", partitions.lower)
-                .option("upperBound", partitions.upper)
-                .option("numPartitions", str(partitions.count))
-            )
-        return reader.load()
+        return spark.read.format("jdbc").options(**(options or {}), **jdbc_options(location, partitions)).load()
+    reader = spark.read.options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
