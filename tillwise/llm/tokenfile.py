@@ -87,7 +87,10 @@ class WordEncoder(dict):
             start, held = i, 0
 
 
-_encoder = lru_cache(maxsize=1)(WordEncoder)
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker."""
+    return WordEncoder(path)
 
 
 def compress(ids: np.ndarray, last: np.ndarray, rounds: int = 5, pairs: int = 256, least: int = 8):
