@@ -138,7 +138,8 @@ def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     placed = dealt.withColumns({"place": F.row_number().over(row), "start": F.sum("size").over(row) - F.col("size")}).drop("order")
     placed = placed.join(shards.select("rank", "shard", "copies"), ["rank", "shard"], "left")
     covers = F.expr("if(size > 0, sequence(start div block, (start + size - 1) div block), array())")
-    cut = placed.withColumn("k", F.explode_outer(covers)).join(chosen, ["rank", "shard", "k"], "left")
+    # without the hint the planner takes the blocks for as few as the shards they come from, and broadcasts them
+    cut = placed.withColumn("k", F.explode_outer(covers)).join(chosen.hint("merge"), ["rank", "shard", "k"], "left")
     opens = F.greatest("start", F.col("k") * F.col("block"))
     ends = F.least(F.col("start") + F.col("size"), F.col("k") * F.col("block") + F.col("chosen"))
     piece = F.when(F.col("chosen").isNotNull() & (ends > opens), F.struct((opens - F.col("start")).alias("start"), (ends - opens).alias("words")))
