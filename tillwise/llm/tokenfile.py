@@ -35,56 +35,55 @@ def _words(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+class _ByteLetters(dict):
+    """For ``str.translate``: what the tokenizer's byte alphabet makes of a character."""
+
+    def __missing__(self, code: int) -> str:
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self[code] = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(code))[0][0]
+        return self[code]
+
+
 class WordEncoder(dict):
     """Words between ASCII white space to their packed ids, by the tokenizer for words not seen yet.
 
     The tokenizer lower-cases, cuts at white space and drops it, so a text's ids
     are its words' ids joined; so do letters and the marks after them. Words of
-    ASCII letters need only its merges. The memory is emptied when it is full.
+    Latin letters, whose lower case and normal form depend on nothing around
+    them, need only its merges; all others go through the whole tokenizer. The
+    memory is emptied when it is full.
     """
 
-    def __init__(self, path: str, full: int = 1_000_000, longest: int = 64):
+    #: Code points below this are Latin, without combining marks.
+    LATIN_END = "\u0250"
+
+    def __init__(self, path: str, full: int = 600_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.full, self.longest = Tokenizer.from_file(path), full, longest
+        self.letters = _ByteLetters()
 
     def __missing__(self, word: bytes) -> bytes:
-        lowered = word.lower()
-        stem = lowered.rstrip(MARKS)
-        if lowered.isalpha():
-            packed = _words([t.id for t in self.tokenizer.model.tokenize(lowered.decode())])
-        elif stem.isalpha():
-            packed = self[stem] + self[lowered[len(stem) :]]
+        stem = word.rstrip(MARKS)
+        if stem != word and stem.decode().isalpha():
+            packed = self[stem] + self[word[len(stem) :]]
         else:
-            packed = _words(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+            text = word.decode()
+            if text.isalpha() and max(text) < self.LATIN_END and "\u0130" not in text:
+                ids = [t.id for t in self.tokenizer.model.tokenize(text.lower().translate(self.letters))]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            packed = _words(ids)
         if len(word) <= self.longest:
+            if len(self) >= self.full:
+                self.clear()
             self[word] = packed
         return packed
 
-    def learn(self, words: set[bytes]) -> None:
-        """Encode what the model alone cannot, many words at a time."""
-        if len(self) + len(words) > self.full:
-            self.clear()
-        missing = [w for w in words.difference(self.keys()) if not w.isascii() and len(w) <= self.longest]
-        for at in range(0, len(missing), 1024):
-            some = missing[at : at + 1024]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for word, encoding in zip(some, coded):
-                self[word] = _words(encoding.ids)
-
-    def texts(self, texts: list[bytes | None]) -> Iterator[bytes]:
-        """Packed ids of each text; about four MB of text are cut into words at a time."""
-        start, held = 0, 0
-        for i, text in enumerate(texts, 1):
-            held += len(text or b"")
-            if held < 1 << 22 and i < len(texts):
-                continue
-            cut = [t.split() if t else [] for t in texts[start:i]]
-            self.learn(set().union(*cut))
-            for words in cut:
-                yield b"".join(map(self.__getitem__, words))
-            start, held = i, 0
+    def text(self, text: bytes | None) -> bytes:
+        return b"".join(map(self.__getitem__, text.split())) if text else b""
 
 
 @lru_cache(maxsize=1)
@@ -207,8 +206,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens:
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow)], schema=arrow)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.texts(batch.column(1).to_pylist())):
-                ids += end
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = encoder.text(text) + end
                 if packed and held + len(ids) > 4 * shard_tokens:
                     yield shard()
                     doc_ids, packed, held, number = [], [], 0, number + 1
