@@ -1,6 +1,6 @@
 import comparing
 import duckdb
-import pytest
+from pyspark.sql import functions as F
 
 from tillwise.llm import hostrep, registry, sql
 
@@ -8,7 +8,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def judged(spark, urls, outcomes=(), **more):
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumnRenamed("none", "x")
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     labels = spark.createDataFrame(list(outcomes), "page_id long, good boolean")
     return {r.page_id: r for r in hostrep.judge(pages, labels, registry.RULES, **more).collect()}
 
@@ -49,8 +49,6 @@ def test_hosts_shrink_to_their_domain(spark):
 def test_domains_of_hosts(spark):
     hosts = {"a.b.example.com": ("example.com", "com"), "x.co.uk": ("x.co.uk", "co.uk"), "a.x.co.uk": ("x.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"), "localhost": ("localhost", "localhost"), "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "": ("", "")}
     rows = spark.createDataFrame([(h,) for h in hosts], "host string")
-    from pyspark.sql import functions as F
-
     domain, suffix = hostrep._levels(F.col("host"))
     assert {r[0]: (r[1], r[2]) for r in rows.select("host", domain, suffix).collect()} == hosts
 

@@ -3,7 +3,6 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tillwise.llm import isolation
 
