@@ -241,6 +241,8 @@ def test_pivot_has_a_column_per_product(spark):
 def test_stock_strategy_has_no_pairs(spark):
     sales = random_daily(spark, products=3, days=40)
     assert strategy.candidate_pairs(sales).isEmpty()
+    by_correlation = strategy.PricingStrategy(select_pairs=strategy.correlated_pairs)
+    assert strategy.candidate_pairs(sales, by_correlation).columns == ["store", "product_1", "product_2"]
     costs = spark.createDataFrame([("S", "P0", 1.0)], "store string, product string, cost_lowest double")
     assert strategy.best_prices(sales, costs).count() == 3
 
