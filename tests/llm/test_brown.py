@@ -119,3 +119,43 @@ def test_messy_rows(messy, none):
     untaught = brown.score(messy, F.lit(False), F.lit(True), SMALL).collect()
     assert {r.train_tokens for r in untaught} == {0} and {r.n_known for r in untaught} == {0}
     assert all(math.isfinite(r.score) for r in untaught)
+
+
+def test_every_repeated_word_is_clustered_until_none_moves(spark, monkeypatch):
+    """Held and other words alike: alone, no word seen twice does better in another class."""
+    found = {}
+    rounds = brown.exchange_rounds
+
+    def kept(pairs, of, end, settings):
+        found["start"], found["end"] = of, end
+        found["of"], found["table"] = rounds(pairs, of, end, settings)
+        return found["of"], found["table"]
+
+    monkeypatch.setattr(brown, "exchange_rounds", kept)
+    settings = brown.Settings(classes=6, clustered=20, endings=8, held=50)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter("doc_id < 40")
+    brown.score(docs, F.lit(True), F.lit(False), settings).collect()
+    texts = [tokens(r.text) for r in docs.collect()]
+    counts = collections.Counter(w for t in texts for w in t)
+    rare = sorted(settings.key(w) for w, c in counts.items() if w and c > 1)
+    held = found["end"] - settings.endings
+    keys = sorted(set(rare))
+    assert len(found["of"]) == len(keys) + settings.endings + 1 and 20 < held <= 50 < len(keys)
+    ordered = sorted((w for w, c in counts.items() if w and c > 1), key=lambda w: (-counts[w], w))[:held]
+    place = {settings.key(w): i for i, w in enumerate(ordered)}
+    place |= {k: found["end"] + 1 + i for i, k in enumerate(k for k in keys if k not in place)}
+    symbol = lambda w: found["end"] if w == brown.END else place.get(settings.key(w), held + settings.key(w) % 8)
+    pairs = np.zeros((len(found["of"]),) * 2)
+    for text in texts:
+        row = [found["end"], *map(symbol, text)]
+        for a, b in zip(row, row[1:]):
+            pairs[a, b] += 1
+    member = np.eye(6)[found["of"]]
+    assert np.array_equal(member.T @ pairs @ member, found["table"])
+    best = likelihood(pairs, found["of"], 6)
+    assert best > likelihood(pairs, found["start"], 6)
+    for s in np.random.default_rng(1).permutation(len(found["of"]))[:150]:
+        for c in range(1, 6) if s != found["end"] else ():
+            other = found["of"].copy()
+            other[s] = c
+            assert likelihood(pairs, other, 6) <= best + 1e-5
