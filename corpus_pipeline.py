@@ -13,8 +13,9 @@ from tillwise.sources import scratch
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from their labels."""
-    profiles = langid.learn(docs.filter(fold(F.col("doc_id"), 4) != 2))
-    return langid.keep_identified(docs, profiles)
+    taught = docs.filter(fold(F.col("doc_id"), 4) != 2)
+    profiles = langid.learn(taught)
+    return langid.keep_identified(docs, profiles, bounds=langid.least_cosines(taught, profiles))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

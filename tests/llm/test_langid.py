@@ -72,3 +72,25 @@ def test_messy_rows(messy, none, profiles):
     assert {r.lang_pred for r in langid.identify(messy, empty, ["doc_id"]).collect()} == {"und"}
     taught = langid.learn(messy)
     assert taught.languages == ["de", "en", "fr"]
+
+
+@pytest.mark.parametrize("left_out", ["de", "fr"])
+def test_a_language_left_out_is_rejected_and_clean_texts_stay(spark, left_out):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8)
+    learned, held_out = F.col("lang") != left_out, fold(F.col("doc_id"), 4) == 2
+    taught = docs.filter(learned & ~held_out)
+    profiles = langid.learn(taught)
+    bounds = langid.least_cosines(taught, profiles)
+    long = docs.filter(F.length("text") >= 200)
+
+    def share(some):
+        return langid.keep_identified(some, profiles, bounds=bounds).count() / some.count()
+
+    assert share(long.filter(~learned)) < 0.07 and share(long.filter(learned & held_out)) > 0.985
+
+
+def test_bounds_need_enough_texts(docs, profiles, none):
+    few = langid.least_cosines(docs.filter("doc_id < 50"), profiles)
+    assert (few == 0.15).all() and few.shape == (len(profiles.languages), langid.BINS)
+    assert (langid.least_cosines(docs, profiles) > 0.15).any()
+    assert langid.least_cosines(none, langid.learn(none)).shape == (0, langid.BINS)

@@ -184,16 +184,76 @@ def identify(docs: DataFrame, profiles: LanguageProfiles, keep: list[str | Colum
     return source.mapInArrow(run, target).toDF(*kept.columns, "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, profiles: LanguageProfiles, least: float = 0.15, letters: int = 30) -> DataFrame:
+#: Length bins double from the first length that is judged; cosines are counted in steps.
+BINS, STEPS = 10, 1000
+
+
+def least_cosines(
+    labelled: DataFrame, profiles: LanguageProfiles, share: float = 0.005, least: float = 0.15, letters: int = 30
+) -> np.ndarray:
+    """The least cosine of each learned language and length bin, from labelled rows.
+
+    Below it lie at most ``share`` of the language's own texts of that length,
+    each measured against its language without itself. With fewer than 1 /
+    ``share`` such texts those of all languages count, then those of all shorter
+    bins too, which are less like their language; with too few of these as well
+    it is ``least``, which is also the lower limit. Only counts reach the driver.
+    """
+    languages = profiles.languages
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(languages) * BINS * STEPS, np.int64)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            of = np.searchsorted(languages, batch.column(1).to_pylist())
+            for piece in _pieces(texts):
+                vectors = bundle(texts[piece], profiles.seed, profiles.prototypes.shape[1]).astype(np.float64)
+                others = profiles.prototypes[of[piece]] - vectors
+                norm = np.linalg.norm(vectors, axis=1) * np.linalg.norm(others, axis=1)
+                cosine = (vectors * others).sum(1) / np.maximum(norm, 1e-300)
+                size = np.array([len(t) for t in texts[piece]])
+                at = np.minimum(np.log2(size / letters).astype(int), BINS - 1)
+                step = np.clip((cosine * STEPS).astype(int), 0, STEPS - 1)
+                has_letter = np.array([any(map(str.isalpha, t)) for t in texts[piece]])
+                cell = (of[piece] * BINS + at) * STEPS + step
+                counts += np.bincount(cell[has_letter], minlength=len(counts))
+        cells = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(counts[cells], pa.int64())], ["cell", "n"])
+
+    if not languages:
+        return np.zeros((0, BINS))
+    taught = labelled.filter(F.col("lang").isin(languages) & (F.length("text") >= letters)).select("text", "lang")
+    sums = taught.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(len(languages) * BINS * STEPS, np.int64)
+    counts[sums["cell"]] = sums["n"]
+    own = counts.reshape(-1, BINS, STEPS)
+    every = own.sum(0, keepdims=True)
+    out = np.full(own.shape[:2], np.nan)
+    for some in (own, every, every.cumsum(1)):
+        total = some.sum(2)
+        found = np.argmax(some.cumsum(2) > share * total[:, :, None], axis=2) / STEPS
+        out = np.where(np.isnan(out) & (total * share >= 1), found, out)
+    return np.maximum(np.nan_to_num(out, nan=least), least)
+
+
+def keep_identified(
+    docs: DataFrame, profiles: LanguageProfiles, least: float = 0.15, letters: int = 30, bounds: np.ndarray | None = None
+) -> DataFrame:
     """The documents that look like one of the learned languages, all columns kept.
 
     Rejected are texts without a letter (null and empty ones too) and texts of
-    at least ``letters`` characters whose cosine with every prototype is below
-    ``least``; a few words alone say too little to reject them.
+    at least ``letters`` characters whose cosine with the nearest prototype is
+    below its bound: that of ``bounds`` (see least_cosines) for the language and
+    length, or ``least``. A few words alone say too little to reject them.
     """
     columns = docs.columns
     marked = identify(docs, profiles, [docs[c] for c in columns])
     judged = marked.toDF(*[f"kept_{i}" for i in range(len(columns))], "judged_lang", "judged_score")
-    short = F.length(f"kept_{columns.index('text')}") < letters
-    stays = (F.col("judged_lang") != "und") & (short | (F.col("judged_score") >= least))
+    size = F.length(f"kept_{columns.index('text')}")
+    bound = F.lit(least)
+    if bounds is not None and len(bounds):
+        at = F.least(F.floor(F.log2(size / letters)), F.lit(BINS - 1)).cast("int")
+        for language, row in zip(profiles.languages, bounds.tolist()):
+            bound = F.when(F.col("judged_lang") == language, F.get(F.array(*map(F.lit, row)), at)).otherwise(bound)
+    stays = (F.col("judged_lang") != "und") & ((size < letters) | (F.col("judged_score") >= bound))
     return judged.filter(stays).drop("judged_lang", "judged_score").toDF(*columns)
