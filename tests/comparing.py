@@ -7,7 +7,7 @@ import math
 import duckdb
 import pandas as pd
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "labels")
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
