@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import brown, decontaminate, hostrep, isolation, langid, linededup, mixing, pii, simhash, sql, tokenfile
+from tillwise.llm import brown, centroids, decontaminate, hostrep, isolation, langid, linededup, mixing, pii, simhash, sql, tokenfile
 from tillwise.llm.texts import fold, read_table
 from tillwise.sources import scratch
 
@@ -86,10 +86,13 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostrep.judge(pages, outcomes, RULES).drop("bound")
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 ALL = [
     op1_mixing, op2_pii, op3_line_dedup, op4_language_id, op5_quality_rules, op6_decontaminate, op7_simhash, op8_brown_lm,
-    op9_token_file,
-    op10_host_reputation,
+    op9_token_file, op10_host_reputation, op13_centroids,
 ]
 
 

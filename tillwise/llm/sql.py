@@ -144,4 +144,40 @@ SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, CASE WHEN bound >=
 FROM urls u JOIN bounds USING (host) LEFT JOIN fitting f USING (page_id)
 """
 
-ORACLE = {"op1_mixing": MIXING, "op3_line_dedup": LINE_DEDUP, "op10_host_reputation": HOST_REPUTATION}
+_ASSIGNED = """
+), apart{r} AS (
+    SELECT p.row, c.cluster, sum((p.x - c.x) * (p.x - c.x)) AS distance FROM parts p JOIN centroids{r} c USING (dim) GROUP BY ALL
+), assigned{r} AS (
+    SELECT row, min(distance) AS distance, arg_min(cluster, distance * 16 + cluster) AS cluster FROM apart{r} GROUP BY row"""
+
+_MOVED = """
+), centroids{next} AS (
+    SELECT c.cluster, c.dim, coalesce(m.x, c.x) AS x FROM centroids{r} c LEFT JOIN (
+        SELECT cluster, dim, (sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*) AS x
+        FROM parts JOIN assigned{r} USING (row) GROUP BY cluster, dim
+    ) m USING (cluster, dim)"""
+
+CENTROIDS = (
+    """
+WITH kept AS (
+    SELECT vec_id, embedding, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), embedding) AS row FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), parts AS (
+    SELECT row, unnest(range(64)) AS dim, floor(64 * unnest(embedding)::DOUBLE)::HUGEINT AS x FROM kept
+), centroids0 AS (
+    SELECT row - 1 AS cluster, dim, x FROM parts WHERE row <= 16"""
+    + "".join(_ASSIGNED.format(r=r) + _MOVED.format(r=r, next=r + 1) for r in range(3))
+    + _ASSIGNED.format(r=3)
+    + """
+), digests AS (
+    SELECT cluster, sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY dim)) AS centroid_sha256 FROM centroids3 GROUP BY cluster
+)
+SELECT vec_id, cluster::INT AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM kept JOIN assigned3 USING (row) JOIN digests USING (cluster)
+"""
+)
+
+ORACLE = {
+    "op1_mixing": MIXING, "op3_line_dedup": LINE_DEDUP, "op10_host_reputation": HOST_REPUTATION, "op13_centroids": CENTROIDS,
+}
