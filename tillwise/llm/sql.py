@@ -178,6 +178,44 @@ FROM kept JOIN assigned3 USING (row) JOIN digests USING (cluster)
 """
 )
 
+INTERPLAY = r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), firsts AS (
+    SELECT coalesce(text, '') AS text, min(doc_id) AS first FROM documents GROUP BY ALL
+), marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), docs AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        MAP {'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+            'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text), 'D': regexp_matches(text, '[#$%&*|]'),
+            'E': coalesce(doc_id > first, false)} AS fails
+    FROM cut JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)
+), groups AS (
+    SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM docs GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), orders AS (
+    SELECT '' AS filter_order UNION ALL SELECT filter_order || letter FROM orders, letters WHERE position(letter IN filter_order) = 0
+), steps AS (
+    SELECT filter_order, step::INT AS step, filter_order[step] AS letter, string_split(filter_order[:step - 1], '') AS earlier
+    FROM orders, range(1, 6) AS r(step) WHERE length(filter_order) = 5
+), counted AS (
+    SELECT part, filter_order, step, letter,
+        coalesce(sum(n) FILTER (WHERE fails[letter] AND NOT list_bool_or(list_transform(earlier, lambda x: coalesce(fails[x], false)))), 0) AS removed,
+        coalesce(sum(n) FILTER (WHERE fails[letter] AND list_bool_or(list_transform(earlier, lambda x: coalesce(fails[x], false)))), 0) AS redundant,
+        coalesce(sum(n) FILTER (WHERE NOT fails[letter] AND NOT list_bool_or(list_transform(earlier, lambda x: coalesce(fails[x], false)))), 0) AS kept,
+        coalesce(sum(n) FILTER (WHERE fails[letter] AND len(list_filter(map_values(fails), lambda x: x)) = 1), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (WHERE fails[letter] AND NOT list_bool_or(list_transform(earlier, lambda x: coalesce(fails[x], false)))), 0) AS good_lost,
+        coalesce(sum(toxic) FILTER (WHERE fails[letter] AND NOT list_bool_or(list_transform(earlier, lambda x: coalesce(fails[x], false)))), 0) AS toxic_lost
+    FROM groups, steps GROUP BY ALL
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+    unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted
+"""
+
 ORACLE = {
-    "op1_mixing": MIXING, "op3_line_dedup": LINE_DEDUP, "op10_host_reputation": HOST_REPUTATION, "op13_centroids": CENTROIDS,
+    "op1_mixing": MIXING, "op3_line_dedup": LINE_DEDUP, "op10_host_reputation": HOST_REPUTATION, "op11_interplay": INTERPLAY, "op13_centroids": CENTROIDS,
 }
