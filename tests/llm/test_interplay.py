@@ -5,7 +5,7 @@ from itertools import permutations
 import comparing
 import pytest
 
-from tillwise.llm import interplay, registry, sql
+from tillwise.llm import interplay, registry, sql, texts
 
 SF_DIR = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -104,7 +104,7 @@ def test_every_order_removes_a_mask_once():
 
 def test_words_of_long_texts():
     text = ("ab cd " * 400_000 + "x" * 3_000_000 + " end").encode()
-    assert sum(map(len, interplay.pieces(text))) == 800_002
+    assert sum(map(len, texts.word_pieces(text))) == 800_002
     assert interplay.failures(text) == 2
 
 

@@ -19,25 +19,12 @@ MARKS = b"#$%&*|"
 CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 #: Bytes of UTF-8 that begin no character.
 CONTINUED = bytes(range(0x80, 0xC0))
-#: Bytes of a text whose words are cut out together; bounds memory, not results.
-PIECE = 1 << 20
-
-
-def pieces(text: bytes, size: int = PIECE) -> Iterator[list[bytes]]:
-    """The words of a text, a list for every ``size`` bytes or so; a longer word stays whole."""
-    at = 0
-    while at < len(text):
-        end = at + size
-        while end < len(text) and not text[end : end + 1].isspace():
-            end += 1
-        yield text[at:end].split()
-        at = end
 
 
 def failures(text: bytes) -> int:
     """Bits of the filters A to D that a text fails: short, few distinct words, capitals, marks."""
     n_words, distinct = 0, set()
-    for words in pieces(text):
+    for words in texts.word_pieces(text):
         n_words += len(words)
         distinct.update(words)
     points = len(text.translate(None, CONTINUED))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import brown, centroids, decontaminate, hostrep, interplay, isolation, langid, linededup, mixing, pii, simhash, sql, tokenfile
+from tillwise.llm import brown, centroids, decontaminate, hostrep, interplay, isolation, langid, linededup, lshforest, mixing, pii, simhash, sql, tokenfile
 from tillwise.llm.texts import fold, read_table
 from tillwise.sources import scratch
 
@@ -90,13 +90,17 @@ def op11_interplay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interplay.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lshforest.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
 
 
 ALL = [
     op1_mixing, op2_pii, op3_line_dedup, op4_language_id, op5_quality_rules, op6_decontaminate, op7_simhash, op8_brown_lm,
-    op9_token_file, op10_host_reputation, op11_interplay, op13_centroids,
+    op9_token_file, op10_host_reputation, op11_interplay, op12_lsh_forest, op13_centroids,
 ]
 
 

@@ -216,6 +216,28 @@ SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS remove
 FROM counted
 """
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), runs AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM cut WHERE len(words) > 0)
+), sized AS (
+    SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared
+    FROM runs a JOIN runs b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT u, v FROM common JOIN sized a ON u = a.doc_id JOIN sized b ON v = b.doc_id WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+), reach AS (
+    SELECT doc_id AS u, doc_id AS v FROM documents UNION
+    SELECT r.u, l.v FROM reach r JOIN (SELECT u, v FROM links UNION ALL SELECT v, u FROM links) l ON r.v = l.u
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(v) AS component_id, doc_id = min(v) AS kept
+FROM reach JOIN documents ON u = doc_id LEFT JOIN sized USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLE = {
-    "op1_mixing": MIXING, "op3_line_dedup": LINE_DEDUP, "op10_host_reputation": HOST_REPUTATION, "op11_interplay": INTERPLAY, "op13_centroids": CENTROIDS,
+    "op1_mixing": MIXING, "op3_line_dedup": LINE_DEDUP, "op10_host_reputation": HOST_REPUTATION, "op11_interplay": INTERPLAY,
+    "op12_lsh_forest": NEAR_DUPLICATES, "op13_centroids": CENTROIDS,
 }
