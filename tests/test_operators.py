@@ -392,3 +392,29 @@ def test_run_reads_transactions_twice_and_leaves_only_its_files(spark, tmp_path)
     assert {p.name for p in (tmp_path / "out").iterdir()} == {"models", "prices", "uplift"}
     assert {p.name for p in (tmp_path / "out" / "models").iterdir()} == {"model_comparison", "simple_regression", "ols"}
     assert not [p for p in __import__("os").listdir(scratch.shared_dir(spark).removeprefix("file:")) if p.startswith("run-")]
+
+
+def test_model_of_two_thousand_rivals(spark):
+    """Competitor blocks meet across chunks; only matrices of regressors reach a task."""
+    rng = np.random.default_rng(11)
+    rivals, days = 2000, 40
+    start = dt.date(2024, 1, 1)
+    rows = [("S", "own", start + dt.timedelta(d), round(float(rng.normal(10, 1)), 2), float(rng.integers(1, 9))) for d in range(days)]
+    change = rng.integers(1, days, rivals)
+    for r in range(rivals):
+        for d in (0, int(change[r])):
+            rows.append(("S", f"R{r:04}", start + dt.timedelta(d), 5.0 + d / 10 + r % 7, 1.0))
+    table = spark.createDataFrame(rows, "store string, product string, date date, price double, qty double")
+    table = table.selectExpr("store", "'D' as department", "'A' as space", "'C' as category", "product", "date", "price", "qty", "'G' as calculation_group")
+    chosen = spark.createDataFrame([("S", "own", f"R{r:04}") for r in range(rivals)], "store string, product_1 string, product_2 string")
+    filled = prep.fill_daily(table)
+    last = {f"R{r:04}": change[r] for r in range(rivals)}
+    points = crosseffects.demand_points_cross(filled, chosen).toPandas()
+    assert all(len(d) == rivals for d in points["differences"]) and list(points["rivals"].iloc[0]) == sorted(last)
+    assert points["unique_days"].sum() == days
+    complete = points[[not np.isnan(np.array(d, float)).any() for d in points["differences"]]]
+    back = spark.createDataFrame(points)
+    found = crosseffects.Moments.of_blocks(crosseffects._matrices(back, False).toPandas(), False)
+    x = np.column_stack([complete["inverted_qty"], complete["price"], np.vstack(complete["differences"])])
+    assert found.n == len(x) and np.allclose(found.means, x.mean(0))
+    assert np.allclose(found.sums, (x - x.mean(0)).T @ (x - x.mean(0)), atol=1e-8)
