@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,6 +150,64 @@ def _profiles(simulated: DataFrame) -> DataFrame:
     return profiles.withColumnRenamed("product", "variable")
 
 
+def upper_hull(prices: np.ndarray, profits: np.ndarray) -> np.ndarray:
+    """Places of the points that are the highest in some direction; prices ascend."""
+    kept: list[int] = []
+    for i in range(len(prices)):
+        while len(kept) > 1:
+            a, b = kept[-2], kept[-1]
+            if (profits[b] - profits[a]) * (prices[i] - prices[a]) > (profits[i] - profits[a]) * (prices[b] - prices[a]):
+                break
+            kept.pop()
+        kept.append(i)
+    return np.array(kept, np.int64)
+
+
+def best_values(slopes: np.ndarray, prices: np.ndarray, profits: np.ndarray) -> np.ndarray:
+    """The highest ``slope * price + profit`` over the points of a hull, for each slope.
+
+    Neighbours on the hull are equally good at one slope; these slopes descend
+    along it, so each slope looks up its place instead of trying all points.
+    """
+    equal = (profits[1:] - profits[:-1]) / (prices[:-1] - prices[1:])
+    at = np.searchsorted(equal, slopes)
+    return slopes * prices[at] + profits[at]
+
+
+def _hulls(simulated: DataFrame) -> DataFrame:
+    """Per competitor the hull of its prices and the profits it makes at each: an upper envelope for any margin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = [[np.array(batch.column(c)[i].as_py(), float) for c in ("prices", "profits")] for i in range(batch.num_rows)]
+            hulls = [[a[at] for a in x] for x in points for at in [upper_hull(*x)]]
+            columns = [pa.array([h[k] for h in hulls], pa.list_(pa.float64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], batch.schema.names)
+
+    profiles = _profiles(simulated).select(
+        *_GROUP, "variable", F.col("profile.price").alias("prices"), F.col("profile.profit").alias("profits")
+    )
+    return profiles.mapInArrow(run, profiles.schema)
+
+
+def _reply_values(pairs: DataFrame, consistent: bool) -> DataFrame:
+    """For each own price the best ``margin * pull + profit`` of a competitor, one row per pair of products."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("coefficient", "own_prices", "margins", "prices", "profits"))):
+                b, own, margins, prices, profits = row[0], *(np.array(x, float) for x in row[1:])
+                values = best_values(margins * (-b if consistent else b), prices, profits)
+                out.append(values + margins * b * own if consistent else values)
+            values = pa.array(out, pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], values], [*batch.schema.names[:5], "values"])
+
+    kept = [*ITEM, "grid_idx", "alone"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.select(*kept).schema) + ", values array<double>"
+    return pairs.select(*kept, "coefficient", "own_prices", "margins", "prices", "profits").mapInArrow(run, schema)
+
+
 def _reply(value) -> Column:
     """The competitor's price with the highest ``value``, the lowest on a tie."""
     return F.array_max(
@@ -171,16 +233,19 @@ def joint_best_price(
         max( m (I + b p) + sum_j max_pj [ m b_j p_j + profit_j(p_j) ],
              sum_j max_pj [ profit_j(p_j) ] )
 
-    So the work is own prices times competitor prices for each pair of products,
-    not the product of all grids. Only values are worked out for every own price;
-    which prices the competitors take is looked up for the winning own prices.
+    A competitor's lines ``m b_j p_j + profit_j(p_j)`` are those of its points
+    (p_j, profit_j), of which only the upper hull can win, whatever b_j is. The
+    hull is built once per competitor, and every own price looks up its point on
+    it: the work of a pair of products is about the sum of their grids. Only
+    values are worked out for every own price; which prices the competitors take
+    is looked up for the winning own prices.
 
     ``consistent=True`` uses own minus competitor price, as the models are
     trained on; the default multiplies the competitor price itself.
     All own prices that reach the maximum stay.
     """
     own = own_effect(models, grid)
-    rivals = _rivals(models).join(_profiles(simulated), [*_GROUP, "variable"])
+    rivals = _rivals(models)
     own_price = F.struct("grid_idx", F.col("simulation_prices").alias("price"), F.col("simulation_profit").alias("margin"))
     own_grid = own.groupBy(*ITEM).agg(F.sort_array(F.collect_list(own_price)).alias("own_grid"))
     b = F.col("coefficient")
@@ -188,13 +253,12 @@ def joint_best_price(
     def pull(own_price: Column, price: Column) -> Column:
         return b * (own_price - price) if consistent else b * price
 
-    def best_value(o: Column) -> Column:
-        return F.array_max(F.transform("profile", lambda c: o["margin"] * pull(o["price"], c["price"]) + c["profit"]))
-
-    valued = rivals.join(own_grid, ITEM).select(
-        *ITEM,
-        F.array_max(F.transform("profile", lambda c: c["profit"])).alias("alone"),
-        F.explode(F.transform("own_grid", lambda o: F.struct(o["grid_idx"].alias("grid_idx"), best_value(o).alias("value")))).alias("at"),
+    pairs = rivals.join(_hulls(simulated), [*_GROUP, "variable"]).join(own_grid, ITEM).select(
+        *ITEM, "coefficient", "prices", "profits", F.array_max("profits").alias("alone"), F.col("own_grid.grid_idx").alias("grid_idx"),
+        F.col("own_grid.price").alias("own_prices"), F.col("own_grid.margin").alias("margins"),
+    )
+    valued = _reply_values(pairs, consistent).select(
+        *ITEM, "alone", F.explode(F.arrays_zip(F.col("grid_idx"), F.col("values").alias("value"))).alias("at")
     )
     summed = valued.groupBy(*ITEM, F.col("at.grid_idx").alias("grid_idx")).agg(
         F.sum("at.value").alias("selling"), F.sum("alone").alias("alone")
@@ -213,7 +277,8 @@ def joint_best_price(
     )
     price = F.col("simulation_prices")
     reply = _reply(lambda c: F.when(F.col("sells"), m * pull(price, c["price"])).otherwise(zero) + c["profit"])
-    chosen = top.join(rivals, ITEM).select(*ITEM, "grid_idx", "variable", price, b, reply.alias("reply"))
+    replying = top.join(rivals, ITEM).join(_profiles(simulated), [*_GROUP, "variable"])
+    chosen = replying.select(*ITEM, "grid_idx", "variable", price, b, reply.alias("reply"))
     competitor = F.struct(
         F.col("variable").alias("competitor"), F.col("reply.price").alias("simulation_prices"), F.col("reply.profit").alias("profit_predicted")
     )
