@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.texts import spread_join
 from tillwise.sources import scratch
 
 
@@ -22,22 +21,21 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Every round turns each node's larger neighbours, then its smaller ones,
     towards its smallest neighbour. The smallest neighbour comes from a partial
-    aggregate and goes back by a join that broadcasts the few nodes with very
-    many links, so such a node's links are never gathered in one place. Rounds
-    are written to the shared folder; their number grows with the logarithm of
-    the longest path.
+    aggregate and goes back by a join: nothing is collected per node, but the
+    links of a node with very many pass through one task of the join, unless
+    Spark's handling of skewed joins splits it. Rounds are written to the shared
+    folder; their number grows with the logarithm of the longest path.
     """
     pairs = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = scratch.stage(pairs.filter("u <> v").distinct(), "links")
     before = None
     while (now := _signature(edges)) != before:
-        before, total = now, now[0]
+        before = now
         both = edges.union(edges.select("v", "u"))
-        smallest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n"))
-        upward = both.filter("v > u")
-        large = spread_join(upward, smallest, "u", "n", total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = spread_join(large, smallest, "u", "n", total).filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        smallest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = both.filter("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(smallest, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = scratch.stage(small.union(smallest.select("u", "m")).distinct(), "links")
     pointed = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("label"))

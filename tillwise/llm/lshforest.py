@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -101,106 +103,100 @@ def _apart(left: str, right: str) -> Column:
     return sum(parts[1:], parts[0])
 
 
-def hubs(crowded: DataFrame) -> DataFrame:
-    """(key, hub) of crowded regions: the member whose sketch agrees best with the majority of each bit.
+def hubs(members: DataFrame) -> DataFrame:
+    """(label, hub) of groups: the member whose sketch agrees best with the majority of each bit.
 
     Where many documents differ from one original and hardly any two of them are
     similar enough, the original is that member. Tasks add up bits before they
-    are grouped; only one row per region is joined back.
+    are grouped.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, back = np.unique(batch.column("key").to_numpy(), return_inverse=True)
+            if not batch.num_rows:
+                continue
+            labels, back = np.unique(batch.column("label").to_numpy(), return_inverse=True)
             order = np.argsort(back, kind="stable")
-            starts = np.searchsorted(back[order], np.arange(len(keys)))
+            starts = np.searchsorted(back[order], np.arange(len(labels)))
             for i, word in enumerate(WORDS):
                 packed = batch.column(word).to_numpy()[order].astype("<i8")
                 bits = np.unpackbits(packed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
                 balance = np.add.reduceat(2 * bits - 1, starts, axis=0)
-                columns = [np.repeat(keys, 64), np.tile(np.arange(i * 64, i * 64 + 64), len(keys)), balance.ravel()]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "bit", "balance"])
+                columns = [np.repeat(labels, 64), np.tile(np.arange(i * 64, i * 64 + 64), len(labels)), balance.ravel()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["label", "bit", "balance"])
 
-    votes = crowded.select("key", *WORDS).mapInArrow(run, "key long, bit long, balance long")
-    won = votes.groupBy("key", "bit").agg(F.sum("balance").alias("balance")).filter("balance > 0")
+    votes = members.select("label", *WORDS).mapInArrow(run, "label long, bit long, balance long")
+    won = votes.groupBy("label", "bit").agg(F.sum("balance").alias("balance"))
     bit_of = [
-        F.coalesce(F.bit_or(F.when(F.floor(F.col("bit") / 64) == i, F.expr("shiftleft(1L, cast(bit % 64 as int))"))), F.lit(0)).alias(w)
+        F.bit_or(F.when((F.col("balance") > 0) & (F.floor(F.col("bit") / 64) == i), F.expr("shiftleft(1L, cast(bit % 64 as int))")).otherwise(0)).alias(w)
         for i, w in enumerate(WORDS)
     ]
-    majority = won.groupBy("key").agg(*bit_of).alias("m")
-    measured = crowded.alias("c").join(majority, "key").select("key", _apart("c", "m").alias("apart"), "node", "n", *(f"c.{w}" for w in WORDS))
-    return measured.groupBy("key").agg(F.min(F.struct("apart", "node", "n", *WORDS)).alias("hub"))
+    majority = won.groupBy("label").agg(*bit_of).alias("m")
+    apart = _apart("c", "m").alias("apart")
+    measured = members.alias("c").join(majority, "label").select("label", apart, "node")
+    return measured.groupBy("label").agg(F.min(F.struct("apart", "node")).alias("hub")).select("label", F.col("hub.node").alias("node"))
+
+
+def forest_rows(sets: DataFrame) -> DataFrame:
+    """(tree, head, path, node, n, sketch): each set once in every order."""
+    rows = sets.select("node", "n", *WORDS, F.posexplode(F.arrays_zip("heads", "paths")).alias("tree", "order"))
+    return rows.select("tree", F.col("order.heads").alias("head"), F.col("order.paths").alias("path"), "node", "n", *WORDS)
+
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """Rows of a forest sorted along every order; equal beginnings stand together, crowded ones on several partitions."""
+    order = ["tree", "head", "path", "node"]
+    return rows.repartitionByRange(texts.shuffle_partitions(rows.sparkSession), *order).sortWithinPartitions(*order)
 
-def regions(sets: DataFrame, how: Forest) -> DataFrame:
-    """(unit, node, n, sketch): who is compared with whom, at most some ``region`` documents a unit.
 
-    In each order, documents that begin with the same value form a region.
-    Regions beyond ``region`` documents are cut by their next 1, 3 and 7 values.
-    What leaves a crowded region at the next cut stays together in units of about
-    ``region`` documents, equal prefixes in the same unit, and every such unit
-    also gets the crowded region's hub.
+def cuts(tree: np.ndarray, head: np.ndarray, path: np.ndarray, region: int) -> np.ndarray:
+    """Where units of sorted rows end.
+
+    Rows that begin with the same value of the same order are a unit, if there
+    are at most ``region``. Otherwise a unit ends behind half a region to a whole
+    one, where the longest common prefix of neighbours is shortest: so the depth
+    to which members of a unit agree follows how crowded the place is.
     """
-    rows = sets.select("node", "n", *WORDS, F.posexplode(F.arrays_zip("heads", "paths")).alias("tree", "order"))
-    rows = rows.select("node", "n", *WORDS, "tree", F.col("order.heads").alias("head"), F.col("order.paths").alias("path"))
-    rows = rows.withColumn("key", F.xxhash64("tree", "head")).withColumn("above", F.lit(None).cast("long")).withColumn("parts", F.lit(1))
-    member = ["node", "n", *WORDS]
-    units, depth, total = [], 1, sets.count() * how.trees
-    while True:
-        last = depth >= how.depth
-        counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > how.region)
-        crowded_keys = scratch.stage(counts, "crowded-keys")
-        shared = F.when(F.col("above").isNull(), F.col("key")).otherwise(F.xxhash64("above", F.expr("pmod(key, parts)")))
-        heavy = crowded_keys.filter(F.col("members") > total / texts.HEAVY)
-        others = rows.join(F.broadcast(heavy.select("key")), "key", "left_anti").join(crowded_keys.select("key"), "key", "left_anti")
-        units.append(others.select(shared.alias("unit"), "above", *member))
-        total = crowded_keys.agg(F.sum("members")).first()[0]
-        if not total:
-            break
-        crowded = scratch.stage(texts.spread_join(rows, crowded_keys, "key", "members", total), "crowded")
-        hub = scratch.stage(hubs(crowded), "hubs")
-        parts = F.ceil(F.col("members") / how.region).cast("int")
-        if last:
-            whole = F.xxhash64("key", F.expr(f"pmod(xxhash64(node, tree), cast(ceil(members / {how.region}) as int))"))
-            ends = crowded.select(whole.alias("unit"), F.col("key").alias("above"), *member)
-            units.append(ends)
-            units.append(_with_hubs(ends, hub, member))
-            break
-        depth = min(2 * depth, how.depth)
-        prefix = F.substring("path", 1, 2 * (depth - 1))
-        rows = crowded.select(
-            *member, "tree", "head", "path", F.xxhash64("tree", "head", prefix, F.lit(depth)).alias("key"), F.col("key").alias("above"), parts.alias("parts")
-        )
-        below = F.xxhash64("above", F.expr("pmod(key, parts)"))
-        units.append(_with_hubs(rows.select(below.alias("unit"), "above"), hub, member))
-    every = units[0].select("unit", *member)
-    for more in units[1:]:
-        every = every.unionByName(more.select("unit", *member))
-    return every
-
-
-def _with_hubs(units: DataFrame, hub: DataFrame, member: list[str]) -> DataFrame:
-    """A row for the hub in each unit below its region."""
-    named = hub.select(F.col("key").alias("above"), *(F.col(f"hub.{c}").alias(c) for c in member))
-    return units.select("unit", "above").distinct().join(named, "above").select("unit", "above", *member)
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of batches sorted by their first column, cut only where its value changes."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        first = batch.column(0).to_numpy()
-        cuts = np.flatnonzero(first[1:] != first[:-1]) + 1
-        if held and len(first) and first[0] != held[-1].column(0)[-1].as_py():
-            yield pa.Table.from_batches(held)
-            held = []
-        if len(cuts):
-            yield pa.Table.from_batches([*held, batch.slice(0, cuts[-1])])
-            held = [batch.slice(cuts[-1])]
-        elif batch.num_rows:
-            held.append(batch)
-    if held:
-        yield pa.Table.from_batches(held)
+    together = (tree[1:] == tree[:-1]) & (head[1:] == head[:-1])
+    common = np.where(together, 1 + np.cumprod(path[1:] == path[:-1], axis=1).sum(1), 0)
+    runs = np.append(np.flatnonzero(common == 0) + 1, len(tree))
+    ends, start = [], 0
+    for end in runs.tolist():
+        while end - start > region:
+            low = start + region // 2
+            start = low + 1 + int(np.argmin(common[low : start + region]))
+            ends.append(start)
+        ends.append(end)
+        start = end
+    return np.array(ends, np.int64)
+
+
+def _units(batches: Iterator[pa.RecordBatch], region: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows, and the unit of each; a unit may go on in the next batch and is held until then."""
+    held, rows = [], 0
+    for last, batch in _with_last(batches):
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < 4 * region and not last:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        if not table.num_rows:
+            continue
+        path = np.frombuffer(b"".join(table.column("path").to_pylist()), "<u2").reshape(table.num_rows, -1)
+        ends = cuts(table.column("tree").to_numpy(), table.column("head").to_numpy(), path, region)
+        upto = table.num_rows if last else (int(ends[-2]) if len(ends) > 1 else 0)
+        yield table.slice(0, upto), np.searchsorted(ends, np.arange(upto), "right")
+        held, rows = table.slice(upto).to_batches(), table.num_rows - upto
+
+
+def _with_last(items: Iterator) -> Iterator[tuple[bool, object]]:
+    before = None
+    for item in items:
+        if before is not None:
+            yield False, before
+        before = item
+    if before is not None:
+        yield True, before
 
 
 def loose_links(unit: np.ndarray, sketch: np.ndarray, n: np.ndarray, most: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,19 +220,18 @@ def loose_links(unit: np.ndarray, sketch: np.ndarray, n: np.ndarray, most: int,
     return linked, label[linked]
 
 
-def loose_pairs(units: DataFrame, how: Forest) -> DataFrame:
+def loose_pairs(rows: DataFrame, how: Forest) -> DataFrame:
     """(u, v): links that join up all candidates of every unit."""
-    most, percent = how.most_apart(), how.percent
+    most, percent, region = how.most_apart(), how.percent, how.region
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
-            unit, node, n = (block.column(c).to_numpy() for c in ("unit", "node", "n"))
+        for block, unit in _units(batches, region):
+            node, n = (block.column(c).to_numpy() for c in ("node", "n"))
             sketch = np.stack([block.column(w).to_numpy().view(np.uint64) for w in WORDS], axis=1)
             a, b = loose_links(unit, sketch, n, most, percent)
             yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["u", "v"])
 
-    placed = units.repartition(texts.shuffle_partitions(units.sparkSession), "unit").sortWithinPartitions("unit", "node")
-    return placed.select("unit", "node", "n", *WORDS).mapInArrow(run, "u long, v long")
+    return in_order(rows).mapInArrow(run, "u long, v long").distinct()
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -277,58 +272,85 @@ def confirmed(sets: list[np.ndarray], sketch: np.ndarray, most: int, percent: in
     return links
 
 
-def confirm(units: DataFrame, how: Forest) -> DataFrame:
-    """(u, v) links between similar documents, from (unit, node, text, sketch) rows with at most one unit a task at a time."""
+def _confirm(rows: DataFrame, keyed: Callable, how: Forest) -> DataFrame:
+    """(u, v) links between similar documents; ``keyed`` gives (unit, node, text, sketch) of sorted batches, a unit at a time."""
     most, percent, width = how.most_apart(), how.percent, how.shingle
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, nodes, sets, bits = None, [], [], []
-
-        def found() -> pa.RecordBatch:
-            sketch = np.array(bits, np.int64).reshape(-1, len(WORDS)).view(np.uint64)
+        for _, members in groupby(keyed(batches), key=itemgetter(0)):
+            nodes, sets, bits = [], [], []
+            for _, node, text, sketch in members:
+                if node not in nodes[-1:]:
+                    nodes.append(node)
+                    sets.append(shingle_set(text, width))
+                    bits.append(sketch)
+            sketch = np.array(bits, np.int64).view(np.uint64)
             links = confirmed(sets, sketch, most, percent) if len(nodes) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([nodes[x[k]] for x in links], pa.int64()) for k in (0, 1)], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([nodes[x[k]] for x in links], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    return rows.mapInArrow(run, "u long, v long")
 
+
+def _members(table: pa.Table | pa.RecordBatch, units: list[int]) -> Iterator[tuple]:
+    nodes, words = table.column("node").to_pylist(), zip(*(table.column(w).to_pylist() for w in WORDS))
+    text = table.column("text")
+    for i, (unit, node, sketch) in enumerate(zip(units, nodes, words)):
+        yield unit, node, text[i].as_py(), sketch
+
+
+def confirm_units(placed: DataFrame, how: Forest) -> DataFrame:
+    """Links within the units of (unit, node, text, sketch) rows."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            keys, ids = batch.column("unit").to_pylist(), batch.column("node").to_pylist()
-            words = list(zip(*(batch.column(w).to_pylist() for w in WORDS)))
-            for i, (key, node) in enumerate(zip(keys, ids)):
-                if key != unit:
-                    if nodes:
-                        yield found()
-                    unit, nodes, sets, bits = key, [], [], []
-                nodes.append(node)
-                sets.append(shingle_set(batch.column("text")[i].as_py(), width))
-                bits.append(words[i])
-        if nodes:
-            yield found()
-
-    placed = units.repartition(texts.shuffle_partitions(units.sparkSession), "unit").sortWithinPartitions("unit", "node")
-    return placed.select("unit", "node", "text", *WORDS).mapInArrow(run, "u long, v long")
+            yield from _members(batch, batch.column("unit").to_pylist())
+
+    together = placed.repartition(texts.shuffle_partitions(placed.sparkSession), "unit").sortWithinPartitions("unit", "node")
+    return _confirm(together, keyed, how)
+
+
+def confirm_orders(rows: DataFrame, how: Forest) -> DataFrame:
+    """Links within the units of a forest whose rows have their texts."""
+    region = how.region
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for k, (table, units) in enumerate(_units(batches, region)):
+            yield from _members(table, [(k, u) for u in units.tolist()])
+
+    return _confirm(in_order(rows), keyed, how)
 
 
 def links(docs: DataFrame, signed: DataFrame, how: Forest) -> DataFrame:
     """(u, v): links between nodes that join up all documents that the forest brings together and whose whole sets are similar.
 
     Candidates are first joined up by sketches alone. A group of up to
-    ``region`` sets goes whole to one task, its texts once. Larger groups are
-    taken apart again along the units of the forest.
+    ``region`` sets goes whole to one task, its texts once. Larger groups go
+    through the orders again, now with their texts, and every member also meets
+    the group's hub.
     """
     rep = F.min(F.struct("doc_id", "text_hash")).alias("rep")
     sets = signed.filter("n > 0").groupBy("node").agg(rep, *(F.first(c).alias(c) for c in ("n", "heads", "paths", *WORDS)))
     sets = scratch.stage(sets, "sets")
-    units = scratch.stage(regions(sets, how), "units")
-    loose = scratch.stage(connected_components(loose_pairs(units, how)), "loose")
+    loose = scratch.stage(connected_components(loose_pairs(forest_rows(sets), how)), "loose")
     size = loose.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     grouped = texts.spread_join(loose, size, "label", "size", loose.count())
-    small = grouped.filter(F.col("size") <= how.region).select("node", F.col("label").alias("unit"))
-    large = grouped.filter(F.col("size") > how.region).select("node")
-    placed = small.unionByName(units.join(large, "node").select("node", "unit").distinct())
-    wanted = sets.select("node", "rep", *WORDS).join(loose.select("node"), "node", "left_semi")
+    wanted = sets.select("node", "rep", *WORDS).join(grouped, "node")
     hashed = docs.select(F.col("doc_id").alias("doc"), "text", F.xxhash64("text").alias("hash"))
     same = hashed["doc"].eqNullSafe(wanted["rep.doc_id"]) & (hashed["hash"] == wanted["rep.text_hash"])
-    texted = hashed.join(wanted, same).select("node", F.col("text").cast("binary").alias("text"), *WORDS).dropDuplicates(["node"])
-    return confirm(placed.join(texted, "node"), how)
+    texted = hashed.join(wanted, same).select("node", "label", "size", F.col("text").cast("binary").alias("text"), *WORDS)
+    texted = scratch.stage(texted.dropDuplicates(["node"]), "candidates")
+    columns = ["unit", "node", "text", *WORDS]
+    placed = texted.filter(F.col("size") <= how.region).withColumn("unit", F.col("label")).select(columns)
+    large = texted.filter(F.col("size") > how.region)
+    if large.isEmpty():
+        return confirm_units(placed, how)
+    parts = F.ceil(F.col("size") / how.region).cast("int").alias("parts")
+    hub = large.select("*", parts).join(hubs(large), ["label", "node"])
+    units = F.xxhash64("label", F.col("part")).alias("unit")
+    hub = hub.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select(units, *columns[1:])
+    dealt = large.select("*", parts).withColumn("part", F.expr("cast(pmod(xxhash64(node), parts) as int)")).select(units, *columns[1:])
+    rows = forest_rows(sets).select("tree", "head", "path", "node").join(large.select(columns[1:]), "node")
+    return confirm_units(placed.unionByName(dealt).unionByName(hub), how).unionByName(confirm_orders(rows, how))
 
 
 def near_duplicates(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
@@ -349,9 +371,9 @@ def near_duplicates(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
     Candidates come from sorted orders of the signature: a linked pair shares the
     first value of an order with probability 0.85 or more, and with 16 orders
     misses all of them once in 10^13. Where more than ``region`` documents share
-    a value and cuts go deeper the odds fall to one in 10^9 at two values and one
-    in 10^5 at four; hubs make up for the pairs of a document and its variants.
-    Nodes are 64 bit hashes of sets.
+    a value and neighbours agree on more, the odds fall to one in 10^9 at two
+    values and one in 10^5 at four; hubs make up for the pairs of an original and
+    its variants. Nodes are 64 bit hashes of sets.
     """
     signed = scratch.stage(signatures(docs, how), "signatures")
     reached = connected_components(links(docs, signed, how))

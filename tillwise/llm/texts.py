@@ -73,9 +73,12 @@ def spread_join(rows: DataFrame, values: DataFrame, key: str, n: str, total: int
     their share of the rows are broadcast; the other keys are shuffled.
     """
     heavy = F.col(n) > total / HEAVY
-    few = values.filter(heavy)
-    light = rows.join(F.broadcast(few.select(key)), key, "left_anti").join(values.filter(~heavy), key)
-    return rows.join(F.broadcast(few), key).unionByName(light)
+    few = values.filter(heavy).collect()
+    if not few:
+        return rows.join(values, key)
+    held = rows.sparkSession.createDataFrame(few, values.schema)
+    light = rows.join(F.broadcast(held.select(key)), key, "left_anti").join(values.filter(~heavy), key)
+    return rows.join(F.broadcast(held), key).unionByName(light)
 
 
 def map_rows(
