@@ -94,3 +94,45 @@ def test_bounds_need_enough_texts(docs, profiles, none):
     assert (few == 0.15).all() and few.shape == (len(profiles.languages), langid.BINS)
     assert (langid.least_cosines(docs, profiles) > 0.15).any()
     assert langid.least_cosines(none, langid.learn(none)).shape == (0, langid.BINS)
+
+
+def test_long_texts_are_bundled_in_parts(monkeypatch):
+    """Cuts change nothing, and a long text takes little more memory than itself."""
+    import tracemalloc
+
+    texts = ["ab c d1ef. Été ΑΣ. b 12 34 x" * 9, "abcdefghij" * 8, "a", None, "12 34 " * 30, "a1b2c3,d4" * 12, " x  y " * 20]
+    whole = langid.bundle(texts, 7, 64)
+    monkeypatch.setattr(langid, "CHARS", 10)
+    got = np.zeros_like(whole)
+    for piece, vectors in langid.bundles(texts, 7, 64):
+        got[piece] = vectors
+    assert np.array_equal(got, whole)
+    monkeypatch.undo()
+    text = "some words, and Ünïcode 12 " * 400_000
+    tracemalloc.start()
+    list(langid.bundles([text], 7, 1024))
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
+def test_many_short_texts_take_little_memory():
+    import tracemalloc
+
+    tracemalloc.start()
+    rows = sum(len(v) for _, v in langid.bundles([f"word {i}" for i in range(10_000)], 7, 1024))
+    assert rows == 10_000 and tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
+def test_cosines_by_brute_force(docs, profiles):
+    """Prototypes are the sums of their texts' bundles, scores the cosines with the nearest."""
+    taught = docs.filter(fold(F.col("doc_id"), 4) != 2).filter("lang is not null and text is not null and doc_id < 60").collect()
+    learned = langid.learn(docs.filter(fold(F.col("doc_id"), 4) != 2).filter("doc_id < 60"), 7, 64)
+    for lang, prototype in zip(learned.languages, learned.prototypes):
+        assert np.array_equal(prototype, sum(brute_bundle(r.text, 7, 64) for r in taught if r.lang == lang))
+    texts = [r.text for r in docs.filter("doc_id between 60 and 75").collect()]
+    for text, (lang, score) in zip(texts, learned.predict(texts)):
+        v = brute_bundle(text or "", 7, 64)
+        cosines = [float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) if v.any() else 0.0 for p in learned.prototypes]
+        if v.any():
+            assert lang == learned.languages[int(np.argmax(cosines))] and abs(score - max(0.0, *cosines)) < 1e-9

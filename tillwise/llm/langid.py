@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 #: Stands for everything between two runs of letters.
 GAP = 0
 UNICODE = 0x110000
-#: Characters, table cells and n-grams handled together; they bound a task's memory, not its results.
-CHARS, CELLS, GRAMS = 1 << 20, 1 << 22, 4096
+#: Characters, texts, table cells and n-grams handled together; they bound a task's memory, not its results.
+CHARS, ROWS, CELLS, GRAMS = 1 << 20, 1024, 1 << 22, 4096
+_SPACE, _NO_LETTER = re.compile(r"\s"), re.compile(r"[\W\d_]")
 
 
 @cache
@@ -90,17 +92,48 @@ def bundle(texts: list[str | None], seed: int, dimensions: int) -> np.ndarray:
 
 
 def _pieces(texts: list[str | None]) -> Iterator[slice]:
-    """Runs of texts of about CHARS characters."""
+    """Runs of up to ROWS texts of about CHARS characters; a longer text is a run of its own."""
     start, held = 0, 0
     for i, text in enumerate(texts):
-        held += len(text or "")
-        if held >= CHARS:
-            yield slice(start, i + 1)
-            start, held = i + 1, 0
+        size = len(text or "")
+        if i > start and (held + size > CHARS or i - start == ROWS):
+            yield slice(start, i)
+            start, held = i, 0
+        held += size
     if start < len(texts):
         yield slice(start, len(texts))
 
 
+def _cuts(text: str) -> Iterator[str]:
+    """A text in parts of about CHARS characters, cut at white space, else at what is no letter."""
+    at = 0
+    while at < len(text):
+        end = at + CHARS
+        found = _SPACE.search(text, end, end + CHARS) or _NO_LETTER.search(text, end)
+        end = found.start() if found else len(text)
+        yield text[at:end]
+        at = end
+
+
+def bundles(texts: list[str | None], seed: int, dimensions: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """The bundles of runs of texts, a row per text.
+
+    Bundles add up, so a long text is bundled in parts. A part begins with the
+    last letter before it and a gap, for the n-grams that reach over the cut,
+    less the n-gram of that letter between gaps.
+    """
+    for piece in _pieces(texts):
+        if piece.stop - piece.start > 1 or len(texts[piece.start] or "") <= CHARS:
+            yield piece, bundle(texts[piece], seed, dimensions)
+            continue
+        total, before = np.zeros((1, dimensions)), ""
+        for part in _cuts(texts[piece.start]):
+            total += bundle([f"{before} {part}"], seed, dimensions)
+            total -= bundle([before], seed, dimensions) if before else 0
+            before = next((c for c in reversed(part) if c.isalpha()), before)
+        yield piece, total
+
+
 @dataclass
 class LanguageProfiles:
     """Prototype vectors, one row per learned language; languages are in ascending order."""
@@ -117,8 +150,8 @@ class LanguageProfiles:
         """
         out: list[tuple[str, float]] = []
         unit = self.prototypes / np.maximum(np.linalg.norm(self.prototypes, axis=1, keepdims=True), 1e-300)
-        for piece in _pieces(texts):
-            vectors = bundle(texts[piece], self.seed, self.prototypes.shape[1]).astype(np.float64)
+        for piece, vectors in bundles(texts, self.seed, self.prototypes.shape[1]):
+            vectors = vectors.astype(np.float64)
             norm = np.linalg.norm(vectors, axis=1)
             has_letter = [any(map(str.isalpha, t or "")) for t in texts[piece]]
             if not self.languages:
@@ -146,8 +179,8 @@ def learn(labelled: DataFrame, seed: int = 7, dimensions: int = 1024) -> Languag
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
-            for piece in _pieces(texts):
-                vectors, of = bundle(texts[piece], seed, dimensions), langs[piece]
+            for piece, vectors in bundles(texts, seed, dimensions):
+                of = langs[piece]
                 for lang in dict.fromkeys(of):
                     sums[lang] = sums.get(lang, 0) + vectors[of == lang].astype(np.int64).sum(0)
         for lang, total in sums.items():
@@ -206,8 +239,8 @@ def least_cosines(
         for batch in batches:
             texts = batch.column(0).to_pylist()
             of = np.searchsorted(languages, batch.column(1).to_pylist())
-            for piece in _pieces(texts):
-                vectors = bundle(texts[piece], profiles.seed, profiles.prototypes.shape[1]).astype(np.float64)
+            for piece, vectors in bundles(texts, profiles.seed, profiles.prototypes.shape[1]):
+                vectors = vectors.astype(np.float64)
                 others = profiles.prototypes[of[piece]] - vectors
                 norm = np.linalg.norm(vectors, axis=1) * np.linalg.norm(others, axis=1)
                 cosine = (vectors * others).sum(1) / np.maximum(norm, 1e-300)
