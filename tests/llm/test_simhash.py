@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tillwise.llm import simhash
 from tillwise.llm.components import connected_components
@@ -110,3 +111,21 @@ def test_messy_rows(messy, none):
 def test_long_text():
     text = " ".join(f"w{i % 5003}" for i in range(80_000))
     assert simhash.fingerprint(text.encode(), 4) & (1 << 64) - 1 == brute_fingerprint(text)
+
+
+def test_callers_columns_stay(make):
+    docs = make([(1, "a b c d e"), (2, "a b c d e"), (3, "x y z w v")])
+    for name in ("kept_hash", "kept_id", "text_hash", "c0"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), "doc_id"))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.kept_hash, r.kept_id, r.text_hash, r.c0) for r in kept.collect()) == [
+        (i, f"kept_hash{i}", f"kept_id{i}", f"text_hash{i}", f"c0{i}") for i in (1, 3)
+    ]
+
+
+def test_one_fingerprint_in_most_rows(spark, make):
+    """The rows of a heavy fingerprint and component are spread, none is lost."""
+    rows = [(i, "same words in many rows" if i % 10 else f"text number {i} alone") for i in range(3000)]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(make(rows)).collect()}
+    assert len(got) == 3000 and {got[i] for i in range(3000) if i % 10} == {1}

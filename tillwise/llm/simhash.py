@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,23 +23,13 @@ FRONTIER = 1 << 21
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
     """A bit is set if it is set in over half the shingles' hashes; zero without a word."""
-    import xxhash
-
-    words = text.lower().split() if text else []
-    if not words:
-        return 0
-    plain = b" ".join(words)
-    ends = list(accumulate(len(w) + 1 for w in words))
-    width = min(shingle, len(words))
-    starts = [0, *ends]
-    spans = zip(starts, ends[width - 1 :])
-    hash_of = xxhash.xxh64_intdigest
-    hashes = np.array([hash_of(plain[a : b - 1], 42) for a, b in spans], "<u8")
-    ones = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+    ones, n = np.zeros(BITS, np.int64), 0
+    for hashes in texts.shingle_hashes(text or b"", shingle, 42):
+        n += len(hashes)
+        for at in range(0, len(hashes), 1 << 16):
+            part = hashes[at : at + (1 << 16)].astype("<u8")
+            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
@@ -232,11 +222,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4) ->
     """
     marked = scratch.stage(fingerprints(docs, shingle), "simhash")
     labelled = scratch.stage(_components(marked, max_distance), "simhash-labels")
-    first = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    smallest = labelled.join(first, "fp").groupBy("label").agg(F.min("first").alias("component_id"))
-    of = labelled.join(smallest, "label").select("fp", "component_id")
+    first = marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"))
+    named = scratch.stage(labelled.join(first, "fp"), "simhash-firsts")
+    smallest = named.groupBy("label").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    of = texts.spread_join(named, smallest, "label", "members", named.count()).select("fp", "component_id", "rows")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return marked.join(of, "fp").select("doc_id", hexed, "component_id")
+    return texts.spread_join(marked, of, "fp", "rows", marked.count()).select("doc_id", hexed, "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
@@ -251,6 +242,9 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFr
     best = marked.groupBy("fp").agg(F.min(order).alias("best"))
     chosen = labelled.join(best, "fp").groupBy("label").agg(F.min("best").alias("best"))
     kept = chosen.select(F.col("best.doc_id").alias("kept_id"), F.col("best.text_hash").alias("kept_hash"))
-    hashed = docs.withColumn("kept_hash", F.xxhash64("text"))
-    same = hashed["doc_id"].eqNullSafe(kept["kept_id"]) & (hashed["kept_hash"] == kept["kept_hash"])
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "kept_hash"]).drop("kept_hash")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    hashed = docs.toDF(*names).withColumn("text_hash", F.xxhash64(text))
+    same = F.col(doc_id).eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    one = hashed.join(kept, same, "left_semi").dropDuplicates([doc_id, "text_hash"])
+    return one.select(*names).toDF(*docs.columns)
