@@ -81,3 +81,38 @@ def test_messy_rows(spark, messy, none, tokenizer):
     path = scratch.new_path(spark, "tokens")
     tf.write(none, path, PATH, 2)
     assert tf.read_index(spark, path).count() == 0
+
+
+def test_no_pair_is_left_that_occurs_often(tokenizer):
+    rng = np.random.default_rng(3)
+    phrases = [rng.integers(0, 500, rng.integers(2, 60)) for _ in range(40)]
+    ids = np.concatenate([phrases[i] for i in rng.integers(0, 40, 3000)])
+    last = np.zeros(len(ids), bool)
+    last[::997], last[-1] = True, True
+    sequence, ends, left, right = tf.compress(ids, last)
+    inside = ~ends[:-1]
+    pairs = [tuple(p) for p in zip(sequence[:-1][inside].tolist(), sequence[1:][inside].tolist())]
+    times = {}
+    for i, p in enumerate(pairs):  # those that overlap themselves count once in a run
+        times[p] = times.get(p, 0) + 1
+    assert max(n for p, n in times.items() if p[0] != p[1]) < 8
+    assert np.array_equal(tf.expand(sequence, left, right), ids) and len(sequence) + 2 * len(left) < len(ids) / 8
+
+
+def test_token_ranges(spark, tokenizer):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    path = scratch.new_path(spark, "tokens")
+    tf.write(docs, path, PATH, 2)
+    shard = spark.read.parquet(path).first().asDict()
+    for place in range(0, len(shard["doc_ids"]), 5):
+        ids = tf.read_document(shard, place).tolist()
+        for start, stop in ((0, 1), (0, len(ids)), (len(ids) // 3, len(ids) // 2), (len(ids) - 1, len(ids) + 9), (5, 5), (-3, 2)):
+            assert tf.read_tokens(shard, place, start, stop).tolist() == ids[max(start, 0) : stop]
+
+
+def test_other_tokenizers_get_whole_texts(tokenizer):
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, plain = tf.WordEncoder(other), Tokenizer.from_file(other)
+    assert tf.WordEncoder(PATH).by_words and not encoder.by_words
+    for text in ["Hello World, two  spaces", *ODD]:
+        assert np.frombuffer(encoder.text(text.encode()), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import struct
@@ -19,7 +20,7 @@ from tillwise.llm.texts import shuffle_partitions
 
 #: Nonterminals of a shard's grammar are numbered from here; token ids lie below.
 NONTERMINAL = 1 << 24
-#: Pairs are first counted by hash, then exactly among the most frequent.
+#: Pairs are first counted by hash, then exactly where that is often enough.
 BUCKETS = 1 << 18
 MARKS = string.punctuation.encode()
 #: One row per shard. Documents lie one after the other: ``symbols`` counts the symbols of each in
@@ -45,25 +46,40 @@ class _ByteLetters(dict):
         return self[code]
 
 
+def cuts_words(tokenizer) -> bool:
+    """Whether a tokenizer lower-cases, cuts at white space, drops it and takes marks apart from letters."""
+    settings = json.loads(tokenizer.to_str())
+    normal, cut, model = settings["normalizer"] or {}, settings["pre_tokenizer"] or {}, settings["model"]
+    steps = [step["type"] for step in normal.get("normalizers", [])]
+    parts = [(part["type"], part.get("behavior"), part.get("invert"), part.get("add_prefix_space"), part.get("use_regex")) for part in cut.get("pretokenizers", [])]
+    pattern = (cut.get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex", "")
+    return (
+        steps == ["NFC", "Replace", "Lowercase"]
+        and parts == [("Split", "Removed", True, None, None), ("ByteLevel", None, None, False, False)]
+        and pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        and model["type"] == "BPE" and not model["continuing_subword_prefix"] and not model["dropout"]
+    )
+
+
 class WordEncoder(dict):
     """Words between ASCII white space to their packed ids, by the tokenizer for words not seen yet.
 
-    The tokenizer lower-cases, cuts at white space and drops it, so a text's ids
-    are its words' ids joined; so do letters and the marks after them. Words of
-    Latin letters, whose lower case and normal form depend on nothing around
-    them, need only its merges; all others go through the whole tokenizer. The
-    memory is emptied when it is full.
+    A tokenizer that ``cuts_words`` gives a text its words' ids joined, and a
+    word the ids of its letters and of the marks after them. Words of Latin
+    letters, whose lower case and normal form depend on nothing around them,
+    need only its merges; all others go through the whole tokenizer. The memory
+    is emptied when it is full. Any other tokenizer gets whole texts.
     """
 
     #: Code points below this are Latin, without combining marks.
     LATIN_END = "\u0250"
 
-    def __init__(self, path: str, full: int = 600_000, longest: int = 64):
+    def __init__(self, path: str, full: int = 200_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.full, self.longest = Tokenizer.from_file(path), full, longest
-        self.letters = _ByteLetters()
+        self.letters, self.by_words = _ByteLetters(), cuts_words(self.tokenizer)
 
     def __missing__(self, word: bytes) -> bytes:
         stem = word.rstrip(MARKS)
@@ -83,7 +99,11 @@ class WordEncoder(dict):
         return packed
 
     def text(self, text: bytes | None) -> bytes:
-        return b"".join(map(self.__getitem__, text.split())) if text else b""
+        if not text:
+            return b""
+        if not self.by_words:
+            return _words(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=1)
@@ -92,50 +112,41 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def compress(ids: np.ndarray, last: np.ndarray, rounds: int = 5, pairs: int = 256, least: int = 8):
+def compress(ids: np.ndarray, last: np.ndarray, least: int = 8):
     """Re-Pair: (sequence, last, left, right) with frequent neighbours replaced by nonterminals.
 
-    Each round counts all neighbouring symbols, takes the first pair of
-    each of the ``pairs`` fullest buckets, fullest first, and replaces those that
-    cannot overlap each other and occur ``least`` times. ``last`` marks the last symbol of each document; no pair
-    reaches over it.
+    Each round counts all neighbouring symbols and replaces every pair that
+    occurs ``least`` times, the most frequent first, but for those that could
+    overlap one chosen before; rounds go on until no pair occurs so often. Pairs
+    are counted by hash first, and exactly where a hash occurs often enough.
+    ``last`` marks the last symbol of each document; no pair reaches over it.
     """
-    sequence, rules = ids.astype(np.int64), []
-    for _ in range(rounds):
+    sequence, last, rules = ids.astype(np.int64), last.copy(), []
+    while True:
         left, right = sequence[:-1], sequence[1:]
         bucket = (left * 0x9E3779B1 + right * 0x85EBCA6B >> 7) & (BUCKETS - 1)
         bucket[last[:-1]] = BUCKETS
-        counts = np.bincount(bucket, minlength=BUCKETS + 1)[:BUCKETS]
-        best = np.argpartition(counts, -pairs)[-pairs:]
-        best = best[counts[best] >= least]
-        if not len(best):
+        counts = np.bincount(bucket, minlength=BUCKETS + 1)
+        counts[BUCKETS] = 0
+        at = np.flatnonzero(counts[bucket] >= least)
+        pair, found, times = np.unique(left[at] << 32 | right[at], return_inverse=True, return_counts=True)
+        often = np.flatnonzero(times >= least)
+        if not len(often):
             break
-        best = best[np.argsort(-counts[best], kind="stable")]
-        slot = np.full(BUCKETS + 1, -1)
-        slot[best] = np.arange(len(best))
-        at = np.flatnonzero(slot[bucket] >= 0)
-        found = slot[bucket[at]]
-        some = np.zeros(len(best), np.int64)
-        some[found[::-1]] = at[::-1]
-        same = (left[at] == left[some][found]) & (right[at] == right[some][found])
-        at, found = at[same], found[same]
-        times = np.bincount(found, minlength=len(best))
-        firsts, seconds, new = set(), set(), np.full(len(best), -1, np.int64)
-        for k, (a, b) in enumerate(zip(left[some].tolist(), right[some].tolist())):
-            if times[k] < least or a in seconds or b in firsts or (a == b and (a in firsts or b in seconds)):
+        often = often[np.argsort(-times[often], kind="stable")]
+        firsts, seconds, new = set(), set(), np.full(len(pair), -1, np.int64)
+        for k, a, b in zip(often.tolist(), (pair[often] >> 32).tolist(), (pair[often] & 0xFFFFFFFF).tolist()):
+            if a in seconds or b in firsts:
                 continue
             firsts.add(a)
             seconds.add(b)
             new[k] = NONTERMINAL + len(rules)
             rules.append((a, b))
-        if not len(rules):
-            break
         symbol = new[found]
         at, symbol = at[symbol >= 0], symbol[symbol >= 0]
         run = np.arange(len(at)) - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, np.arange(len(at)), 0))
         at, symbol = at[run % 2 == 0], symbol[run % 2 == 0]
         sequence[at] = symbol
-        last = last.copy()
         last[at] = last[at + 1]
         kept = np.ones(len(sequence), bool)
         kept[at + 1] = False
@@ -182,11 +193,11 @@ def _shard(part: int, number: int, doc_ids: list, packed: list[bytes]) -> tuple:
     return part, number, len(ids), doc_ids, *map(_packed, binary)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens: int = 1 << 19) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens: int = 1 << 21) -> None:
     """Encode whole texts, end each with ``end_id`` and write the ids in ascending doc_id order.
 
     The file is a Parquet table with a row per shard (see ``FORMAT``); parts and
-    numbers in them give the order. A shard has about ``shard_tokens`` ids and
+    numbers in them give the order. A shard has up to ``shard_tokens`` ids and
     whole documents only; a longer document has a shard of its own. A null or
     empty text is its end id alone; a null doc_id comes first; rows with the same
     doc_id follow each other in the order of their texts. Other columns are left out.
@@ -208,7 +219,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens:
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encoder.text(text) + end
-                if packed and held + len(ids) > 4 * shard_tokens:
+                if packed and held + len(ids) > shard_tokens:
                     yield shard()
                     doc_ids, packed, held, number = [], [], 0, number + 1
                 doc_ids.append(doc_id)
@@ -216,6 +227,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens:
                 held += len(ids)
         if packed:
             yield shard()
+        encoder.clear()
 
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text"))
     ordered = texts.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
@@ -230,6 +242,28 @@ def read_document(shard, place: int) -> np.ndarray:
     return expand(sequence, _numbers(shard["left"]), _numbers(shard["right"]))
 
 
+def read_tokens(shard, place: int, start: int, stop: int) -> np.ndarray:
+    """Ids ``start`` to ``stop`` of one document of a shard's row.
+
+    The lengths that nonterminals expand to say which symbols of the document
+    hold them; only these are decoded.
+    """
+    symbols, expands = _numbers(shard["symbols"]), _numbers(shard["expands"])
+    before = int(symbols[:place].sum())
+    sequence = np.frombuffer(shard["sequence"], "<u4", int(symbols[place]), 4 * before).astype(np.int64)
+    size = np.ones(len(sequence), np.int64)
+    rule = sequence >= NONTERMINAL
+    size[rule] = expands[sequence[rule] - NONTERMINAL]
+    ends = np.cumsum(size)
+    start, stop = max(start, 0), min(stop, int(ends[-1]))
+    if start >= stop:
+        return np.empty(0, np.int64)
+    first, after = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
+    ids = expand(sequence[first:after], _numbers(shard["left"]), _numbers(shard["right"]))
+    skipped = start - int(ends[first] - size[first])
+    return ids[skipped : skipped + stop - start]
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
 
