@@ -418,3 +418,62 @@ def test_model_of_two_thousand_rivals(spark):
     x = np.column_stack([complete["inverted_qty"], complete["price"], np.vstack(complete["differences"])])
     assert found.n == len(x) and np.allclose(found.means, x.mean(0))
     assert np.allclose(found.sums, (x - x.mean(0)).T @ (x - x.mean(0)), atol=1e-8)
+
+
+def test_ranks_without_holding_the_values(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    columns = {
+        "spread": rng.normal(0, 1e3, 4000), "wide": rng.choice([-1e300, -1.0, 0.0, 1e-300, 5e-324, 1.0, 1e300], 4000),
+        "few": rng.integers(0, 3, 4000).astype(float), "near": 1 + rng.integers(0, 50, 4000) * 2.0**-52,
+    }
+    rows = [tuple(float(columns[c][i]) if i % 9 else None for c in columns) for i in range(4000)]
+    table = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns))
+    for ranges in (3, 4096):
+        monkeypatch.setattr(audit, "RANGES", ranges)
+        held = {c: np.sort([r[k] for r in rows if r[k] is not None]) for k, c in enumerate(columns)}
+        wanted = {c: [0, 7, 888, 889, 2665, 3000, len(x) - 1] for c, x in held.items()}
+        got = audit.exact_ranks(table, wanted if ranges > 3 else {c: wanted[c] for c in ("spread", "few")})
+        assert all(held[c][r] == x for (c, r), x in got.items()) and len(got) == (28 if ranges > 3 else 14)
+    bounds = {r.column_name: r for r in audit.quantile_bounds(table, ["spread", "few"]).collect()}
+    for c, r in bounds.items():
+        assert np.allclose([r.q1, r.q3, r.q99], np.quantile(held[c], [0.25, 0.75, 0.99]))
+    assert audit.quantile_bounds(table.filter("false"), ["few"]).count() == 0
+    with pytest.raises(ValueError):
+        audit.quantile_bounds(spark.createDataFrame([(float("nan"),)], "x double"), ["x"])
+
+
+def test_hundred_thresholds_read_the_weeks_once(spark):
+    weekly = prep.weekly_sales(random_daily(spark, products=9, days=120))
+    limits = [(i, "S", "CHOCOLATES", float(i), 1 + i % 12) for i in range(100)]
+    table = spark.createDataFrame(limits, "threshold_id int, store string, calculation_group string, threshold double, weeks_above_threshold int")
+    got = {(r.threshold_id, r["product"]): r.weeks_above_threshold for r in prep._active_products(weekly, table).collect()}
+    rows = weekly.collect()
+    want = {}
+    for i, _, _, limit, needed in limits:
+        for name in {r["product"] for r in rows}:
+            n = sum(r["product"] == name and r.qty >= limit for r in rows)
+            if n >= needed:
+                want[i, name] = n
+    assert got == want and 0 < len(want) < 900
+    plan = prep.keep_active(weekly, table)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LocalRelation") + plan.count("LogicalRDD") <= 3
+
+
+def test_equal_outliers_next_to_each_other(spark):
+    rows = [("S", "A", d % 5, 2.0 + d % 2, q) for d, q in enumerate([3, 900, 900, 7, 900, 950, 1, 900, 5, 990] * 3)]
+    sales = daily(spark, rows + [("S", "B", 1, 1.0, 999)]).withColumn("qty", F.when(F.col("qty") != 5, F.col("qty")))
+    got = prep.cap_outliers(sales, 100.0).toPandas()
+    plain = [r for r in rows if r[4] <= 100 and r[4] != 5]
+    twins = {r[:4] for r in rows if r[4] > 100}
+    a = got[got["product"] == "A"]
+    assert len(a) == len(plain) + len(twins) and (a["qty"] <= 7).all() and (a["qty"] == 7).sum() == len(twins) + 3
+    assert got[got["product"] == "B"]["qty"].isna().all() and len(got[got["product"] == "B"]) == 1
+
+
+def test_row_numbers_of_many_equal_keys(spark):
+    rows = spark.range(3000).selectExpr("if(id % 10 < 9, 'hot', if(id % 20 = 9, null, 'cold')) as a", "cast(id % 7 as int) as b", "id as c")
+    got = ordinal.number_rows(rows, [["a"], ["b"], ["c"]]).toPandas().sort_values("row_id")
+    assert got["row_id"].tolist() == list(range(1, 3001))
+    key = [(a is None, a or "", b, c) for a, b, c in zip(got["a"], got["b"], got["c"])]
+    assert key == sorted(key)
+    assert ordinal.number_rows(rows.filter("false"), [["a"], ["b"]]).count() == 0

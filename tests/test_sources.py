@@ -69,3 +69,23 @@ print("ROWS", entry.queries()["select_pairs"](spark, "/root/testdata/sf0.001").c
     env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 1" in done.stdout, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("kind", ["long", "timestamp", "date", "double"])
+def test_slices_are_disjoint_whole_and_even(spark, kind):
+    """Nine of ten keys lie in a thousandth of the range, a tenth of the rows has one key, some have none."""
+    key = F.when(F.col("id") % 10 == 0, F.lit(5_000_000)).otherwise(F.when(F.col("id") % 10 == 1, F.col("id") * 10_000).otherwise(F.col("id")))
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 97 != 0, key).alias("key"))
+    if kind in ("timestamp", "date"):
+        stamp = F.timestamp_seconds(F.col("key") * 600)
+        rows = rows.withColumn("key", stamp if kind == "timestamp" else stamp.cast("date"))
+    else:
+        rows = rows.withColumn("key", F.col("key").cast(kind))
+    cuts = tables.even_cuts(rows.select("key"), "key", 16)
+    parts = tables.slice_predicates("key", cuts, quote=kind in ("timestamp", "date"))
+    held = rows.select(*(F.coalesce(F.expr(p), F.lit(False)).cast("int").alias(f"p{i}") for i, p in enumerate(parts)))
+    in_parts = held.select(sum(F.col(c) for c in held.columns).alias("n")).groupBy("n").count().collect()
+    assert [(r.n, r["count"]) for r in in_parts] == [(1, 20_000)]
+    sizes = held.agg(*(F.sum(c) for c in held.columns)).first()
+    assert len(parts) >= 12 and max(sizes) < 20_000 / 16 * 3.2
+    assert tables.slice_predicates("key", []) == ["1 = 1"] and tables.even_cuts(rows.filter("false"), "key", 4) == []

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.sources import scratch
+
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
@@ -69,21 +72,79 @@ def coverage_stats(sales: DataFrame) -> DataFrame:
     )
 
 
+#: Ranges a column is cut into when a rank is looked for.
+RANGES = 4096
+
+
+def exact_ranks(table: DataFrame, ranks: Mapping[str, Sequence[int]]) -> dict[tuple[str, int], float]:
+    """The value at 0-based ranks of each column, NULLs left out.
+
+    Selection by narrowing: the values between two limits are counted in even
+    ranges, with the least and greatest value of each, and the range that holds
+    the rank gives the next limits, until they are equal. A pass handles all
+    ranks of all columns and brings back at most ``RANGES`` rows per rank, so no
+    task holds the values of a column, however many differ.
+    """
+    found: dict[tuple[str, int], float] = {}
+    limits = {c: [(None, None, 0, list(r))] for c, r in ranks.items() if r}
+    while limits:
+        cells = []
+        for c, spans in limits.items():
+            x = F.col(c).cast("double")
+            for k, (low, high, _, _) in enumerate(spans):
+                if low is None:
+                    inside, at = x.isNotNull(), F.lit(0)
+                else:
+                    share = (x / 2 - low / 2) / (high / 2 - low / 2)
+                    inside, at = x.between(low, high), F.least(F.floor(share * RANGES), F.lit(RANGES - 1)).cast("int")
+                cells.append(F.when(inside, F.struct(F.lit(c).alias("c"), F.lit(k).alias("k"), at.alias("at"), x.alias("x"))))
+        counted = table.select(F.explode(F.array_compact(F.array(*cells))).alias("cell")).groupBy("cell.c", "cell.k", "cell.at").agg(
+            F.count(F.lit(1)).alias("n"), F.min("cell.x").alias("low"), F.max("cell.x").alias("high")
+        )
+        ranges: dict[tuple[str, int], list] = {}
+        for r in counted.collect():
+            ranges.setdefault((r.c, r.k), []).append((r.at, r.n, r.low, r.high))
+        following: dict[str, list] = {}
+        for c, spans in limits.items():
+            for k, (_, _, before, wanted) in enumerate(spans):
+                for _, n, low, high in sorted(ranges.get((c, k), [])):
+                    here = [r for r in wanted if before <= r < before + n]
+                    if here and low == high:
+                        found |= {(c, r): low for r in here}
+                    elif here:
+                        following.setdefault(c, []).append((low, high, before, here))
+                    before += n
+        limits = following
+    return found
+
+
 def quantile_bounds(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """Quartiles, 99th percentile and the three-IQR bounds of each column.
 
-    Exact: values are counted first, so the final step sees each distinct value
-    once. Money and quantities have few; for a column with very many distinct
-    values pass ``accuracy`` to use the mergeable approximate percentile.
+    Exact, by selection of the ranks next to each quantile (see exact_ranks) and
+    linear interpolation between them; the columns are staged, as each pass reads
+    them. ``accuracy`` uses the mergeable approximate percentile instead. A column
+    without values has no row.
     """
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns]))
-    ).filter(F.col("x").isNotNull())
-    points = [0.25, 0.75, 0.99]
+    spark, points = df.sparkSession, [0.25, 0.75, 0.99]
     if accuracy is None:
-        counted = long.groupBy("column_name", "x").agg(F.count(F.lit(1)).alias("n"))
-        q = counted.groupBy("column_name").agg(F.percentile("x", points, F.col("n")).alias("q"))
+        table = scratch.stage(df.select(*columns), "columns")
+        odd = [F.count_if(F.isnan(F.col(c).cast("double")) | (F.abs(F.col(c).cast("double")) == float("inf"))) for c in columns]
+        counts = table.agg(*(F.count(c).alias(c) for c in columns), sum(odd[1:], odd[0]).alias("__odd")).first().asDict()
+        if counts.pop("__odd"):
+            raise ValueError("quantiles need finite values")
+        places = {c: [p * (n - 1) for p in points] for c, n in counts.items() if n}
+        ranks = {c: sorted({r for at in p for r in (math.floor(at), math.ceil(at))}) for c, p in places.items()}
+        value = exact_ranks(table, ranks)
+        rows = []
+        for c, p in places.items():
+            ends = [(value[c, math.floor(at)], value[c, math.ceil(at)], at - math.floor(at)) for at in p]
+            rows.append((c, [low + (high - low) * share if high != low else low for low, high, share in ends]))
+        q = spark.createDataFrame(rows, "column_name string, q array<double>")
     else:
+        long = df.select(
+            F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns]))
+        ).filter(F.col("x").isNotNull())
         q = long.groupBy("column_name").agg(F.percentile_approx("x", points, accuracy).alias("q"))
     q1, q3, q99 = (F.col("q")[i] for i in range(3))
     return q.select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillwise import config
 from tillwise.functions.numeric import linearity, r2_band
 from tillwise.functions.student_t import two_sided_p
-from tillwise.operators.keys import ITEM, STORE_PRODUCT
+from tillwise.operators.keys import ITEM, STORE_PRODUCT, place
 from tillwise.operators.prep import with_idle_days
 
 PRICE = "Price"
@@ -31,9 +31,12 @@ def _finish_points(per_price: DataFrame) -> DataFrame:
 
 
 def demand_points(daily: DataFrame) -> DataFrame:
-    """Per product and price: distinct days, total quantity, quantity per day."""
+    """Per product and price: distinct days, total quantity, quantity per day.
+
+    Placed by product first, so that days are told apart where they are counted.
+    """
     return _finish_points(
-        daily.groupBy(*ITEM, "price").agg(
+        place(daily, STORE_PRODUCT).groupBy(*ITEM, "price").agg(
             F.count_distinct("date").alias("unique_days"), F.sum("qty").alias("total_qty")
         )
     )
@@ -117,16 +120,17 @@ def product_features(daily: DataFrame, calendar_days: Column | None = None) -> D
     """Days with sales, distinct prices, total quantity and quantity per day.
 
     ``calendar_days`` is the number of days of filled sales; without it the days
-    in the table count. Rows are summed to product, day and price first.
+    in the table count. Rows are placed by product, summed to day and price there,
+    and a product's prices and days are sets no larger than its calendar.
     """
-    cells = daily.groupBy(*ITEM, "date", "price").agg(
+    cells = place(daily, ITEM).groupBy(*ITEM, "date", "price").agg(
         F.sum("qty").alias("qty"),
         F.sum(F.when(F.col("qty") > 0, 1).otherwise(0)).alias("selling_rows"),
     )
     grouped = cells.groupBy(*ITEM).agg(
-        F.count_distinct("price").alias("unique_prices"),
+        F.size(F.collect_set("price")).cast("bigint").alias("unique_prices"),
         F.sum("selling_rows").cast("bigint").alias("days_with_sales"),
-        F.count_distinct("date").alias("__days"),
+        F.size(F.collect_set("date")).alias("__days"),
         F.sum("qty").alias("total_qty"),
     )
     days = F.col("__days") if calendar_days is None else calendar_days

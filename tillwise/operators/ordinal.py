@@ -1,67 +1,46 @@
 """Row numbers over a whole table without sorting it in one task.
 
-The ordering key is cut into levels, coarse to fine. The rows in front of a
-group are known from group counts alone, and those counts are summed inside the
-next coarser group, so each window holds only the distinct values of one level
-and never the rows of the table. The numbers depend on the data only: a task
+Rows are sorted in ranges of their key; a row's number is its place in its range
+after the rows of the ranges before. The numbers depend on the data only: a task
 that is run again gives the same ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.operators.keys import join_null_safe
 from tillwise.sources.scratch import stage
 
 
 def number_rows(df: DataFrame, levels: Sequence[Sequence[str]], name: str = "row_id") -> DataFrame:
-    """Add a 1-based row number in ascending order of all ``levels``, NULLs last."""
+    """Add a 1-based row number in ascending order of all ``levels``, NULLs last.
 
-    def order(cols):
-        return [F.col(c).asc_nulls_last() for c in cols]
-
-    inner = [c for level in levels[:-1] for c in level]
-    window = Window.partitionBy(*inner).orderBy(*order(levels[-1]))
-    numbered = df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    if not inner:
-        return numbered
-
-    counts = df.groupBy(*inner).agg(F.count(F.lit(1)).alias("__rows"))
-    before = None
-    for depth in range(1, len(levels)):
-        keys = [c for level in levels[:depth] for c in level]
-        outer = [c for level in levels[: depth - 1] for c in level]
-        rows = counts.groupBy(*keys).agg(F.sum("__rows").alias("__rows"))
-        ahead = (
-            Window.partitionBy(*outer)
-            .orderBy(*order(levels[depth - 1]))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        rows = rows.select(*keys, F.coalesce(F.sum("__rows").over(ahead), F.lit(0)).alias("__ahead"))
-        if before is not None:
-            rows = join_null_safe(rows, before, outer).select(
-                *keys, (F.col("__ahead") + F.col("__before")).alias("__before")
-            )
-        else:
-            rows = rows.withColumnRenamed("__ahead", "__before")
-        before = rows
-    return (
-        join_null_safe(numbered, before, inner)
-        .withColumn(name, F.col(name) + F.col("__before"))
-        .drop("__before")
-    )
+    Rows are dealt into ranges of the whole key and sorted there, so equal keys
+    share a partition however many there are. A row's number is its place in its
+    partition plus the sizes of the partitions before; only these sizes, one per
+    partition, are gathered. The rows are staged, as ranges are found by looking
+    at them first, and once more with their places.
+    """
+    spark = df.sparkSession
+    order = [F.col(c).asc_nulls_last() for level in levels for c in level]
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage(df, "rows").repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    # partition in the upper 31 bits, place in the partition in the lower 33
+    placed = stage(ranged.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("__at", 33).cast("int")
+    sizes = dict(placed.groupBy(part.alias("part")).count().collect())
+    ahead = [0, *accumulate(sizes.get(p, 0) for p in range(max(sizes, default=0)))]
+    before = F.get(F.lit(ahead), part)
+    return placed.withColumn(name, before + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("__at")
 
 
 def assign_pages(df: DataFrame, levels: Sequence[Sequence[str]], page_size: int) -> DataFrame:
-    """Number rows over their full key and cut them into pages, 0-based.
-
-    The rows are staged: numbering reads them twice.
-    """
-    return number_rows(stage(df, "numbered"), levels, "row_number").withColumn(
+    """Number rows over their full key and cut them into pages, 0-based."""
+    return number_rows(df, levels, "row_number").withColumn(
         "page_number", F.floor((F.col("row_number") - 1) / F.lit(page_size)).cast("bigint")
     )
 

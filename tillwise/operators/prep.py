@@ -144,15 +144,20 @@ def keep_price_changes(sales: DataFrame, price: str = "price") -> DataFrame:
 
 
 def _active_products(weekly: DataFrame, thresholds: DataFrame) -> DataFrame:
-    limits = thresholds.withColumnRenamed("weeks_above_threshold", "__needed")
+    """(threshold_id, product, weeks) of the products with enough weeks at or over a threshold.
+
+    The weeks of a product become one row with their quantities, and every
+    threshold of its group counts in that row: weekly rows move once, however
+    many thresholds there are.
+    """
+    group = ["store", "calculation_group"]
+    strong = weekly.filter(present(ITEM)).groupBy(*ITEM).agg(F.collect_list("qty").alias("weeks"))
+    limits = thresholds.select(*group, "threshold_id", "threshold", F.col("weeks_above_threshold").alias("__needed"))
+    reached = F.size(F.filter("weeks", lambda qty: qty >= F.col("threshold")))
     return (
-        weekly.join(limits, ["store", "calculation_group"])
+        strong.join(limits, group)
         .groupBy("threshold_id", *ITEM, "__needed")
-        .agg(
-            F.sum(F.when(F.col("qty") >= F.col("threshold"), 1).otherwise(0))
-            .cast("bigint")
-            .alias("weeks_above_threshold")
-        )
+        .agg(F.sum(reached.cast("bigint")).alias("weeks_above_threshold"))
         .filter(F.col("weeks_above_threshold") >= F.col("__needed"))
         .drop("__needed")
     )
@@ -245,19 +250,22 @@ def cap_outliers(sales: DataFrame, limit: float = config.OUTLIER_QTY) -> DataFra
     Equal outlier rows (all columns but quantity) count once. Rows without a
     quantity are dropped. A product with no row in range gets NULL.
 
-    One read and one shuffle: daily sales are placed by product, whose rows are as
-    many as days, prices and listings, and the largest quantity in range and the
-    first of equal outliers are both found there.
+    One read, one shuffle, one sort: daily sales are placed by product, whose rows
+    are as many as days, prices and listings. There equal rows in and out of range
+    stand together, so an outlier only looks at the row before it.
     """
     within = F.col("qty") <= limit
-    product = Window.partitionBy(*ITEM)
     same = [c for c in sales.columns if c != "qty"]
-    twins = Window.partitionBy(*ITEM, within, *[c for c in same if c not in ITEM]).orderBy("qty")
-    top = F.when(present(ITEM), F.max(F.when(within, F.col("qty"))).over(product))
-    marked = sales.filter(F.col("qty").isNotNull()).withColumns({"__top": top, "__nth": F.row_number().over(twins)})
+    others = [c for c in same if c not in ITEM]
+    product = Window.partitionBy(*ITEM).orderBy(within, *others, "qty")
+    whole = product.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    row = F.struct((~within).alias("out"), *others)
+    top = F.when(present(ITEM), F.max(F.when(within, F.col("qty"))).over(whole))
+    marked = sales.filter(F.col("qty").isNotNull()).withColumns(
+        {"__top": top, "__again": ~within & row.eqNullSafe(F.lag(row).over(product))}
+    )
     capped = F.when(within, F.col("qty")).otherwise(F.col("__top"))
-    kept = marked.filter(within | (F.col("__nth") == 1)).withColumn("qty", capped)
-    return kept.select(*same, "qty")
+    return marked.filter(~F.col("__again")).withColumn("qty", capped).select(*same, "qty")
 
 
 def price_stats_per_row(daily: DataFrame) -> DataFrame:
@@ -267,6 +275,7 @@ def price_stats_per_row(daily: DataFrame) -> DataFrame:
     A distinct count cannot run over a window and a window would hold a whole
     product, so both levels are aggregated and joined back.
     """
+    daily = place(daily, STORE_PRODUCT)
     at_price = daily.groupBy(*STORE_PRODUCT, "price").agg(
         F.count_distinct("date").alias("unique_days"), F.sum("qty").alias("total_qty")
     )

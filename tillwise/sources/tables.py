@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +39,38 @@ def jdbc_options(table: str, partitions: JdbcPartitions | None = None) -> dict[s
     return options
 
 
+def even_cuts(keys: DataFrame, column: str, count: int) -> list:
+    """Values that cut a column into ``count`` parts of about as many rows each, fewer where one value has more.
+
+    ``keys`` needs that column only, so a database sends nothing else for it.
+    Every part ends behind a value that is there: a mergeable percentile of the
+    column, which many equal keys cannot skew.
+    """
+    kind = keys.schema[column].dataType
+    whole = isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    number = F.unix_micros(F.col(column).cast("timestamp")) if whole else F.col(column)
+    shares = [i / count for i in range(1, count)]
+    found = keys.select(number.alias("x")).agg(F.percentile_approx("x", shares, 100 * count).alias("cuts"))
+    cuts = F.array_sort(F.array_distinct("cuts"))
+    if whole:
+        cuts = F.transform(cuts, lambda x: F.timestamp_micros(x).cast(kind))
+    row = found.select(F.transform(cuts, lambda x: x.cast("string")).alias("cuts")).first() if shares else None
+    return list(row["cuts"] or []) if row else []
+
+
+def slice_predicates(column: str, cuts: Sequence, quote: bool = True) -> list[str]:
+    """SQL conditions of disjoint parts that between them hold every row; the first part has the NULLs."""
+
+    def literal(cut) -> str:
+        return "'" + str(cut).replace("'", "''") + "'" if quote else str(cut)
+
+    if not cuts:
+        return ["1 = 1"]
+    ends = [literal(c) for c in cuts]
+    inner = [f"{column} > {low} AND {column} <= {high}" for low, high in zip(ends, ends[1:])]
+    return [f"{column} <= {ends[0]} OR {column} IS NULL", *inner, f"{column} > {ends[-1]}"]
+
+
 def read_table(
     spark: SparkSession,
     location: str,
@@ -46,8 +78,16 @@ def read_table(
     schema: T.StructType | str | None = None,
     partitions: JdbcPartitions | None = None,
     options: Mapping[str, str] | None = None,
+    predicates: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Read one table. ``location`` is a path, or a table name for ``jdbc``."""
+    """Read one table. ``location`` is a path, or a table name for ``jdbc``.
+
+    A database table is read in equal steps of a column (``partitions``) or, if
+    its values are unevenly spread, in the parts that ``predicates`` name.
+    """
+    if fmt == "jdbc" and predicates is not None:
+        properties = {k: v for k, v in (options or {}).items() if k != "url"}
+        return spark.read.jdbc(options["url"], location, predicates=list(predicates), properties=properties)
     if fmt == "jdbc":
         return spark.read.format("jdbc").options(**(options or {}), **jdbc_options(location, partitions)).load()
     reader = spark.read.options(**(options or {}))
