@@ -89,3 +89,12 @@ def test_slices_are_disjoint_whole_and_even(spark, kind):
     sizes = held.agg(*(F.sum(c) for c in held.columns)).first()
     assert len(parts) >= 12 and max(sizes) < 20_000 / 16 * 3.2
     assert tables.slice_predicates("key", []) == ["1 = 1"] and tables.even_cuts(rows.filter("false"), "key", 4) == []
+
+
+def test_discarded_tables_are_gone(spark):
+    kept, spent = (scratch.stage(spark.range(3), "numbers") for _ in range(2))
+    path = spent._staged_at.removeprefix("file:")
+    assert os.path.isdir(path)
+    scratch.discard(spent)
+    scratch.discard(spark.range(1))
+    assert not os.path.exists(path) and kept.count() == 3

@@ -53,8 +53,12 @@ def one_run(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _run.reset(before)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(spark, folder)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -66,4 +70,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._staged_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table that ``stage`` gave, once nothing that is still to run reads it."""
+    path = getattr(table, "_staged_at", None)
+    if path is not None:
+        _remove(table.sparkSession, path)
