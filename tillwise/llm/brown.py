@@ -36,7 +36,10 @@ class Settings:
     to start from are found on the driver in up to ``sweeps`` sweeps, with the
     ``clustered`` most frequent words by themselves and all others by endings.
     Tasks hold the counts of ``held`` frequent words of up to ``longest`` bytes;
-    the counts of all other words are joined.
+    the counts of all other words are joined. The exchange ends when all words
+    have been weighed and their moves made the training text more likely by less
+    than ``least_gain`` (natural logarithm) a token; with 0, when no word does
+    better in another class.
     """
 
     classes: int = 48
@@ -46,6 +49,7 @@ class Settings:
     longest: int = 64
     sweeps: int = 6
     backoff: float = 1.0
+    least_gain: float = 0.0
 
     @property
     def symbols(self) -> int:
@@ -262,7 +266,7 @@ def group_table(pairs: DataFrame, of: np.ndarray, groups: int, size: int) -> np.
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["pair", "n"])
 
     sums = pairs.select("body").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    dealt.unpersist()
+    dealt.destroy()
     table = np.zeros(groups * groups)
     table[sums["pair"]] = sums["n"]
     return table.reshape(groups, groups)
@@ -397,7 +401,7 @@ def propose(pairs: DataFrame, of: np.ndarray, table: np.ndarray, end: int, size:
                     )
 
     found = pairs.select("body").mapInArrow(run, "symbol long, best long, better double").toPandas()
-    dealt.unpersist()
+    dealt.destroy()
     return found["symbol"].to_numpy(), found["best"].to_numpy(), found["better"].to_numpy()
 
 
@@ -416,7 +420,9 @@ def narrow(pairs: DataFrame, symbols: np.ndarray, size: int) -> DataFrame:
                 if kept.any():
                     yield pa.RecordBatch.from_arrays([pa.array([_pack(keys[kept], n[kept])], pa.binary())], ["body"])
 
-    return pairs.select("body").mapInArrow(run, "body binary")
+    narrowed = scratch.stage(pairs.select("body").mapInArrow(run, "body binary"), "moving")
+    dealt.destroy()
+    return narrowed
 
 
 def table_change(pairs: DataFrame, of: np.ndarray, moved: np.ndarray, classes: int) -> np.ndarray:
@@ -442,7 +448,7 @@ def table_change(pairs: DataFrame, of: np.ndarray, moved: np.ndarray, classes: i
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["pair", "n"])
 
     sums = pairs.select("body").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    dealt.unpersist()
+    dealt.destroy()
     change = np.zeros(classes * classes)
     change[sums["pair"]] = sums["n"]
     return change.reshape(classes, classes)
@@ -459,7 +465,7 @@ class Rounds:
     """
 
     def __init__(self, of: np.ndarray, table: np.ndarray):
-        self.of, self.table, self.turn, self.halved = of, table, 0, 0
+        self.of, self.table, self.turn, self.halved, self.risen = of, table, 0, 0, 0.0
 
     def go(self, pairs: DataFrame, symbol: np.ndarray, best: np.ndarray, better: np.ndarray) -> bool:
         """Move a share of the symbols; false if not even one of them makes the text more likely."""
@@ -473,7 +479,7 @@ class Rounds:
             changed = self.table + table_change(pairs, self.of, moved, len(self.table))
             rise, hoped = likelihood_change(self.table, changed), better[chosen].sum()
             if rise > 0:
-                self.of, self.table = moved, changed
+                self.of, self.table, self.risen = moved, changed, self.risen + rise
                 self.halved = max(0, self.halved - 1) if rise > 0.6 * hoped else self.halved + int(rise < 0.3 * hoped)
                 return True
             if chosen.sum() == 1:
@@ -482,24 +488,28 @@ class Rounds:
 
 
 def exchange_rounds(pairs: DataFrame, of: np.ndarray, end: int, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each symbol, class bigrams): exchange of all symbols until none does better elsewhere.
+    """(class of each symbol, class bigrams): exchange of all symbols until it brings less than ``least_gain`` a token.
 
     When few symbols are left to move their pairs are taken out, and these
     symbols move until none of them does better; then all are weighed again.
     """
     size = len(of)
     rounds = Rounds(of, group_table(pairs, of, settings.classes, size))
+    enough = settings.least_gain * float(rounds.table.sum())
     while True:
-        found = propose(pairs, rounds.of, rounds.table, end, size)
+        found, before = propose(pairs, rounds.of, rounds.table, end, size), rounds.risen
         few = len(found[0]) * 4 < size
-        near = scratch.stage(narrow(pairs, found[0], size), "moving") if few and len(found[0]) else pairs
-        rose = False
+        near = narrow(pairs, found[0], size) if few and len(found[0]) else pairs
+        rose, last = False, rounds.risen
         while len(found[0]) and rounds.go(near, *found):
             rose = True
-            if not few:
+            if not few or rounds.risen - last < enough:
                 break
+            last = rounds.risen
             found = propose(near, rounds.of, rounds.table, end, size)
-        if not rose:
+        if near is not pairs:
+            scratch.discard(near)
+        if not rose or rounds.risen - before < enough:
             return rounds.of, rounds.table
 
 

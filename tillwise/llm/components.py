@@ -24,7 +24,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     aggregate and goes back by a join: nothing is collected per node, but the
     links of a node with very many pass through one task of the join, unless
     Spark's handling of skewed joins splits it. Rounds are written to the shared
-    folder; their number grows with the logarithm of the longest path.
+    folder, each in place of the one before; their number grows with the
+    logarithm of the longest path.
     """
     pairs = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = scratch.stage(pairs.filter("u <> v").distinct(), "links")
@@ -36,7 +37,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = both.filter("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = scratch.stage(small.union(smallest.select("u", "m")).distinct(), "links")
+        spent, edges = edges, scratch.stage(small.union(smallest.select("u", "m")).distinct(), "links")
+        scratch.discard(spent)
     pointed = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("label"))
     return pointed.union(roots)
