@@ -81,3 +81,47 @@ def test_messy_rows(messy, none):
 def test_very_long_text(make):
     text = "x " * 100_000 + "a.b@c.de" + " y" * 100_000
     assert hide(make, [text])[0][0].count("@c.de") == 1 and "a.b@" not in hide(make, [text])[0][0]
+
+
+def plain_feistel(values, radices, tweak, key):
+    """Eight rounds over two halves, number by number."""
+    import hashlib
+
+    half = len(values) // 2
+    left, right = list(zip(values, radices))[:half], list(zip(values, radices))[half:]
+    for turn in range(1, 9):
+        known = ",".join(str(v) for v, _ in right)
+        stream = hashlib.sha256("|".join([key, tweak, str(turn), known]).encode()).hexdigest()
+        left, right = right, [((v + int(stream[i % 16 * 4 : i % 16 * 4 + 4], 16)) % r, r) for i, (v, r) in enumerate(left)]
+    return [v for v, _ in left + right]
+
+
+def plain_text(kind, text, key):
+    """Letters and digits of a text permuted among letters of their case and digits."""
+    moving = [c for c in text if c.isalnum()]
+    base = [48 if c.isdigit() else 97 if c.islower() else 65 for c in moving]
+    radices = [10 if c.isdigit() else 26 for c in moving]
+    new = iter(plain_feistel([ord(c) - b for c, b in zip(moving, base)], radices, f"{kind}{len(moving)}", key))
+    written = iter(chr(b + n) for b, n in zip(base, new))
+    return "".join(next(written) if c.isalnum() else c for c in text)
+
+
+def test_values_are_those_of_a_plain_feistel_network(make):
+    names = ["bosbt.42", "A", "ann_b.C-9", "x1y2z3"]
+    days = [datetime.date(1800, 1, 1), datetime.date(1984, 2, 29), datetime.date(2199, 12, 31)]
+    cards = ["4041894974608795", "5500005555555559", "340000000000009"]
+    accounts = ["GB82WEST12345698765432", "DE89370400440532013000"]
+    texts = [f"{n}@x.org" for n in names] + [str(d) for d in days] + cards + accounts
+    hidden = hide(make, texts, "secret")
+    got = [hidden[i][0] for i in range(len(texts))]
+    want = [f"{plain_text('email', n, 'secret')}@x.org" for n in names]
+    for day in days:
+        a, b = plain_feistel(divmod((day - datetime.date(1800, 1, 1)).days, 773), (189, 773), "date2", "secret")
+        want.append(str(datetime.date(1800, 1, 1) + datetime.timedelta(a * 773 + b)))
+    for card in cards:
+        body = card[0] + plain_text("card", card[1:-1], "secret")
+        want.append(next(body + d for d in "0123456789" if luhn(body + d) == 0))
+    for account in accounts:
+        rest = plain_text("iban", account[4:], "secret")
+        want.append(next(f"{account[:2]}{c:02}{rest}" for c in range(2, 99) if iban_rest(f"{account[:2]}{c:02}{rest}") == 1))
+    assert got == want
