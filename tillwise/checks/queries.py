@@ -439,6 +439,10 @@ def price_difference_features(i: _Inputs) -> DataFrame:
     )
 
 
+def price_differences_carried(i: _Inputs) -> DataFrame:
+    return r6(crosseffects.price_differences_carried(i.sales_table, i.chosen), "price_difference")
+
+
 def demand_points_cross(i: _Inputs) -> DataFrame:
     points = r6(i.cross_points(), "inverted_qty")
     joined = F.array_join(F.transform("differences", lambda d: F.round(d * 100).cast("bigint").cast("string")), "|")
@@ -659,7 +663,7 @@ ALL = [
     cost_sources_union, lowest_cost, feasible_cost, pair_correlation, pair_correlation_all_stores,
     pair_rank_correlation, select_pairs, pairs_of_active, unique_prices_window, demand_points,
     demand_points_observed, cumulative_demand, simple_regression, r2_band, product_features,
-    constant_elasticity, price_difference_features, demand_points_cross, vif, ols_model,
+    constant_elasticity, price_difference_features, price_differences_carried, demand_points_cross, vif, ols_model,
     ols_model_literal, model_comparison, uplift_models, model_report_roundtrip,
     quality_tree_split, quality_tree_features, quality_tree_support, quality_tree_importance,
     quality_tree_report, price_grid, grid_with_cost, simulate_simple, best_price_simple,

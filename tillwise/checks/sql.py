@@ -383,6 +383,13 @@ PARTS: dict[str, str] = {
         LEFT JOIN (SELECT {ITEM}, date, avg(price) AS price
                    FROM (SELECT DISTINCT {ITEM}, date, price FROM filled) GROUP BY ALL) r
           ON r.store = f.store AND r.calculation_group = f.calculation_group AND r.product = c.product_2 AND r.date = f.date""",
+    "selling_differences": f"""
+        SELECT f.store, f.calculation_group, f.product, f.date, f.price, f.qty, c.product_2,
+               round(f.price - r.price, 6) AS price_difference
+        FROM sales f JOIN chosen c ON c.store = f.store AND c.product_1 = f.product
+        LEFT JOIN (SELECT {ITEM}, date, avg(price) AS price
+                   FROM (SELECT DISTINCT {ITEM}, date, price FROM filled) GROUP BY ALL) r
+          ON r.store = f.store AND r.calculation_group = f.calculation_group AND r.product = c.product_2 AND r.date = f.date""",
     "cross_days": f"""
         SELECT {ITEM}, date, price, qty, list(product_2 ORDER BY product_2) AS rivals,
                list(price_difference ORDER BY product_2) AS d FROM differences GROUP BY ALL""",
@@ -593,6 +600,7 @@ BODIES: dict[str, str] = {
     "price_difference_features": f"""SELECT {ITEM}, product_2, count(*) AS days, count(price_difference) AS priced_days,
         round(sum(price_difference), 4) + 0.0 AS difference_sum, min(price_difference) AS difference_min,
         max(price_difference) AS difference_max, sum(qty) AS qty FROM differences GROUP BY ALL""",
+    "price_differences_carried": f"SELECT * EXCLUDE (price_difference), {_r6('price_difference')} FROM selling_differences",
     "demand_points_cross": f"""SELECT {ITEM}, price, array_to_string(list_transform(d, lambda x: cast(round(x * 100) AS bigint)), '|') AS differences_in_cents,
         len(rivals) AS rivals, round(list_sum(d), 6) + 0.0 AS price_diff_all, unique_days, total_qty, {_r6("inverted_qty")}
         FROM cross_points""",

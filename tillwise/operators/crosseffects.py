@@ -58,6 +58,39 @@ def price_difference_features(daily: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def price_differences_carried(sales: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``price_difference_features`` of the rows of unfilled sales.
+
+    A competitor's price of a day without a sale is the last price before it, as
+    filling carries it, or its first price if there is none before. Own days and
+    the competitor's price days are merged in order of the date and each own day
+    takes the last price seen: one sort per competitor, and no day is written out
+    for which there is no row.
+    """
+    rivals = pairs.select("store", F.col("product_1").alias("product"), "product_2").distinct()
+    asked = sales.select(*ITEM, "date", "price", "qty").join(rivals, STORE_PRODUCT)
+    days = (
+        sales.select(*ITEM, "date", "price").distinct().groupBy(*ITEM, "date")
+        .agg(F.avg("price").alias("day_price"), F.min("price").alias("low"), F.max("price").alias("high"))
+        .withColumnRenamed("product", "product_2")
+    )
+    side = ["store", "calculation_group", "product_2"]
+    first = days.groupBy(*side).agg(F.min_by("low", "date").alias("high"))
+    quotes = days.select(*side, "date", F.struct("date", "day_price", "high").alias("quote")).unionByName(
+        first.select(
+            *side, F.lit("0001-01-01").cast("date").alias("date"),
+            F.struct(F.lit("0001-01-01").cast("date").alias("date"), F.col("high").alias("day_price"), "high").alias("quote"),
+        )
+    )
+    merged = asked.unionByName(quotes, allowMissingColumns=True)
+    upto = Window.partitionBy(*side).orderBy("date", F.col("quote").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = merged.withColumn("seen", F.last("quote", ignorenulls=True).over(upto)).filter(F.col("quote").isNull())
+    rival_price = F.when(F.col("seen.date") == F.col("date"), F.col("seen.day_price")).otherwise(F.col("seen.high"))
+    return seen.select(
+        *ITEM, "date", "price", "qty", "product_2", F.round(F.col("price") - rival_price, _DIFF_DIGITS).alias("price_difference")
+    )
+
+
 def _timelines(own: DataFrame) -> DataFrame:
     """One row per product: its day prices from the first day on, without gaps, and the dates on which they change.
 
