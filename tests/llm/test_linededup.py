@@ -52,3 +52,11 @@ def test_messy_rows(messy, none):
     assert len(got) == 12 and by[1].text is None and by[1].n_lines == 0 and by[2].text == "" and by[2].n_lines == 1
     assert by[9].text == "a\nb\nc\nd\n\n\n\n" and by[9].n_removed == 4
     assert linededup.remove_repeated(none).count() == 0
+
+
+def test_one_window_in_most_places(make):
+    """The places of a heavy window are spread; every one but the first goes."""
+    rows = [(i, f"a\nb\nc\nown {i}\nd{i}\ne{i}" if i % 10 else f"x{i}\ny{i}\nz{i}") for i in range(3000)]
+    got = {r.doc_id: r for r in linededup.remove_repeated(make(rows)).collect()}
+    assert len(got) == 3000
+    assert all(got[i].n_removed == (3 if i % 10 and i != 1 else 0) for i in got)

@@ -35,12 +35,13 @@ def later_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
 
     Places are ordered by doc_id (null first), a hash of the text and the line.
     The earliest place of a window comes from a partial aggregate and goes back by
-    a join, so a window that stands in very many documents is never gathered.
+    a join that broadcasts the few windows with very many places, so these are
+    never gathered in one task.
     """
     found = scratch.stage(windows(docs, width), "line-windows")
     place = F.struct("doc_id", "text_hash", "at")
     repeated = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1")
-    later = found.join(repeated.select("a", "b", "first"), ["a", "b"]).filter(~place.eqNullSafe(F.col("first")))
+    later = texts.spread_join(found, repeated, ["a", "b"], "n", found.count()).filter(~place.eqNullSafe(F.col("first")))
     return later.select("doc_id", "text_hash", "at")
 
 

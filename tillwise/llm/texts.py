@@ -65,8 +65,8 @@ def shingle_hashes(text: bytes, width: int, seed: int) -> Iterator[np.ndarray]:
 HEAVY = 1000
 
 
-def spread_join(rows: DataFrame, values: DataFrame, key: str, n: str, total: int) -> DataFrame:
-    """Inner join of many rows with one value per key, without a key's rows meeting in one task.
+def spread_join(rows: DataFrame, values: DataFrame, key: str | list[str], n: str, total: int) -> DataFrame:
+    """Inner join of many rows with one row of values per key, without a key's rows meeting in one task.
 
     ``values`` has the number of ``rows`` of each key as ``n``, and ``total`` is
     the number of all rows. Values of the at most ``HEAVY`` keys with more than
@@ -77,7 +77,8 @@ def spread_join(rows: DataFrame, values: DataFrame, key: str, n: str, total: int
     if not few:
         return rows.join(values, key)
     held = rows.sparkSession.createDataFrame(few, values.schema)
-    light = rows.join(F.broadcast(held.select(key)), key, "left_anti").join(values.filter(~heavy), key)
+    keys = held.select(*([key] if isinstance(key, str) else key))
+    light = rows.join(F.broadcast(keys), key, "left_anti").join(values.filter(~heavy), key)
     return rows.join(F.broadcast(held), key).unionByName(light)
 
 
