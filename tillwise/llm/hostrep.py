@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.texts import spread_join
 from tillwise.sources import scratch
 
 # Public suffixes of two labels; any other suffix is the last label.
@@ -136,11 +137,12 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], least_good:
     read = scratch.stage(read, "urls")
     known = outcomes.filter("good is not null").groupBy("page_id").agg(F.min(F.col("good").cast("int")).alias("good"))
     hosts = read.join(known, "page_id", "left").groupBy("host").agg(
-        F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k")
+        F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"), F.count(F.lit(1)).alias("rows")
     )
-    judged = reputations(scratch.stage(hosts, "hosts"), z).select("host", "bound")
+    hosts = scratch.stage(hosts, "hosts")
+    judged = reputations(hosts.drop("rows"), z).select("host", "bound").join(hosts.select("host", "rows"), "host")
     rule, decided = longest_rule(rules, F.col("host"), F.col("path"))
     by_host = F.when(F.col("bound") >= least_good, "allow").otherwise("block")
-    return read.join(judged, "host").select(
+    return spread_join(read, judged, "host", "rows", read.count()).select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(decided, by_host).alias("verdict"), "bound"
     )
