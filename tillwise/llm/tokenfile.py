@@ -74,7 +74,7 @@ class WordEncoder(dict):
     #: Code points below this are Latin, without combining marks.
     LATIN_END = "\u0250"
 
-    def __init__(self, path: str, full: int = 200_000, longest: int = 64):
+    def __init__(self, path: str, full: int = 300_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -227,7 +227,6 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens:
                 held += len(ids)
         if packed:
             yield shard()
-        encoder.clear()
 
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text"))
     ordered = texts.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
