@@ -79,6 +79,11 @@ def _chunks(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
             start, size = i, 0
 
 
+def _columns(rows: DataFrame) -> list[np.ndarray]:
+    """The columns of a few rows, without the copies that a pandas table would take."""
+    return [column.to_numpy() for column in rows.toArrow().columns]
+
+
 def count_words(taught: DataFrame) -> DataFrame:
     """(word, c) over all texts of a table with the binary column text; each text adds one END."""
 
@@ -119,8 +124,8 @@ def frequent_words(vocabulary: DataFrame, settings: Settings) -> tuple[list[byte
         lowest = at
     if lowest is None:
         return [], np.empty(0, np.int64)
-    rows = named.filter(step >= lowest).toPandas()
-    order = sorted(zip((-rows["c"]).tolist(), map(bytes, rows["word"])))
+    rows = named.filter(step >= lowest).select("word", "c").toArrow()
+    order = sorted(zip((-rows["c"].to_numpy()).tolist(), rows["word"].to_pylist()))
     return [w for _, w in order], np.array([-c for c, _ in order], np.int64)
 
 
@@ -135,7 +140,7 @@ def repeated_keys(vocabulary: DataFrame, frequent: list[bytes], settings: Settin
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], ["key"])
 
     named = vocabulary.filter((F.length("word") > 0) & (F.col("c") > 1)).select("word")
-    return np.unique(named.mapInArrow(run, "key long").toPandas()["key"].to_numpy(np.int64))
+    return np.unique(_columns(named.mapInArrow(run, "key long"))[0])
 
 
 class Coder:
@@ -265,10 +270,11 @@ def group_table(pairs: DataFrame, of: np.ndarray, groups: int, size: int) -> np.
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["pair", "n"])
 
-    sums = pairs.select("body").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    sums = pairs.select("body").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    pair, n = _columns(sums)
     dealt.destroy()
     table = np.zeros(groups * groups)
-    table[sums["pair"]] = sums["n"]
+    table[pair] = n
     return table.reshape(groups, groups)
 
 
@@ -397,12 +403,12 @@ def propose(pairs: DataFrame, of: np.ndarray, table: np.ndarray, end: int, size:
                     better = value[np.arange(len(some)), best] - value[np.arange(len(some)), a]
                     moves = (better > noise) & (some != end)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(some[moves]), pa.array(best[moves]), pa.array(better[moves])], ["symbol", "best", "better"]
+                        [pa.array(some[moves]), pa.array(best[moves].astype(np.int16)), pa.array(better[moves])], ["symbol", "best", "better"]
                     )
 
-    found = pairs.select("body").mapInArrow(run, "symbol long, best long, better double").toPandas()
+    symbol, best, better = _columns(pairs.select("body").mapInArrow(run, "symbol long, best short, better double"))
     dealt.destroy()
-    return found["symbol"].to_numpy(), found["best"].to_numpy(), found["better"].to_numpy()
+    return symbol, best, better
 
 
 def narrow(pairs: DataFrame, symbols: np.ndarray, size: int) -> DataFrame:
@@ -447,10 +453,11 @@ def table_change(pairs: DataFrame, of: np.ndarray, moved: np.ndarray, classes: i
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["pair", "n"])
 
-    sums = pairs.select("body").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    sums = pairs.select("body").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    pair, n = _columns(sums)
     dealt.destroy()
     change = np.zeros(classes * classes)
-    change[sums["pair"]] = sums["n"]
+    change[pair] = n
     return change.reshape(classes, classes)
 
 
