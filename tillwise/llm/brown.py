@@ -22,9 +22,9 @@ END = b""
 MARKS = string.punctuation.encode()
 ADD = 0.1
 #: Words held in a task before their counts leave it, and bytes of text cut into words together.
-FLUSH, CHUNK = 400_000, 1 << 22
+FLUSH, CHUNK = 200_000, 1 << 22
 #: Pairs counted together in a task, words of a bucket of pairs, and words whose moves are weighed together.
-PAIRS, BUCKET, WEIGHED = 1 << 22, 4096, 1024
+PAIRS, BUCKET, WEIGHED = 1 << 20, 4096, 512
 
 
 @dataclass(frozen=True)
