@@ -112,12 +112,15 @@ def _timelines(own: DataFrame) -> DataFrame:
         F.raise_error(F.lit("sales have missing days: fill them first")).cast("array<double>")
     )
 
-    def new_price(day, i):
-        return (i == 0) | (day["day_price"] != F.get(F.col("days.day_price"), i - 1))
+    def change_days(listed):
+        """Places whose price differs from the one before; the list of prices is made once."""
+        places = F.sequence(F.lit(0), F.size(listed) - 1)
+        return F.filter(places, lambda i: (i == 0) | (F.get(listed, i) != F.get(listed, i - 1)))
 
-    changes = F.filter("days", new_price)["date"]
+    changes = F.get(F.transform(F.array(F.col("days.day_price")), change_days), F.lit(0))
+    dates = F.transform(changes, lambda i: F.date_add("start", i))
     return timeline.select(
-        *ITEM, "start", prices.alias("prices"), F.array_append(changes, F.date_add("end", 1)).alias("changes")
+        *ITEM, "start", prices.alias("prices"), F.array_append(dates, F.date_add("end", 1)).alias("changes")
     )
 
 
