@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tillwise import config
 from tillwise.operators import audit, cost, crosseffects, demand, ordinal, pairs, prep, simulate
 from tillwise.plans import quality, steps, strategy
 from tillwise.sources import tables
@@ -477,3 +478,33 @@ def test_row_numbers_of_many_equal_keys(spark):
     key = [(a is None, a or "", b, c) for a, b, c in zip(got["a"], got["b"], got["c"])]
     assert key == sorted(key)
     assert ordinal.number_rows(rows.filter("false"), [["a"], ["b"]]).count() == 0
+
+
+def _optimised(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scope_mentions_the_category_once_below_the_aggregate(spark):
+    """Every mention is worked out again for every raw row, in code too long to be compiled."""
+    raw = spark.createDataFrame(
+        [("S", "1 - D", "2 - EDIBLE", f"3 - {c}", "i", "p", 1.0, 2.0) for c in ("CHOCOLATES", "HEALTH FOODS")],
+        "shop_title string, department_title string, space_title string, category_title string, product_id string, "
+        "product_title string, price_sell double, quantity double",
+    ).withColumn("transacted_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    scoped = prep.scope(prep.daily_sales(raw))
+    filters = [line for line in _optimised(scoped).splitlines() if "Filter" in line and "category_title" in line]
+    assert len(filters) == 1 and filters[0].count("locate(-, category_title") <= 1
+    assert [r.category for r in scoped.collect()] == ["CHOCOLATES"]
+
+
+@pytest.mark.parametrize("excluded", [(), ("HEALTH FOODS",), ("EDIBLE",), ("0",), ("A", "HEALTH FOODS")])
+def test_scope_is_the_plain_filter_on_groups(spark, excluded):
+    rules = config.GroupRules(by_space=("W", "A"), by_category=("A", "B"), by_label={"HEALTH FOODS": ("H", "B", "W"), "A": ("C",)})
+    listed = [(s, sp, c) for s in ("S", None) for sp in ("EDIBLE", "OTHER", None) for c in ("W", "A", "B", "C", "H", "Z", None)]
+    sales = spark.createDataFrame(listed, "store string, space string, category string")
+    for spaces in (("EDIBLE", "BEVERAGES"), None):
+        plain = prep.add_calculation_group(sales, rules).filter("store is not null")
+        plain = plain.filter(F.col("space").isin(*spaces)) if spaces else plain
+        plain = plain.filter(~F.col("calculation_group").isin(*excluded)) if excluded else plain
+        got = prep.scope(sales, spaces, rules, excluded)
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))

@@ -72,6 +72,14 @@ def add_calculation_group(sales: DataFrame, rules: config.GroupRules = config.Gr
     return sales.withColumn("calculation_group", calculation_group(rules))
 
 
+def _excluded_categories(rules: config.GroupRules, groups: Sequence[str]) -> list[str]:
+    """Categories that the rules put in one of the groups by name; those that go by their space have none."""
+    named = {name: name for name in rules.by_category}
+    for label, members in rules.by_label.items():
+        named |= {name: label for name in members if name not in named}
+    return [name for name, group in named.items() if group in groups and name not in rules.by_space]
+
+
 def scope(
     sales: DataFrame,
     spaces: Sequence[str] | None = config.SPACES,
@@ -79,13 +87,22 @@ def scope(
     excluded_groups: Sequence[str] = config.EXCLUDED_GROUPS,
 ) -> DataFrame:
     """Listed spaces only, with a calculation group, without excluded groups and
-    without rows that name no store."""
+    without rows that name no store.
+
+    Filters move below the aggregate that makes the category, where every mention
+    of it is worked out again for every raw row, in code that the JVM does not
+    compile if it grows too long. So groups are excluded by one list of their
+    categories, unless a listed space or the default is excluded too.
+    """
     if spaces is not None:
         sales = sales.filter(F.col("space").isin(*spaces))
     sales = add_calculation_group(sales, rules).filter(F.col("store").isNotNull())
-    if excluded_groups:
-        sales = sales.filter(~F.col("calculation_group").isin(*excluded_groups))
-    return sales
+    if not excluded_groups:
+        return sales
+    if spaces is None or {*spaces, rules.default} & {*excluded_groups}:
+        return sales.filter(~F.col("calculation_group").isin(*excluded_groups))
+    names = _excluded_categories(rules, excluded_groups)
+    return sales.filter(F.coalesce(~F.col("category").isin(*names), F.lit(True))) if names else sales
 
 
 def scope_to_test(
