@@ -508,3 +508,28 @@ def test_scope_is_the_plain_filter_on_groups(spark, excluded):
         plain = plain.filter(~F.col("calculation_group").isin(*excluded)) if excluded else plain
         got = prep.scope(sales, spaces, rules, excluded)
         assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+
+
+def _deal_tables(spark):
+    edges = [("deal", f"d{i}", "baseproduct", "b") for i in range(4)] + [("deal", "d9", "baseproduct", None)]
+    edges += [("baseproduct", "b", "product", f"p{i}") for i in range(6)] * 2 + [("shop", "s", "product", f"p{i}") for i in range(6)]
+    return (
+        spark.createDataFrame([("d0", 3.0), ("d1", 3.0), ("d2", 0.0), ("d3", None), ("d9", 1.0), (None, 2.0)], "id string, price double"),
+        spark.createDataFrame(edges, "parent_type string, parent_id string, child_type string, child_id string"),
+        spark.createDataFrame([("s", "Store"), ("s", "Other")], "id string, title string"),
+        spark.createDataFrame([(f"p{i}", f"title {i % 2}", [1.5, 4.0, 0.0][i % 3]) for i in range(6)] + [(None, "none", 1.0)], "id string, title string, unit_price_cost double"),
+        spark.createDataFrame([("g", "s")], "group_id string, shop_id string"),
+        "g",
+    )
+
+
+def test_deals_meet_distinct_costs_of_base_products(spark):
+    """Not every product of a base with every deal of it: both sides are distinct where they meet."""
+    found = cost.deal_cost(*_deal_tables(spark))
+    lines = [line.strip(" :+-") for line in _optimised(found).splitlines()]
+    join = next(i for i, line in enumerate(lines) if line.startswith("Join"))
+    assert lines[join + 1].startswith("Aggregate [baseproduct_id")
+    want = {(s, t, c) for s in ("Store", "Other") for t in ("title 0", "title 1") for c in (3.0, 0.0, 1.5, 4.0)}
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+    lowest = cost.lowest_deal_cost(*_deal_tables(spark)).collect()
+    assert sorted(tuple(r) for r in lowest) == sorted({(s, t, 1.5) for s, t, _ in want})

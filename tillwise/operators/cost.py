@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from tillwise.functions import dates
 from tillwise.functions.text import strip_code_prefix
-from tillwise.operators.keys import STORE_PRODUCT, present
+from tillwise.operators.keys import STORE_PRODUCT, place, present
 
 _LISTING = ["shop_title", "product_id", "product_title", "category"]
+# The same with the key of most values first: sorting compares the first key's beginnings before whole rows.
+_SORTED_LISTING = ["product_id", "shop_title", "product_title", "category"]
+
+# Times the usual number of partitions where listings, products and base products are sorted in one task.
+_SMALL = 4
 
 
 def latest_transaction_cost(transactions: DataFrame, join_back: bool = False) -> DataFrame:
@@ -32,7 +37,7 @@ def latest_transaction_cost(transactions: DataFrame, join_back: bool = False) ->
     if not join_back:
         latest = F.max(F.struct("transacted_at", (-F.col("cost_txn")).alias("c")))
         return (
-            listed.groupBy(*_LISTING)
+            listed.groupBy(*_SORTED_LISTING)
             .agg(latest.alias("latest"))
             .select(
                 *_LISTING,
@@ -99,7 +104,16 @@ def _stocked_products(
     costed = products.filter(F.col("unit_price_cost") > 0).select(
         F.col("id").alias("product_id"), F.col("title").alias("product"), "unit_price_cost"
     )
-    return listed.join(titles, "shop_id").join(costed, "product_id")
+    return place(listed.join(titles, "shop_id"), ["product_id"], _SMALL).join(costed, "product_id")
+
+
+def _stocked_of_base(
+    relationships: DataFrame, shops: DataFrame, products: DataFrame, shop_group: DataFrame, group_id: str
+) -> DataFrame:
+    """What each store has of a base product: distinct titles and unit costs, placed by base product."""
+    listed = _stocked_products(relationships, shops, products, shop_group, group_id)
+    of_base = listed.join(_edges(relationships, "baseproduct", "product"), "product_id")
+    return place(of_base.select("baseproduct_id", *STORE_PRODUCT, "unit_price_cost"), ["baseproduct_id"], _SMALL).distinct()
 
 
 def deal_cost(
@@ -112,8 +126,9 @@ def deal_cost(
 ) -> DataFrame:
     """Every distinct cost a shop's product has through a supplier deal.
 
-    Deal -> base product -> product -> shop. Only distinct costs count, so prices
-    are made distinct at each step before the next join multiplies them. A deal
+    Deal -> base product -> product -> shop. Only distinct costs count, so both
+    sides are made distinct before they meet: deals as prices of a base product,
+    products as titles and unit costs that a store has of a base product. A deal
     without a price leaves the product's own unit cost.
     """
     per_base = (
@@ -122,14 +137,9 @@ def deal_cost(
         .select("baseproduct_id", "price")
         .distinct()
     )
-    per_product = (
-        per_base.join(_edges(relationships, "baseproduct", "product"), "baseproduct_id")
-        .select("product_id", "price")
-        .distinct()
-    )
-    stocked = _stocked_products(relationships, shops, products, shop_group, group_id)
+    of_base = _stocked_of_base(relationships, shops, products, shop_group, group_id)
     return (
-        stocked.join(per_product, "product_id")
+        of_base.join(per_base, "baseproduct_id")
         .select(
             *STORE_PRODUCT,
             F.coalesce(F.col("price").cast("double"), F.col("unit_price_cost").cast("double")).alias(
@@ -164,15 +174,10 @@ def lowest_deal_cost(
             F.bool_or(F.col("price").isNull()).alias("open_price"),
         )
     )
-    per_product = (
-        per_base.join(_edges(relationships, "baseproduct", "product"), "baseproduct_id")
-        .groupBy("product_id")
-        .agg(F.min("lowest").alias("lowest"), F.bool_or("open_price").alias("open_price"))
-    )
+    of_base = _stocked_of_base(relationships, shops, products, shop_group, group_id)
     cost = F.least(F.col("lowest"), F.when(F.col("open_price"), F.col("unit_price_cost").cast("double")))
     return (
-        _stocked_products(relationships, shops, products, shop_group, group_id)
-        .join(per_product, "product_id")
+        of_base.join(per_base, "baseproduct_id")
         .withColumn("cost_deal", cost)
         .filter(F.col("cost_deal").isNotNull())
         .groupBy(*STORE_PRODUCT)

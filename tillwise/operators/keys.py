@@ -29,10 +29,11 @@ def join_null_safe(
     return left.join(renamed, on, how).drop(*[f"__right_{k}" for k in keys])
 
 
-def place(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def place(df: DataFrame, keys: Sequence[str], times: int = 1) -> DataFrame:
     """Bring equal keys together, in a fixed number of partitions.
 
     For tables whose rows multiply right afterwards: without a number Spark
-    merges partitions by the size they have before that.
+    merges partitions by the size they have before that. ``times`` as many
+    partitions keep tasks small where several large tables are sorted in one.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(times * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
