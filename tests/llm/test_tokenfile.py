@@ -29,6 +29,16 @@ def test_word_by_word_is_text_by_text(tokenizer):
             assert np.frombuffer(packed, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_in_use_are_remembered(monkeypatch, tokenizer):
+    """A full memory forgets words not asked for lately, not those that come again and again."""
+    encoder, worked_out, pack = tf.WordEncoder(PATH, full=40), [], tf._words
+    monkeypatch.setattr(tf, "_words", lambda ids: worked_out.append(tuple(ids)) or pack(ids))
+    for i in range(400):
+        encoder.text(f"The word {'abcdefghij'[i // 100]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}q".encode())
+        assert len(encoder) + len(encoder.older) <= 40
+    assert worked_out.count(tuple(tokenizer.encode("The", add_special_tokens=False).ids)) == 1
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_grammars_expand_to_the_ids(seed):
     rng = np.random.default_rng(seed)
@@ -46,6 +56,33 @@ def test_grammars_expand_to_the_ids(seed):
         assert len(tf.expand(np.array([tf.NONTERMINAL + i]), left, right)) == n
 
 
+def test_later_rounds_count_new_symbols_only(monkeypatch):
+    """A pair seen too rarely is not counted again in every round, and the grammar is Re-Pair's all the same."""
+    rng = np.random.default_rng(5)
+    ids = np.where(rng.random(60_000) < 0.3, rng.integers(0, 8, 60_000), rng.integers(100, 60_000, 60_000))
+    last = rng.random(60_000) < 0.02
+    last[-1] = True
+    sizes, frequent = [], tf._frequent
+    monkeypatch.setattr(tf, "_frequent", lambda pair, least: sizes.append(len(pair)) or frequent(pair, least))
+    sequence, ends, left, right = tf.compress(ids, last)
+    assert len(sizes) > 2 and max(sizes[1:]) < len(ids) / 2
+    expands = tf.expansions(left, right)
+    assert np.array_equal(tf.decode(sequence.astype(np.int64), left, right, expands), ids)
+    inner = np.flatnonzero(~ends[:-1])
+    counts = np.unique(sequence[inner].astype(np.int64) << 32 | sequence[inner + 1].astype(np.int64), return_counts=True)[1]
+    assert counts.max() < 8
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_frequent_pairs_are_counted_exactly(monkeypatch, seed):
+    monkeypatch.setattr(tf, "HASH_BITS", 3)  # many pairs a hash
+    pair = np.random.default_rng(seed).integers(0, [1, 9, 300, 5000][seed], 2000).astype(np.uint64) << np.uint64(32)
+    group, pairs, times = tf._frequent(pair, 8)
+    known, counts = np.unique(pair, return_counts=True)
+    assert dict(zip(pairs.tolist(), times.tolist())) == {p: n for p, n in zip(known.tolist(), counts.tolist()) if n >= 8}
+    assert all(pairs[g] == p if g >= 0 else p not in set(pairs) for p, g in zip(pair, group.tolist()))
+
+
 def want(rows, tokenizer):
     out, start = [], 0
     for doc_id, text in rows:

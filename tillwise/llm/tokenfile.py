@@ -20,8 +20,8 @@ from tillwise.llm.texts import shuffle_partitions
 
 #: Nonterminals of a shard's grammar are numbered from here; token ids lie below.
 NONTERMINAL = 1 << 24
-#: Pairs are first counted by hash, then exactly where that is often enough.
-BUCKETS = 1 << 18
+#: Pairs, two symbols in 64 bits, are first counted by hash, of at most so many bits, then exactly where that is often enough.
+HASH, HASH_BITS, WIDTH, LOW = np.uint64(0x9E3779B97F4A7C15), 20, np.uint64(32), np.uint64(0xFFFFFFFF)
 MARKS = string.punctuation.encode()
 #: One row per shard. Documents lie one after the other: ``symbols`` counts the symbols of each in
 #: ``sequence``, ``tokens`` its ids. Rule i, for nonterminal NONTERMINAL + i, is ``left[i] right[i]`` and expands
@@ -67,8 +67,9 @@ class WordEncoder(dict):
     A tokenizer that ``cuts_words`` gives a text its words' ids joined, and a
     word the ids of its letters and of the marks after them. Words of Latin
     letters, whose lower case and normal form depend on nothing around them,
-    need only its merges; all others go through the whole tokenizer. The memory
-    is emptied when it is full. Any other tokenizer gets whole texts.
+    need only its merges; all others go through the whole tokenizer. When half the
+    memory is full, words not asked for since that happened last are forgotten.
+    Any other tokenizer gets whole texts.
     """
 
     #: Code points below this are Latin, without combining marks.
@@ -79,11 +80,15 @@ class WordEncoder(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.full, self.longest = Tokenizer.from_file(path), full, longest
-        self.letters, self.by_words = _ByteLetters(), cuts_words(self.tokenizer)
+        self.letters, self.by_words, self.older = _ByteLetters(), cuts_words(self.tokenizer), {}
 
     def __missing__(self, word: bytes) -> bytes:
-        stem = word.rstrip(MARKS)
-        if stem != word and stem.decode().isalpha():
+        if (packed := self.older.pop(word, None)) is not None:
+            pass
+        elif word.isalpha():  # ASCII letters, which the byte alphabet leaves as they are
+            lower = word.lower()
+            packed = self.get(lower) or _words([t.id for t in self.tokenizer.model.tokenize(lower.decode())])
+        elif (stem := word.rstrip(MARKS)) != word and stem.decode().isalpha():
             packed = self[stem] + self[word[len(stem) :]]
         else:
             text = word.decode()
@@ -93,7 +98,8 @@ class WordEncoder(dict):
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             packed = _words(ids)
         if len(word) <= self.longest:
-            if len(self) >= self.full:
+            if 2 * len(self) >= self.full:
+                self.older = dict(self)
                 self.clear()
             self[word] = packed
         return packed
@@ -112,37 +118,66 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _frequent(pair: np.ndarray, least: int):
+    """(group of each pair or -1, pairs, times) of the pairs that occur ``least`` times.
+
+    Pairs are counted by hash. Where a hash occurs often enough, one of its pairs
+    is counted exactly, and those that differ from it go on to the next turn.
+    """
+    group, at, pairs, times, found = np.full(len(pair), -1, np.int64), np.arange(len(pair)), [], [], 0
+    bits = min(len(pair).bit_length(), HASH_BITS)
+    bucket, of_bucket = (pair * HASH >> np.uint64(64 - bits)).astype(np.int64), np.empty(1 << bits, pair.dtype)
+    while True:
+        enough = np.bincount(bucket)[bucket] >= least
+        at, bucket = at[enough], bucket[enough]
+        if not len(at):
+            break
+        there = pair[at]
+        of_bucket[bucket] = there
+        same = of_bucket[bucket] == there
+        counts = np.bincount(bucket[same])
+        often = np.flatnonzero(counts >= least)
+        number = np.full(len(counts), -1, np.int64)
+        number[often] = np.arange(found, found + len(often))
+        group[at[same]] = number[bucket[same]]
+        pairs.append(of_bucket[often])
+        times.append(counts[often])
+        found += len(often)
+        at, bucket = at[~same], bucket[~same]
+    return group, np.concatenate([pair[:0], *pairs]), np.concatenate([at, *times])
+
+
 def compress(ids: np.ndarray, last: np.ndarray, least: int = 8):
     """Re-Pair: (sequence, last, left, right) with frequent neighbours replaced by nonterminals.
 
-    Each round counts all neighbouring symbols and replaces every pair that
-    occurs ``least`` times, the most frequent first, but for those that could
-    overlap one chosen before; rounds go on until no pair occurs so often. Pairs
-    are counted by hash first, and exactly where a hash occurs often enough.
-    ``last`` marks the last symbol of each document; no pair reaches over it.
+    Each round counts neighbouring symbols and replaces every pair that occurs
+    ``least`` times, the most frequent first, but for those that could overlap one
+    chosen before; rounds go on until no pair occurs so often. A pair of older
+    symbols only gets rarer, so a round counts new symbols' pairs and those that
+    were frequent in the round before. ``last`` marks the last symbol of each
+    document; no pair reaches over it.
     """
-    sequence, last, rules = ids.astype(np.int64), last.copy(), []
+    sequence, last, rules = ids.astype(np.uint32), last.copy(), []
+    counted = np.ones(len(sequence), bool)
     while True:
-        left, right = sequence[:-1], sequence[1:]
-        bucket = (left * 0x9E3779B1 + right * 0x85EBCA6B >> 7) & (BUCKETS - 1)
-        bucket[last[:-1]] = BUCKETS
-        counts = np.bincount(bucket, minlength=BUCKETS + 1)
-        counts[BUCKETS] = 0
-        at = np.flatnonzero(counts[bucket] >= least)
-        pair, found, times = np.unique(left[at] << 32 | right[at], return_inverse=True, return_counts=True)
-        often = np.flatnonzero(times >= least)
-        if not len(often):
+        at = np.flatnonzero(counted[:-1] & ~last[:-1])
+        pair = sequence[at].astype(np.uint64) << WIDTH | sequence[at + 1]
+        group, pairs, times = _frequent(pair, least)
+        if not len(pairs):
             break
-        often = often[np.argsort(-times[often], kind="stable")]
-        firsts, seconds, new = set(), set(), np.full(len(pair), -1, np.int64)
-        for k, a, b in zip(often.tolist(), (pair[often] >> 32).tolist(), (pair[often] & 0xFFFFFFFF).tolist()):
+        firsts, seconds, new = set(), set(), np.full(len(pairs), -1, np.int64)
+        often = np.lexsort((pairs, -times))
+        for k, a, b in zip(often.tolist(), (pairs[often] >> WIDTH).tolist(), (pairs[often] & LOW).tolist()):
             if a in seconds or b in firsts:
                 continue
             firsts.add(a)
             seconds.add(b)
             new[k] = NONTERMINAL + len(rules)
             rules.append((a, b))
-        symbol = new[found]
+        at, group = at[group >= 0], group[group >= 0]
+        counted[:] = False
+        counted[at] = True
+        symbol = new[group]
         at, symbol = at[symbol >= 0], symbol[symbol >= 0]
         run = np.arange(len(at)) - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, np.arange(len(at)), 0))
         at, symbol = at[run % 2 == 0], symbol[run % 2 == 0]
@@ -150,7 +185,10 @@ def compress(ids: np.ndarray, last: np.ndarray, least: int = 8):
         last[at] = last[at + 1]
         kept = np.ones(len(sequence), bool)
         kept[at + 1] = False
-        sequence, last = sequence[kept], last[kept]
+        sequence, last, counted = sequence[kept], last[kept], counted[kept]
+        replaced = at - np.arange(len(at))
+        counted[replaced] = True
+        counted[np.maximum(replaced - 1, 0)] = True
     grammar = np.array(rules, np.int64).reshape(-1, 2)
     return sequence, last, grammar[:, 0], grammar[:, 1]
 
@@ -166,12 +204,33 @@ def expand(sequence: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndar
     return sequence
 
 
+def decode(sequence: np.ndarray, left: np.ndarray, right: np.ndarray, expands: np.ndarray) -> np.ndarray:
+    """``expand`` of a whole shard: the ids of every nonterminal are worked out once and copied."""
+    ids = expand(NONTERMINAL + np.arange(len(left)), left, right)
+    ends, rule = np.cumsum(expands), sequence >= NONTERMINAL
+    which = sequence[rule] - NONTERMINAL
+    size = np.ones(len(sequence), np.int64)
+    size[rule] = expands[which]
+    start = np.cumsum(size) - size
+    out = np.repeat(sequence, size)
+    inside = np.repeat(rule, size)
+    out[inside] = ids[np.repeat((ends - expands)[which] - start[rule], size[rule]) + np.flatnonzero(inside)]
+    return out
+
+
 def expansions(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Ids under each nonterminal; a rule only uses rules before it."""
-    sizes: list[int] = []
-    for a, b in zip(left.tolist(), right.tolist()):
-        sizes.append(sum(sizes[s - NONTERMINAL] if s >= NONTERMINAL else 1 for s in (a, b)))
-    return np.array(sizes, np.int64)
+    sizes = np.ones(len(left), np.int64)
+    inner = [(side >= NONTERMINAL, side[side >= NONTERMINAL] - NONTERMINAL) for side in (left, right)]
+    while True:
+        new = np.zeros(len(left), np.int64)
+        for rule, of in inner:
+            size = np.ones(len(left), np.int64)
+            size[rule] = sizes[of]
+            new += size
+        if np.array_equal(new, sizes):
+            return sizes
+        sizes = new
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -269,7 +328,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.to_pylist():
-                ids = expand(_numbers(shard["sequence"]), _numbers(shard["left"]), _numbers(shard["right"]))
+                ids = decode(*(_numbers(shard[c]) for c in ("sequence", "left", "right", "expands")))
                 plain, ends = _packed(ids), np.cumsum(_numbers(shard["tokens"])).tolist()
                 starts = [0, *ends[:-1]]
                 sums = [zlib.crc32(plain[4 * a : 4 * b]) for a, b in zip(starts, ends)]
@@ -282,7 +341,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     shards = spark.read.schema(FORMAT).parquet(path)
-    coded = shards.select("part", "number", "doc_ids", "tokens", "left", "right", "sequence")
+    coded = shards.select("part", "number", "doc_ids", "tokens", "left", "right", "expands", "sequence")
     documents = coded.mapInArrow(run, "part int, number int, doc_id long, inner long, n_tokens long, ids_crc32 long")
     sizes = shards.select("part", "number", "shard_tokens")
     parts = sizes.groupBy("part").agg(F.sum("shard_tokens").alias("n"))
