@@ -67,9 +67,8 @@ class WordEncoder(dict):
     A tokenizer that ``cuts_words`` gives a text its words' ids joined, and a
     word the ids of its letters and of the marks after them. Words of Latin
     letters, whose lower case and normal form depend on nothing around them,
-    need only its merges; all others go through the whole tokenizer. When half the
-    memory is full, words not asked for since that happened last are forgotten.
-    Any other tokenizer gets whole texts.
+    need only its merges; all others go through the whole tokenizer. The memory
+    is emptied when it is full. Any other tokenizer gets whole texts.
     """
 
     #: Code points below this are Latin, without combining marks.
@@ -80,12 +79,10 @@ class WordEncoder(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.full, self.longest = Tokenizer.from_file(path), full, longest
-        self.letters, self.by_words, self.older = _ByteLetters(), cuts_words(self.tokenizer), {}
+        self.letters, self.by_words = _ByteLetters(), cuts_words(self.tokenizer)
 
     def __missing__(self, word: bytes) -> bytes:
-        if (packed := self.older.pop(word, None)) is not None:
-            pass
-        elif word.isalpha():  # ASCII letters, which the byte alphabet leaves as they are
+        if word.isalpha():  # ASCII letters, which the byte alphabet leaves as they are
             lower = word.lower()
             packed = self.get(lower) or _words([t.id for t in self.tokenizer.model.tokenize(lower.decode())])
         elif (stem := word.rstrip(MARKS)) != word and stem.decode().isalpha():
@@ -98,8 +95,7 @@ class WordEncoder(dict):
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             packed = _words(ids)
         if len(word) <= self.longest:
-            if 2 * len(self) >= self.full:
-                self.older = dict(self)
+            if len(self) >= self.full:
                 self.clear()
             self[word] = packed
         return packed
