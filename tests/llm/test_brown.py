@@ -159,3 +159,26 @@ def test_every_repeated_word_is_clustered_until_none_moves(spark, monkeypatch):
             other = found["of"].copy()
             other[s] = c
             assert likelihood(pairs, other, 6) <= best + 1e-5
+
+
+def test_texts_are_coded_once(spark, messy, monkeypatch):
+    """Pairs and scores start from the written symbols, not from the texts."""
+    coded, rows = [], []
+    code, stage = brown.code_texts, brown.scratch.stage
+    monkeypatch.setattr(brown, "code_texts", lambda *a: coded.append(a) or code(*a))
+    monkeypatch.setattr(brown.scratch, "stage", lambda df, name: rows.append((name, stage(df, name))) or rows[-1][1])
+    brown.score(messy, F.lit(True), F.lit(False), SMALL).collect()
+    assert len(coded) == 1
+    texts, words, _ = coded[0]
+    coder = brown.Coder(*words.value[:3])
+    wanted = sorted((r.doc_id or 0, bytes(r.text or b"").lower().split()) for r in texts.collect())
+    got = sorted((r.doc_id or 0, np.frombuffer(r.symbols, "<i4").tolist(), r.n_tokens, r.held, r.rest) for r in dict(rows)["coded"].collect())
+    assert len(got) == len(wanted)
+    by_words = sorted((d, coder.symbols(c, coder.places(c)).tolist(), len(c) + 1, len(c) - sum(w not in coder.place for w in c), [w for w in c if w not in coder.place]) for d, c in wanted)
+    assert by_words == [(d, s, n, h, [bytes(w) for w in r]) for d, s, n, h, r in got]
+
+
+def test_keys_are_the_key_of_each_word():
+    words = [b"a", b"running!!", b"\xc3\xa9t\xc3\xa9,", b"...", b"x" * 300]
+    assert brown.Settings().keys(words).tolist() == [brown.Settings().key(w) for w in words]
+    assert brown.Settings().keys([]).tolist() == []

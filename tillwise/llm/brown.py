@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,14 @@ class Settings:
         hashed = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 2
         return hashed // self.endings * self.endings + self.ending(word) - self.clustered
 
+    def keys(self, words: list[bytes]) -> np.ndarray:
+        """The ``key`` of each word."""
+        blake2b, crc32 = hashlib.blake2b, zlib.crc32
+        digests = b"".join([blake2b(word, digest_size=8).digest() for word in words])
+        tails = np.fromiter([crc32(word.rstrip(MARKS)[-3:]) for word in words], np.int64, len(words))
+        hashed = (np.frombuffer(digests, "<u8") >> np.uint64(2)).astype(np.int64)
+        return hashed // self.endings * self.endings + tails % self.endings
+
 
 def _words(texts: list[bytes | None]) -> Iterator[list[bytes]]:
     for text in texts:
@@ -136,7 +145,7 @@ def repeated_keys(vocabulary: DataFrame, frequent: list[bytes], settings: Settin
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = places.value
         for batch in batches:
-            keys = [settings.key(w) for w in batch.column(0).to_pylist() if w not in held]
+            keys = settings.keys([w for w in batch.column(0).to_pylist() if w not in held])
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], ["key"])
 
     named = vocabulary.filter((F.length("word") > 0) & (F.col("c") > 1)).select("word")
@@ -152,13 +161,12 @@ class Coder:
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Place of each word among the held ones, -1 for others."""
-        get = self.place.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        return np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
 
     def symbols(self, words: list[bytes], places: np.ndarray) -> np.ndarray:
         out, at = places.copy(), np.flatnonzero(places < 0)
         if len(at):
-            keys = np.fromiter((self.settings.key(words[i]) for i in at.tolist()), np.int64, len(at))
+            keys = self.settings.keys([words[i] for i in at.tolist()])
             out[at] = len(self.place) + keys % self.settings.endings
             if len(self.rare):
                 near = np.minimum(np.searchsorted(self.rare, keys), len(self.rare) - 1)
@@ -205,17 +213,54 @@ def _add_up(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np
     return key[first], np.add.reduceat(count[order], first)
 
 
-def count_pairs(taught: DataFrame, words, size: int) -> DataFrame:
+def code_texts(texts: DataFrame, words, counts: np.ndarray) -> DataFrame:
+    """Every text once in symbols, which pairs are counted on and scores are worked out from.
+
+    (row, doc_id, held_out, taught, n_tokens, held, seen, rest, symbols): a number for the row, tokens with the end,
+    held words and the sum of their log10 counts, all other words, and all words' symbols in 32 bits each.
+    """
+    dealt = texts.sparkSession.sparkContext.broadcast(np.log10(counts + ADD))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, log_count = _coder(words), dealt.value
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            done = 0
+            for chunk in _chunks(batch.column(1).to_pylist()):
+                cuts = list(_words(chunk))
+                ends = np.append(0, np.cumsum([len(cut) for cut in cuts]))
+                every = list(chain.from_iterable(cuts))
+                places = coder.places(every)
+                known = places >= 0
+                held, logs = np.append(0, np.cumsum(known))[ends], log_count[places[known]]
+                seen = [float(logs[i:j].sum()) for i, j in zip(held[:-1].tolist(), held[1:].tolist())]
+                rest = pa.array([every[i] for i in np.flatnonzero(~known).tolist()], pa.binary())
+                symbols = coder.symbols(every, places).astype("<i4")
+                columns = [
+                    pa.array(np.arange(row, row + len(cuts))), *(batch.column(c).slice(done, len(cuts)) for c in (0, 3, 2)),
+                    pa.array(np.diff(ends) + 1), pa.array(np.diff(held)), pa.array(seen, pa.float64()),
+                    pa.ListArray.from_arrays(pa.array(ends - held, pa.int32()), rest),
+                    pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer((4 * ends).astype("<i4")), pa.py_buffer(symbols)]),
+                ]
+                row, done = row + len(cuts), done + len(cuts)
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["row", "doc_id", "held_out", "taught", "n_tokens", "held", "seen", "rest", "symbols"]
+    schema = "row long, doc_id long, held_out boolean, taught boolean, n_tokens long, held long, seen double, rest array<binary>, symbols binary"
+    return texts.select("doc_id", "text", "taught", "held_out").mapInArrow(run, schema)
+
+
+def count_pairs(coded: DataFrame, end: int, size: int) -> DataFrame:
     """(bucket, body): how often each symbol follows each; texts start after an END.
 
-    A body holds the pairs of the symbols of a bucket, twice: keys (symbol * 2 +
-    side) * size + neighbour, where side 0 is the neighbour after, 1 before.
+    ``coded`` has the texts' symbols. A body holds the pairs of the symbols of a
+    bucket, twice: keys (symbol * 2 + side) * size + neighbour, where side 0 is
+    the neighbour after, 1 before.
     """
     buckets = size // BUCKET + 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(words)
-        stream, held = [np.array([coder.end])], 0
+        stream, held = [np.array([end])], 0
 
         def out() -> pa.RecordBatch:
             row = np.concatenate(stream)
@@ -229,12 +274,13 @@ def count_pairs(taught: DataFrame, words, size: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(of[cuts], pa.int64()), pa.array(bodies, pa.binary())], ["bucket", "body"])
 
         for batch in batches:
-            for cut in _words(batch.column(0).to_pylist()):
-                stream += [coder.symbols(cut, coder.places(cut)), np.array([coder.end])]
-                held += len(cut) + 1
+            for body in batch.column(0).to_pylist():
+                symbols = np.frombuffer(body, "<i4")
+                stream += [symbols, np.array([end])]
+                held += len(symbols) + 1
                 if held >= PAIRS:
                     yield out()
-                    stream, held = [np.array([coder.end])], 0
+                    stream, held = [np.array([end])], 0
         if held:
             yield out()
 
@@ -250,7 +296,7 @@ def count_pairs(taught: DataFrame, words, size: int) -> DataFrame:
                 held = len(keys[0])
         return pa.table({"bucket": group.column("bucket").slice(0, 1), "body": pa.array([_pack(*_add_up(keys, n))], pa.binary())})
 
-    parts = taught.select("text").mapInArrow(run, "bucket long, body binary")
+    parts = coded.select("symbols").mapInArrow(run, "bucket long, body binary")
     return parts.groupBy("bucket").applyInArrow(merge, "bucket long, body binary")
 
 
@@ -605,49 +651,41 @@ def score(docs: DataFrame, is_taught: Column, held_out: Column, settings: Settin
     frequent, counts = frequent_words(vocabulary, settings)
     rare = repeated_keys(vocabulary, frequent, settings)
     words = spark.sparkContext.broadcast((frequent, settings, rare, scratch.new_path(spark, "words")))
-    start = starting_symbols(frequent, rare, settings)
-    pairs = scratch.stage(count_pairs(taught, words, len(start)), "pairs")
+    start, end = starting_symbols(frequent, rare, settings), len(frequent) + settings.endings
+    coded = scratch.stage(code_texts(texts, words, counts), "coded")
+    pairs = scratch.stage(count_pairs(coded.filter("taught"), end, len(start)), "pairs")
     first = exchange(group_table(pairs, start, settings.symbols, len(start)), settings)
-    of, table = exchange_rounds(pairs, first[start].astype(np.min_scalar_type(settings.classes)), len(frequent) + settings.endings, settings)
+    of, table = exchange_rounds(pairs, first[start].astype(np.min_scalar_type(settings.classes)), end, settings)
     used = np.bincount(np.concatenate([first, of]), minlength=settings.classes) > 0
-    model = fit_classes(table, of, used, class_sizes(vocabulary, words, of, settings), settings)
-    learned = spark.sparkContext.broadcast((model, np.log10(counts + ADD)))
+    learned = spark.sparkContext.broadcast(fit_classes(table, of, used, class_sizes(vocabulary, words, of, settings), settings))
     all_room, end_log = float(np.log10(tokens + ADD * (distinct + 1))), float(np.log10(ends + ADD))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, (model, log_count) = _coder(words), learned.value
-        row = TaskContext.get().partitionId() << 40
+        model = learned.value
+        step, classes = model.step.ravel(), len(model.step)
         for batch in batches:
-            doc_ids, held = batch.column(0).to_pylist(), batch.column(3).to_pylist()
-            done = 0
-            for chunk in _chunks(batch.column(1).to_pylist()):
-                out = []
-                for cut in _words(chunk):
-                    places = coder.places(cut)
-                    classes = model.of[coder.symbols(cut, places)]
-                    path = np.concatenate([[0], classes, [0]])
-                    seen = log_count[places[places >= 0]].sum()
-                    fixed = model.step[path[:-1], path[1:]].sum() - model.room[classes].sum() + seen
-                    base = seen + end_log - (len(cut) + 1) * all_room
-                    rest = [cut[i] for i in np.flatnonzero(places < 0).tolist()]
-                    known = len(cut) - len(rest) + (ends > 0)
-                    out.append((row, doc_ids[done], held[done], len(cut) + 1, known, float(base), float(fixed), rest))
-                    row, done = row + 1, done + 1
-                columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    names = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "fixed", "rest"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, fixed double, rest array<binary>"
-    scored = scratch.stage(texts.mapInArrow(run, schema), "class-scores")
-    rare = scored.select("row", F.explode("rest").alias("word")).join(vocabulary, "word", "left")
-    per_row = rare.groupBy("row").agg(
+            n_tokens, seen = (batch.column(c).to_numpy() for c in (3, 5))
+            fixed = []
+            for body, held_log in zip(batch.column(6).to_pylist(), seen):
+                of = model.of[np.frombuffer(body, "<i4")]
+                path = np.concatenate([[0], of, [0]])
+                fixed.append(step[path[:-1] * classes + path[1:]].sum() - model.room[of].sum() + held_log)
+            base = seen + end_log - n_tokens * all_room
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(base), pa.array(fixed, pa.float64())], names)
+
+    names = ["row", "doc_id", "held_out", "n_tokens", "held", "base", "fixed"]
+    scored = coded.select(*names[:5], "seen", "symbols").mapInArrow(
+        run, "row long, doc_id long, held_out boolean, n_tokens long, held long, base double, fixed double"
+    )
+    rest = coded.select("row", F.explode("rest").alias("word")).join(vocabulary, "word", "left")
+    per_row = rest.groupBy("row").agg(
         F.sum(F.log10(F.coalesce("c", F.lit(0)) + ADD)).alias("rare_log"), F.count("c").alias("rare_known")
     )
-    whole = scored.drop("rest").join(per_row, "row", "left")
+    whole = scored.join(per_row, "row", "left")
+    known = F.col("held") + F.lit(int(ends > 0)) + F.coalesce("rare_known", F.lit(0))
     rest_log = F.coalesce("rare_log", F.lit(0.0))
     return whole.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        "doc_id", "held_out", "n_tokens", known.alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + rest_log).alias("base_score"),
         (F.col("fixed") + rest_log).alias("score"),
     )
