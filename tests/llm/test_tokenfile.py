@@ -143,3 +143,16 @@ def test_other_tokenizers_get_whole_texts(tokenizer):
     assert tf.WordEncoder(PATH).by_words and not encoder.by_words
     for text in ["Hello World, two  spaces", *ODD]:
         assert np.frombuffer(encoder.text(text.encode()), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_counting_pairs_takes_little_memory():
+    """A shard's pairs are looked up a block at a time, beside one sorted copy."""
+    import tracemalloc
+
+    pair = np.random.default_rng(0).zipf(1.3, 1 << 20).astype(np.uint64) % np.uint64(1 << 40)
+    tracemalloc.start()
+    group, pairs, times = tf._frequent(pair, 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(pairs) > 1000 and np.array_equal(pairs[group[group >= 0]], pair[group >= 0])
+    assert peak < 40 * len(pair)

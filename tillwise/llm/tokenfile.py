@@ -20,8 +20,8 @@ from tillwise.llm.texts import shuffle_partitions
 
 #: Nonterminals of a shard's grammar are numbered from here; token ids lie below.
 NONTERMINAL = 1 << 24
-#: Pairs, two symbols in 64 bits, are first counted by hash, of at most so many bits, then exactly where that is often enough.
-HASH, HASH_BITS, WIDTH, LOW = np.uint64(0x9E3779B97F4A7C15), 20, np.uint64(32), np.uint64(0xFFFFFFFF)
+#: Pairs are two symbols in 64 bits; the frequent ones are looked up by hash, of at most so many bits, for so many pairs at once.
+HASH, HASH_BITS, BLOCK, WIDTH, LOW = np.uint64(0x9E3779B97F4A7C15), 20, 1 << 16, np.uint64(32), np.uint64(0xFFFFFFFF)
 MARKS = string.punctuation.encode()
 #: One row per shard. Documents lie one after the other: ``symbols`` counts the symbols of each in
 #: ``sequence``, ``tokens`` its ids. Rule i, for nonterminal NONTERMINAL + i, is ``left[i] right[i]`` and expands
@@ -117,30 +117,37 @@ def _encoder(path: str) -> WordEncoder:
 def _frequent(pair: np.ndarray, least: int):
     """(group of each pair or -1, pairs, times) of the pairs that occur ``least`` times.
 
-    Pairs are counted by hash. Where a hash occurs often enough, one of its pairs
-    is counted exactly, and those that differ from it go on to the next turn.
+    Sorted, equal pairs are neighbours. Every pair then looks up its group by
+    hash; those that share a slot with another frequent pair go on to the next turn.
     """
-    group, at, pairs, times, found = np.full(len(pair), -1, np.int64), np.arange(len(pair)), [], [], 0
-    bits = min(len(pair).bit_length(), HASH_BITS)
-    bucket, of_bucket = (pair * HASH >> np.uint64(64 - bits)).astype(np.int64), np.empty(1 << bits, pair.dtype)
-    while True:
-        enough = np.bincount(bucket)[bucket] >= least
-        at, bucket = at[enough], bucket[enough]
-        if not len(at):
-            break
-        there = pair[at]
-        of_bucket[bucket] = there
-        same = of_bucket[bucket] == there
-        counts = np.bincount(bucket[same])
-        often = np.flatnonzero(counts >= least)
-        number = np.full(len(counts), -1, np.int64)
-        number[often] = np.arange(found, found + len(often))
-        group[at[same]] = number[bucket[same]]
-        pairs.append(of_bucket[often])
-        times.append(counts[often])
-        found += len(often)
-        at, bucket = at[~same], bucket[~same]
-    return group, np.concatenate([pair[:0], *pairs]), np.concatenate([at, *times])
+    group = np.full(len(pair), -1, np.int32)
+    ordered = np.sort(pair)
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(pair) else np.empty(0, np.int64)
+    times = np.diff(first, append=len(pair))
+    often = np.flatnonzero(times >= least)
+    pairs, times = ordered[first[often]], times[often]
+    if not len(pairs):
+        return group, pairs, times
+    bits = min(len(pairs).bit_length() + 3, HASH_BITS)
+    shift, left, tables = np.uint64(64 - bits), np.arange(len(pairs), dtype=np.int32), []
+    slot = (pairs * HASH >> shift).astype(np.int64)
+    while len(left):
+        tables.append(np.full(1 << bits, -1, np.int32))
+        tables[-1][slot[left]] = left
+        left = left[tables[-1][slot[left]] != left]
+    for start in range(0, len(pair), BLOCK):
+        there, out = pair[start : start + BLOCK], group[start : start + BLOCK]
+        slot = (there * HASH >> shift).astype(np.int64)
+        at = np.arange(len(there))
+        for table in tables:
+            found = table[slot]
+            some = np.flatnonzero(found >= 0)
+            found, there, slot, at = found[some], there[some], slot[some], at[some]
+            same = pairs[found] == there
+            out[at[same]] = found[same]
+            rest = np.flatnonzero(~same)
+            there, slot, at = there[rest], slot[rest], at[rest]
+    return group, pairs, times
 
 
 def compress(ids: np.ndarray, last: np.ndarray, least: int = 8):
@@ -154,37 +161,42 @@ def compress(ids: np.ndarray, last: np.ndarray, least: int = 8):
     document; no pair reaches over it.
     """
     sequence, last, rules = ids.astype(np.uint32), last.copy(), []
-    counted = np.ones(len(sequence), bool)
+    at = np.flatnonzero(~last[:-1])
     while True:
-        at = np.flatnonzero(counted[:-1] & ~last[:-1])
         pair = sequence[at].astype(np.uint64) << WIDTH | sequence[at + 1]
         group, pairs, times = _frequent(pair, least)
         if not len(pairs):
             break
-        firsts, seconds, new = set(), set(), np.full(len(pairs), -1, np.int64)
+        firsts, seconds, twins, new = set(), set(), False, np.zeros(len(pairs), np.uint32)
         often = np.lexsort((pairs, -times))
         for k, a, b in zip(often.tolist(), (pairs[often] >> WIDTH).tolist(), (pairs[often] & LOW).tolist()):
             if a in seconds or b in firsts:
                 continue
             firsts.add(a)
             seconds.add(b)
+            twins |= a == b
             new[k] = NONTERMINAL + len(rules)
             rules.append((a, b))
-        at, group = at[group >= 0], group[group >= 0]
-        counted[:] = False
+        some = np.flatnonzero(group >= 0)
+        at, symbol = at[some], new[group[some]]
+        counted = np.zeros(len(sequence), bool)
         counted[at] = True
-        symbol = new[group]
-        at, symbol = at[symbol >= 0], symbol[symbol >= 0]
-        run = np.arange(len(at)) - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, np.arange(len(at)), 0))
-        at, symbol = at[run % 2 == 0], symbol[run % 2 == 0]
+        some = np.flatnonzero(symbol)
+        at, symbol = at[some], symbol[some]
+        if twins:  # only pairs of a symbol with itself can overlap
+            run = np.arange(len(at)) - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, np.arange(len(at)), 0))
+            some = np.flatnonzero(run % 2 == 0)
+            at, symbol = at[some], symbol[some]
         sequence[at] = symbol
         last[at] = last[at + 1]
         kept = np.ones(len(sequence), bool)
         kept[at + 1] = False
+        kept = np.flatnonzero(kept)
         sequence, last, counted = sequence[kept], last[kept], counted[kept]
         replaced = at - np.arange(len(at))
         counted[replaced] = True
         counted[np.maximum(replaced - 1, 0)] = True
+        at = np.flatnonzero(counted[:-1] & ~last[:-1])
     grammar = np.array(rules, np.int64).reshape(-1, 2)
     return sequence, last, grammar[:, 0], grammar[:, 1]
 
@@ -265,15 +277,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow, encoder, part = to_arrow_schema(schema), _encoder(tokenizer), TaskContext.get().partitionId()
-        doc_ids, packed, held, number = [], [], 0, 0
+        doc_ids, packed, held, number, batch = [], [], 0, 0, None
 
         def shard() -> pa.RecordBatch:
             row = _shard(part, number, doc_ids, packed)
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow)], schema=arrow)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.text(text) + end
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):  # one text at a time out of the batch
+                ids = encoder.text(text.as_py()) + end
                 if packed and held + len(ids) > shard_tokens:
                     yield shard()
                     doc_ids, packed, held, number = [], [], 0, number + 1
@@ -282,6 +294,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens:
                 held += len(ids)
         if packed:
             yield shard()
+        del batch, packed
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text"))
     ordered = texts.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
