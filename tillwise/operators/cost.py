@@ -99,8 +99,8 @@ def _stocked_products(
 ) -> DataFrame:
     """Products the group's shops list and that have a unit cost, with the shop's title."""
     listed = _edges(relationships, "shop", "product")
-    listed = in_shop_group(listed, shop_group, group_id, "shop_id")
     titles = shops.select(F.col("id").alias("shop_id"), F.col("title").alias("store"))
+    titles = in_shop_group(titles, shop_group, group_id, "shop_id")
     costed = products.filter(F.col("unit_price_cost") > 0).select(
         F.col("id").alias("product_id"), F.col("title").alias("product"), "unit_price_cost"
     )

@@ -1,13 +1,16 @@
 """The bundled star-schema test tables, seen as a retailer's source tables.
 
 One SQL text per view; both Spark and the checking engine read it. The few
-functions spelled differently come in through ``dialect``.
+functions spelled differently come in through ``dialect``. Two views have a
+second text for Spark, with the same rows (``sold_views``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwise.sources import scratch
+
 BASE_TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem", "events", "customer")
 
 SPARK = {
@@ -112,18 +115,50 @@ def view_sql(dialect: dict[str, str]) -> dict[str, str]:
     }
 
 
+#: The parts that each supplier sold, made distinct once for all views that start from them.
+SOLD = "SELECT DISTINCT l_suppkey, l_partkey FROM {lineitem}"
+
+
+def sold_views() -> dict[str, str]:
+    """``relationships`` and ``thread_product`` from a table ``sold`` of the distinct pairs, for Spark.
+
+    Numbers are made distinct before they become text. As text, numbers stay as
+    distinct as they were; only a missing one makes a product's id null and has to be
+    made distinct again.
+    """
+    base, product = "cast(l_partkey div 2 AS string)", "concat(cast(l_partkey AS string), '-', cast(l_suppkey AS string))"
+    parents = (("baseproduct", base), ("shop", "cast(l_suppkey AS string)"))
+    links = [
+        f"""
+            SELECT {kind} '{parent}' AS parent_type, {key} AS parent_id, 'product' AS child_type, {child} AS child_id
+            FROM {{sold}} WHERE {missing} (l_partkey IS NULL OR l_suppkey IS NULL)"""
+        for parent, key in parents
+        for kind, missing, child in (("", "NOT", product), ("DISTINCT", "", "cast(NULL AS string)"))
+    ]
+    deals = """
+            SELECT 'deal' AS parent_type, cast(l_orderkey AS string) AS parent_id,
+                   'baseproduct' AS child_type, cast(base AS string) AS child_id
+            FROM (SELECT DISTINCT l_orderkey, l_partkey div 2 AS base FROM {lineitem} WHERE l_linenumber = 1)"""
+    products = view_sql(SPARK)["thread_product"].replace(f"({SOLD}) sold", "{sold} sold")
+    return {"relationships": "\n            UNION ALL".join([deals, *links]), "thread_product": products}
+
+
 class Market(dict):
     """Tables by name, read or defined when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
-        self._spark, self._dir, self._views = spark, sf_dir, view_sql(SPARK)
+        self._spark, self._dir, self._views = spark, sf_dir, view_sql(SPARK) | sold_views()
 
     def __missing__(self, name: str) -> DataFrame:
         if name in self._views:
             sql = self._views[name]
-            used = {t: self[t] for t in (*BASE_TABLES, "shops") if f"{{{t}}}" in sql}
+            used = {t: self[t] for t in (*BASE_TABLES, "shops", "sold") if f"{{{t}}}" in sql}
             self[name] = self._spark.sql(sql, **used)
+            if name == "shops":  # as a table Spark sees how small it is, and broadcasts it
+                self[name] = scratch.stage(self[name], name)
+        elif name == "sold":
+            self[name] = scratch.stage(self._spark.sql(SOLD, lineitem=self["lineitem"]), "sold")
         else:
             self[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
         return self[name]
