@@ -33,9 +33,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.take(docs)
 
 
+#: Words a worker keeps when it writes tokens: fewer than it could, as the other stages leave their memory with the same executor.
+REMEMBERED = 100_000
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token file, and its index as read back: doc_id, start, n_tokens, ids_crc32."""
-    return token_file(docs)
+    return token_file(docs, REMEMBERED)
 
 
 STAGES = [

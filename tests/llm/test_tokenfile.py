@@ -156,3 +156,15 @@ def test_counting_pairs_takes_little_memory():
     tracemalloc.stop()
     assert len(pairs) > 1000 and np.array_equal(pairs[group[group >= 0]], pair[group >= 0])
     assert peak < 40 * len(pair)
+
+
+def test_the_pipeline_remembers_fewer_words(monkeypatch, spark, messy, tokenizer):
+    """Its other stages leave memory with the same executor; the rows do not depend on what is remembered."""
+    import corpus_pipeline
+
+    asked, write = [], tf.write
+    monkeypatch.setattr(tf, "write", lambda *a, **k: asked.append(k["remembered"]) or write(*a, **k))
+    got = corpus_pipeline.tokens(spark, messy, SF_DIR).collect()
+    assert asked == [corpus_pipeline.REMEMBERED] and asked[0] <= 100_000
+    rows = sorted(((r.doc_id, r.text) for r in messy.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want(rows, tokenizer)

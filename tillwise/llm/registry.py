@@ -58,12 +58,12 @@ def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score(read_table(spark, sf_dir, "documents"), ~held_out, held_out, CLASS_MODEL)
 
 
-def token_file(docs: DataFrame) -> DataFrame:
+def token_file(docs: DataFrame, remembered: int = 600_000) -> DataFrame:
     """Write the documents' ids to a new token file in the shared folder and index it from the file."""
     import public_tokenizers
 
     path = scratch.new_path(docs.sparkSession, "tokens")
-    tokenfile.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    tokenfile.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2, remembered=remembered)
     return tokenfile.read_index(docs.sparkSession, path)
 
 

@@ -109,9 +109,9 @@ class WordEncoder(dict):
 
 
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str, remembered: int) -> WordEncoder:
     """One encoder for all tasks of a worker."""
-    return WordEncoder(path)
+    return WordEncoder(path, remembered)
 
 
 def _frequent(pair: np.ndarray, least: int):
@@ -260,7 +260,7 @@ def _shard(part: int, number: int, doc_ids: list, packed: list[bytes]) -> tuple:
     return part, number, len(ids), doc_ids, *map(_packed, binary)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens: int = 1 << 21) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens: int = 1 << 21, remembered: int = 600_000) -> None:
     """Encode whole texts, end each with ``end_id`` and write the ids in ascending doc_id order.
 
     The file is a Parquet table with a row per shard (see ``FORMAT``); parts and
@@ -268,6 +268,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens:
     whole documents only; a longer document has a shard of its own. A null or
     empty text is its end id alone; a null doc_id comes first; rows with the same
     doc_id follow each other in the order of their texts. Other columns are left out.
+    A worker keeps up to ``remembered`` words and their ids from task to task.
     """
     spark = docs.sparkSession
     schema = spark.createDataFrame([], FORMAT).schema
@@ -276,7 +277,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_tokens:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, encoder, part = to_arrow_schema(schema), _encoder(tokenizer), TaskContext.get().partitionId()
+        arrow, encoder, part = to_arrow_schema(schema), _encoder(tokenizer, remembered), TaskContext.get().partitionId()
         doc_ids, packed, held, number, batch = [], [], 0, 0, None
 
         def shard() -> pa.RecordBatch:
